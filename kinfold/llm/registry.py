@@ -1,6 +1,6 @@
 """The queries of this subpackage and their SQL."""
 
-from kinfold.llm import warc
+from kinfold.llm import html_template, warc
 
-QUERIES = {"op7_warc": warc.op7_warc}
+QUERIES = {"op3_html_template": html_template.op3_html_template, "op7_warc": warc.op7_warc}
 ORACLES = {"op7_warc": warc.OP7_SQL}
