@@ -137,7 +137,8 @@ def disclosing(docs: DataFrame, scan: DataFrame, threshold: float = THRESHOLD, s
     pairs = written(pairs.join(entities, "entity"), "pii-pairs")
     terms = small(pairs.select("term").distinct())
     words = text_of(docs.select("text")).select(F.explode(F.array_remove(F.split(F.lower("text"), r"[^\p{L}\p{M}'’]+"), "")).alias("term"))
-    counts = words.join(terms, "term").groupBy("term").agg(F.count("*").alias("n_term"))
+    # counted before the join: its rows then number the terms, not their occurrences
+    counts = words.groupBy("term").agg(F.count("*").alias("n_term")).join(terms, "term")
     total = scan.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"] or 1
     windows = max(total / WINDOW_WORDS, 1.0)
     p_term = F.least(F.lit(1.0), F.coalesce(F.col("n_term"), F.col("together")) / windows)
