@@ -1,8 +1,9 @@
 """The queries of this subpackage and their SQL."""
 
-from kinfold.llm import html_template, mixing, pii, quality_classifier, quality_rules, topk, warc
+from kinfold.llm import html_template, mixing, near_dedup, pii, quality_classifier, quality_rules, topk, warc
 
 QUERIES = {
+    "op1_minhash_dedup": near_dedup.op1_minhash_dedup,
     "op2_quality_rules": quality_rules.op2_quality_rules,
     "op3_html_template": html_template.op3_html_template,
     "op4_topk": topk.op4_topk,
