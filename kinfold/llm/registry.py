@@ -1,6 +1,6 @@
 """The queries of this subpackage and their SQL."""
 
-from kinfold.llm import html_template, mixing, near_dedup, pii, quality_classifier, quality_rules, topk, warc
+from kinfold.llm import html_template, mixing, near_dedup, pieces, pii, quality_classifier, quality_rules, topk, warc
 
 QUERIES = {
     "op1_minhash_dedup": near_dedup.op1_minhash_dedup,
@@ -10,6 +10,7 @@ QUERIES = {
     "op6_mixing": mixing.op6_mixing,
     "op7_warc": warc.op7_warc,
     "op8_pii": pii.op8_pii,
+    "op9_pieces": pieces.op9_pieces,
     "op10_quality_pu": quality_classifier.op10_quality_pu,
 }
 ORACLES = {"op4_topk": topk.OP4_SQL, "op6_mixing": mixing.OP6_SQL, "op7_warc": warc.OP7_SQL}
