@@ -45,6 +45,60 @@ def default_model() -> str:
     return str(Path(spec.origin).parent / "piece_bpe_32k.model") if spec else "/opt/tokenizers/piece_bpe_32k.model"
 
 
+class Slots:
+    """Pieces by a 64-bit hash, in two direct-address tables for vectors of lookups."""
+
+    BITS = 19
+    BASE = 0x9E3779B97F4A7C15 | 1
+
+    def __init__(self, entries: dict[str, tuple[int, int]]):
+        keys = np.array([self.of(p) for p in entries], np.uint64)
+        if len(set(keys.tolist())) != len(keys):
+            raise ValueError("two pieces share a hash")
+        values = np.array(list(entries.values()), np.int64)
+        self.tables = []
+        multiplier = np.uint64(0xD6E8FEB86659FD93)
+        while len(keys):
+            # what collides in one table goes to the next
+            multiplier = np.uint64((int(multiplier) * 0xBF58476D1CE4E5B9 + 0x94D049BB133111EB | 1) & 0xFFFFFFFFFFFFFFFF)
+            slot = (keys * multiplier) >> np.uint64(64 - self.BITS)
+            _, first = np.unique(slot, return_index=True)
+            key, score, ids = np.zeros(1 << self.BITS, np.uint64), np.full(1 << self.BITS, LOW, np.int32), np.zeros(1 << self.BITS, np.int32)
+            key[slot[first]], score[slot[first]], ids[slot[first]] = keys[first], values[first, 0], values[first, 1]
+            self.tables.append((multiplier, key, score, ids))
+            left = np.ones(len(keys), bool)
+            left[first] = False
+            keys, values = keys[left], values[left]
+
+    @classmethod
+    def of(cls, piece: str) -> int:
+        h = 0
+        for c in piece:
+            h = (h * cls.BASE + cls.letter(ord(c))) & 0xFFFFFFFFFFFFFFFF
+        return h
+
+    @staticmethod
+    def letter(code: int) -> int:
+        return (code + 1) * 0xC2B2AE3D27D4EB4F & 0xFFFFFFFFFFFFFFFF ^ (code << 17)
+
+    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Score (LOW: no piece) and id for each hash."""
+        score, ids = np.full(h.shape, LOW, np.int32), np.zeros(h.shape, np.int32)
+        for multiplier, key, s, i in self.tables:
+            slot = (h * multiplier) >> np.uint64(64 - self.BITS)
+            hit = key[slot] == h
+            at = slot[hit]
+            score[hit], ids[hit] = s[at], i[at]
+        return score, ids
+
+
+#: No piece: far below any word's score, and two of them still fit 32 bits.
+LOW = -(1 << 29)
+#: Longest run that is encoded with others, many at a time.
+VECTOR_LENGTH = 48
+VECTOR_ROWS = 20_000
+
+
 class Vocabulary:
     """Pieces with integer scores, and the byte pieces."""
 
@@ -67,7 +121,8 @@ class Vocabulary:
         bytes_ = {int(m.id_to_piece(i)[1:-1], 16): i for i in range(size) if m.is_byte(i)}
         if len(bytes_) != 256:
             raise ValueError("the vocabulary has no byte pieces")
-        scores = [round(m.get_score(i)) for i in normal]
+        # pieces that the vocabulary's makers defined by hand carry no real score: they win
+        scores = [round(x) if (x := m.get_score(i)) > -1e8 else -1 for i in normal]
         pieces = [m.id_to_piece(i) for i in normal]
         if any(re.search(f"[^{SPACE}]{SPACE}", p) for p in pieces):
             raise ValueError("a piece holds a space after another character")
@@ -78,8 +133,72 @@ class Vocabulary:
             self.surface[i] = p.replace(SPACE, " ").encode()
         for b, i in bytes_.items():
             self.surface[i] = bytes([b])
+        # an unknown ASCII character is one byte piece; others take several, and the slow way
+        alone = {chr(b): (self.unknown, bytes_[b]) for b in range(128) if chr(b) not in self.ids}
+        self.slots = Slots({p: (self.score[p], i) for p, i in self.ids.items()} | alone)
+        self.plain = {chr(b) for b in range(128)} | {p for p in self.ids if len(p) == 1}
         return self
 
+    def many(self, runs: list[str]) -> list[tuple[int, bytes]]:
+        """segment() of many runs, vectorised over runs of about one length."""
+        out: list = [None] * len(runs)
+        by: dict[int, list[int]] = {}
+        plain = self.plain
+        for k, s in enumerate(runs):
+            if 0 < len(s) <= VECTOR_LENGTH and plain.issuperset(s) and "\0" not in s:
+                by.setdefault(-(-len(s) // 6) * 6, []).append(k)
+            else:
+                out[k] = self.slow(s)
+        for width, places in by.items():
+            for i in range(0, len(places), VECTOR_ROWS):
+                part = places[i : i + VECTOR_ROWS]
+                for k, got in zip(part, self.block([runs[k] for k in part], width), strict=True):
+                    out[k] = got
+        return out
+
+    def block(self, runs: list[str], width: int) -> list[tuple[int, bytes]]:
+        n = len(runs)
+        lengths = np.fromiter(map(len, runs), np.int64, n)
+        codes = np.array(runs, f"U{width}").view(np.uint32).reshape(n, width).T.astype(np.uint64)
+        letters = (codes + np.uint64(1)) * np.uint64(0xC2B2AE3D27D4EB4F) ^ (codes << np.uint64(17))
+        prefix = np.zeros((width + 1, n), np.uint64)
+        for j in range(width):
+            prefix[j + 1] = prefix[j] * np.uint64(Slots.BASE) + letters[j]
+        power, score, ids = 1, [None], [None]
+        for d in range(1, min(self.longest, width) + 1):
+            power = power * Slots.BASE & 0xFFFFFFFFFFFFFFFF
+            a, b = self.slots.find(prefix[d:] - prefix[: width + 1 - d] * np.uint64(power))
+            score.append(a)
+            ids.append(b)
+        best = np.full((width + 1, n), 4 * LOW // 3, np.int32)
+        back, last = np.zeros((width + 1, n), np.int8), np.zeros((width + 1, n), np.int32)
+        best[0] = 0
+        for j in range(1, width + 1):
+            for i in range(max(0, j - self.longest), j):
+                x = best[i] + score[j - i][i]
+                better = x > best[j]  # an earlier begin, a longer piece, wins ties
+                best[j] = np.where(better, x, best[j])
+                back[j][better] = i
+                last[j] = np.where(better, ids[j - i][i], last[j])
+            np.maximum(best[j], LOW, out=best[j])
+        filled = np.zeros((n, width), np.int32)
+        at, row, column = lengths.copy(), np.arange(n), np.full(n, width)
+        while len(row):
+            column[row] -= 1
+            filled[row, column[row]] = last[at[row], row]
+            at[row] = back[at[row], row]
+            row = row[at[row] > 0]
+        data = filled.tobytes()
+        total = best[lengths, np.arange(n)].tolist()
+        return [(t, data[(k * width + c) * 4 : (k + 1) * width * 4]) for k, (t, c) in enumerate(zip(total, column.tolist(), strict=True))]
+
+    def learn(self, runs) -> None:
+        """Puts those runs that aren't known yet among the known ones, as far as CACHE goes."""
+        new = [s for s in runs if s not in self.known]
+        if len(self.known) + len(new) > CACHE:
+            self.known.clear()
+        self.known.update(zip(new, self.many(new), strict=True))
+
     def forward(self, s: str, entry: dict[int, int], stop: int | None = None) -> tuple[list[int], list[int]]:
         """Best score of each position of s and where its last piece begins.
 
@@ -123,17 +242,14 @@ class Vocabulary:
         return out, at
 
     def segment(self, s: str) -> tuple[int, bytes]:
-        """Score and ids (int32 bytes) of a run without inner cut, remembered if short."""
+        """Score and ids (int32 bytes) of a run without inner cut."""
         got = self.known.get(s)
-        if got is None:
-            best, back = self.forward(s, {0: 0})
-            ids, _ = self.trace(s, back, len(s))
-            got = best[-1], np.array(ids, np.int32).tobytes()
-            if len(s) <= 64:
-                if len(self.known) >= CACHE:
-                    self.known.clear()
-                self.known[s] = got
-        return got
+        return self.slow(s) if got is None else got
+
+    def slow(self, s: str) -> tuple[int, bytes]:
+        best, back = self.forward(s, {0: 0})
+        ids, _ = self.trace(s, back, len(s))
+        return best[-1], np.array(ids, np.int32).tobytes()
 
 
 #: Stands for a literal U+2581 of the text (a noncharacter, spelt out in bytes like any unknown).
@@ -155,18 +271,25 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary.load(path)
 
 
-def encode(text: str | None, v: Vocabulary) -> bytes:
-    """ids of a whole text, as int32 bytes."""
+def runs_of(text: str | None) -> list[str]:
+    """The runs of a whole text between cuts: each with the spaces before it."""
     if not text:
-        return b""
-    known, segment = v.known, v.segment
+        return []
     if "  " not in text and SPACE not in text and LITERAL not in text and text[0] != " " and text[-1] != " ":
-        out = []
-        for w in text.split(" "):
-            got = known.get(SPACE + w)
-            out.append(got[1] if got is not None else segment(SPACE + w)[1])
-        return b"".join(out)
-    return b"".join([segment(s)[1] for s in RUNS.findall(SPACE + escaped(text))])
+        return (SPACE + text.replace(" ", " " + SPACE)).split(" ")
+    return RUNS.findall(SPACE + escaped(text))
+
+
+def encode_all(texts: list[str | None], v: Vocabulary) -> list[bytes]:
+    """ids of whole texts, as int32 bytes."""
+    runs = [runs_of(t) for t in texts]
+    v.learn(set().union(*runs))
+    known = v.known
+    return [b"".join([known[s][1] for s in r]) for r in runs]
+
+
+def encode(text: str | None, v: Vocabulary) -> bytes:
+    return encode_all([text], v)[0]
 
 
 def decode(ids: list[int], v: Vocabulary) -> str:
@@ -207,7 +330,9 @@ def transfer(s: str, size: int, v: Vocabulary) -> np.ndarray:
         for i in range(n):
             m[i] = exits(v.forward(s, {i: 0}, size)[0]) if i <= len(s) else NONE
         return m
-    middle = sum(v.segment(x)[0] for x in RUNS.findall(s[first:last]))
+    runs = RUNS.findall(s[first:last])
+    v.learn(set(runs))
+    middle = sum(v.segment(x)[0] for x in runs)
     tail = v.forward(s[last:], {0: 0}, size - last)[0]
     tail = np.array([tail[size - last + j] if size - last + j < len(tail) else NONE for j in range(n)], np.int64)
     for i in range(min(n, first + 1)):
@@ -229,7 +354,9 @@ def paths(s: str, size: int, entry: np.ndarray, v: Vocabulary) -> tuple[list[int
     else:
         _, head = v.forward(s[:first], {i: x for i, x in start.items() if i <= first})
         ids, from_ = v.trace(s[:first], head, first)
-        shared = np.array(ids, np.int32).tobytes() + b"".join(v.segment(x)[1] for x in RUNS.findall(s[first:last]))
+        runs = RUNS.findall(s[first:last])
+        v.learn(set(runs))
+        shared = np.array(ids, np.int32).tobytes() + b"".join(v.segment(x)[1] for x in runs)
         offset = last
         best, back = v.forward(s[last:], {0: 0}, size - last)
     rest = s[offset:]
@@ -268,9 +395,9 @@ def plain(docs: DataFrame, model: str) -> DataFrame:
             begin, held = 0, 0
             for i in range(len(texts)):
                 held += len(texts[i] or "")
-                if held > 4_000_000 or i == len(texts) - 1:
+                if held > 3_000_000 or i == len(texts) - 1:
                     part = b.slice(begin, i + 1 - begin)
-                    yield pa.RecordBatch.from_arrays([*part.columns, id_lists([encode(t, v) for t in texts[begin : i + 1]])], [*b.schema.names, "pieces_ids"])
+                    yield pa.RecordBatch.from_arrays([*part.columns, id_lists(encode_all(texts[begin : i + 1], v))], [*b.schema.names, "pieces_ids"])
                     begin, held = i + 1, 0
 
     return docs.mapInArrow(run, f"{columns_of(docs)}, pieces_ids array<int>")
