@@ -1,4 +1,241 @@
-"""The reference queries and their SQL."""
+"""The reference queries over the test tables, and their SQL."""
 
-QUERIES = {}
-ORACLES = {}
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from kinfold.functions import fixed, text
+from kinfold.operators import blocking, metrics, model, pairs, rules, validate
+from kinfold.plans import oracle
+from kinfold.plans.adapter import TRUTH_SQL, entities, records, truth
+from kinfold.sources.tsv import wide_lists
+
+PATTERNS = {"with_digits": "[0-9]", "with_symbols": "[#*$%&|]", "with_mail": "@"}
+SIX = ("f05", "precision", "recall", "recall_ceiling", "avg_candidates", "reduction_ratio", "ratio")
+
+
+def six(df):
+    """Ratios to six digits: sums come in any order."""
+    return df.select(*[F.round(c, 6).alias(c) if c in SIX else c for c in df.columns])
+
+
+def normalized_names(s, d):
+    return records(s, d).select("entity_id", "name_norm")
+
+
+def normalized_addresses(s, d):
+    return records(s, d).select("entity_id", "address_norm", "address_core", "landmark", "city_norm", "pincode")
+
+
+def accents(s, d):
+    docs = s.read.parquet(f"{d}/documents.parquet")
+    return docs.select("doc_id", F.md5(text.strip_accents(F.col("text")).cast("binary")).alias("plain"))
+
+
+def distinctive_tokens(s, d):
+    r = records(s, d)
+    join = lambda c, stop: F.array_join(text.distinctive(text.tokens(F.col(c)), stop), " ")
+    return r.select("entity_id", join("name_norm", fixed.NAME_STOPWORDS).alias("name_words"), join("address_core", fixed.ADDRESS_STOPWORDS).alias("address_words"))
+
+
+def short(df):
+    return df.select("s1_id", "cand_id", "source", "score", "hits", "block_reason")
+
+
+def block_names(s, d):
+    return short(blocking.block_names(records(s, d), with_sound=False))
+
+
+def block_names_sound(s, d):
+    return short(blocking.block_names(records(s, d)))
+
+
+def block_addresses(s, d):
+    return short(blocking.block_addresses(records(s, d)))
+
+
+def bucket_drop(s, d):
+    return short(blocking.block_addresses(records(s, d), cap=5, bucket=6))
+
+
+def bucket_truncate(s, d):
+    """The hot names of parts as postings, cut at the first 20 of each bucket."""
+    p = s.read.parquet(f"{d}/part.parquet").select(F.lit("x").alias("country"), F.lit("name").alias("pass"), F.col("p_name").alias("key"), F.lit("S2").alias("source"), F.col("p_partkey").alias("pos"), F.lit(0).alias("event"))
+    return blocking.truncated(p, 20).select("key", "pos", "rank")
+
+
+def capped_lookups(s, d):
+    return blocking.capped_lookups(records(s, d), bucket=5, with_sound=False)
+
+
+def name_features(s, d):
+    df = pairs.with_name_features(block_names(s, d).select("s1_id", "cand_id"), records(s, d))
+    return df.select("s1_id", "cand_id", "levenshtein_sim", "token_jaccard", "char_ngram_cos", "exact_match")
+
+
+def name_ratios(s, d):
+    df = pairs.with_name_features(block_names(s, d).select("s1_id", "cand_id"), records(s, d))
+    return df.select("s1_id", "cand_id", "token_sort_ratio", "token_set_ratio")
+
+
+def address_features(s, d):
+    return pairs.with_address_features(block_addresses(s, d).select("s1_id", "cand_id"), records(s, d))
+
+
+def union_tracks(s, d):
+    return pairs.union_tracks(block_names(s, d), block_addresses(s, d))
+
+
+def matrix(s, d):
+    return pairs.merged(pairs.with_name_features(block_names(s, d).select("s1_id", "cand_id"), records(s, d)), address_features(s, d), truth(s, d))
+
+
+def merged_matrix(s, d):
+    return matrix(s, d)
+
+
+def labels(s, d):
+    return pairs.labelled(union_tracks(s, d), truth(s, d))
+
+
+def provenance_counts(s, d):
+    return six(metrics.provenance_counts(labels(s, d)))
+
+
+def rule_match(s, d):
+    return rules.rule_lists(records(s, d))
+
+
+def anti_fallback(s, d):
+    return rules.name_hits(*rules.sides(records(s, d))).select("s1_id", "cand_id", "match")
+
+
+def truth_lists(s, d):
+    first = entities(s, d).where("source = 'S1'")
+    return wide_lists(first, truth(s, d), "matched_entity_ids").select("source1_entity_id", "matched_entity_ids")
+
+
+def scored(s, d):
+    df = pairs.labelled(name_features(s, d), truth(s, d))
+    return df.select("s1_id", "cand_id", F.col("token_jaccard").alias("probability"), "label")
+
+
+def macro_f05(s, d):
+    return six(metrics.macro_f05(scored(s, d), truth(s, d), 0.5))
+
+
+def threshold_sweep(s, d):
+    return six(metrics.threshold_sweep(scored(s, d), truth(s, d)))
+
+
+def best_threshold(s, d):
+    return metrics.best_threshold(threshold_sweep(s, d))
+
+
+def name_report(s, d):
+    return six(metrics.blocking_report(block_names(s, d), truth(s, d), records(s, d), per_all=False))
+
+
+def address_report(s, d):
+    return six(metrics.blocking_report(block_addresses(s, d), truth(s, d), records(s, d), per_all=True, by_country=True))
+
+
+def combined_recall(s, d):
+    return metrics.combined_recall(block_names(s, d), block_addresses(s, d), truth(s, d))
+
+
+def missed_pairs(s, d):
+    return metrics.missed_pairs(block_names(s, d), block_addresses(s, d), truth(s, d))
+
+
+def country_counts(s, d):
+    return entities(s, d).groupBy("source", "country").agg(F.count("*").alias("n"))
+
+
+def length_stats(s, d):
+    df = metrics.length_stats(entities(s, d), "business_address", ["source", "country"])
+    return df.select("source", "country", "n", *[F.round(c, 6).alias(c) for c in df.columns if c not in ("source", "country", "n")])
+
+
+def missing_counts(s, d):
+    return metrics.missing_counts(entities(s, d), ["business_name", "business_address", "country"])
+
+
+def pattern_counts(s, d):
+    return metrics.pattern_counts(s.read.parquet(f"{d}/documents.parquet"), "text", PATTERNS, ["lang"])
+
+
+def common_words(s, d):
+    return metrics.common_words(entities(s, d), "business_address")
+
+
+def violations(s, d):
+    """The rule matcher's lists against a universe without the entities whose number ends in 7,
+    and known ids without those that end in 3."""
+    lists = rule_match(s, d)
+    e = entities(s, d)
+    need = e.where("source = 'S1' AND pos % 10 <> 7").select(F.col("entity_id").alias("s1_id"))
+    known = e.where("source <> 'S1' AND pos % 10 <> 3").select(F.col("entity_id").alias("cand_id"))
+    return validate.list_violations(lists, "matched_entity_ids", need, known).select("rule", "id")
+
+
+def fifteen_points(s, d):
+    lists = rule_match(s, d)
+    e = entities(s, d)
+    return validate.fifteen_points(lists, lists, e.where("source = 'S1'").select(F.col("entity_id").alias("s1_id")), e.where("source <> 'S1'").select(F.col("entity_id").alias("cand_id"))).select("rule", "passed")
+
+
+def entity_split(s, d):
+    return model.split_entities(union_tracks(s, d)).groupBy("s1_id", "validation").agg(F.count("*").alias("rows"))
+
+
+def boosted_scores(s, d):
+    m = model.split_entities(matrix(s, d)).cache()
+    return model.score(model.train(m, iterations=10, depth=4), m)
+
+
+QUERIES = {f.__name__: f for f in (
+    rule_match, normalized_names, normalized_addresses, accents, distinctive_tokens, block_names, block_names_sound, block_addresses, bucket_drop, bucket_truncate, capped_lookups,
+    name_features, name_ratios, address_features, union_tracks, merged_matrix, labels, provenance_counts, anti_fallback, truth_lists, macro_f05, threshold_sweep, best_threshold,
+    name_report, address_report, combined_recall, missed_pairs, country_counts, length_stats, missing_counts, pattern_counts, common_words, violations, fifteen_points, entity_split, boosted_scores,
+)}
+
+_flags = "SELECT coalesce(n.s1_id, a.s1_id) AS s1_id, coalesce(n.cand_id, a.cand_id) AS cand_id, CASE WHEN n.s1_id IS NULL THEN 0 ELSE 1 END AS from_name, CASE WHEN a.s1_id IS NULL THEN 0 ELSE 1 END AS from_address FROM names n FULL JOIN addresses a ON n.s1_id = a.s1_id AND n.cand_id = a.cand_id"
+_labelled = f"SELECT u.*, CASE WHEN t.s1_id IS NULL THEN 0 ELSE 1 END AS label FROM ({_flags}) u LEFT JOIN truth t ON u.s1_id = t.s1_id AND u.cand_id = t.cand_id"
+_sweep = oracle.sweep_sql(metrics.THRESHOLDS)
+_lengths = ", ".join(f"round({f}({v}), 6)::DOUBLE AS {n}_{v}" for v in ("chars", "words") for n, f in (("mean", "avg"), ("min", "min"), ("median", "median"), ("max", "max")))
+_address_words = "list_filter(regexp_split_to_array(business_address, '\\s+'), lambda t: t <> '')"
+
+ORACLES = {
+    "rule_match": f"WITH {oracle.RULE_LISTS_SQL} SELECT * FROM lists",
+    "normalized_names": f"WITH {oracle.RECORDS_SQL} SELECT entity_id, name_norm FROM rec",
+    "normalized_addresses": f"WITH {oracle.RECORDS_SQL} SELECT entity_id, address_norm, address_core, landmark, city_norm, pincode FROM rec",
+    "accents": 'SELECT doc_id, md5(strip_accents("text")) AS plain FROM documents',
+    "distinctive_tokens": f"WITH {oracle.RECORDS_SQL} SELECT entity_id, array_to_string({oracle.distinctive('name_norm', fixed.NAME_STOPWORDS)}, ' ') AS name_words, array_to_string({oracle.distinctive('address_core', fixed.ADDRESS_STOPWORDS)}, ' ') AS address_words FROM rec",
+    "block_names": f"WITH {oracle.NAME_BLOCKS_SQL} SELECT * FROM names",
+    "block_addresses": f"WITH {oracle.ADDRESS_BLOCKS_SQL} SELECT * FROM addresses",
+    "bucket_drop": f"WITH {oracle.address_blocks_sql(5, 6)} SELECT * FROM addresses",
+    "bucket_truncate": "SELECT key, pos, rank::INTEGER AS rank FROM (SELECT p_name AS key, p_partkey AS pos, row_number() OVER (PARTITION BY p_name ORDER BY p_partkey) AS rank FROM part) WHERE rank <= 20",
+    "capped_lookups": f"WITH {oracle.NAME_BLOCKS_SQL} SELECT count(*) AS capped_lookups FROM ev JOIN (SELECT DISTINCT country, pass, key FROM po1 WHERE size > 5) USING (country, pass, key)",
+    "name_features": oracle.NAME_FEATURES_SQL,
+    "address_features": oracle.ADDRESS_FEATURES_SQL,
+    "union_tracks": f"WITH {oracle.TRACKS_SQL} {_flags}",
+    "labels": f"WITH {oracle.TRACKS_SQL} {_labelled}",
+    "provenance_counts": f"WITH {oracle.TRACKS_SQL} SELECT count(*) AS pairs, count(*) FILTER (WHERE from_name = 1 AND from_address = 0) AS name_only, count(*) FILTER (WHERE from_name = 0 AND from_address = 1) AS address_only, count(*) FILTER (WHERE from_name = 1 AND from_address = 1) AS both, count(*) FILTER (WHERE label = 1) AS positives, count(*) FILTER (WHERE label = 0) AS negatives, round(count(*) FILTER (WHERE label = 0) / greatest(count(*) FILTER (WHERE label = 1), 1), 6) AS ratio FROM ({_labelled})",
+    "anti_fallback": f"WITH {oracle.HITS_SQL} SELECT s1_id, cand_id, match FROM h2",
+    "truth_lists": f"WITH {oracle.ENTITIES_SQL}, {TRUTH_SQL} SELECT entity_id AS source1_entity_id, coalesce(array_to_string(list_sort(list(cand_id) FILTER (WHERE cand_id IS NOT NULL)), ','), '') AS matched_entity_ids FROM ent LEFT JOIN truth ON s1_id = entity_id WHERE source = 'S1' GROUP BY 1",
+    "macro_f05": f"SELECT * EXCLUDE (threshold) FROM ({oracle.sweep_sql([0.5])})",
+    "threshold_sweep": _sweep,
+    "best_threshold": f"SELECT * FROM ({_sweep}) ORDER BY f05 DESC, threshold LIMIT 1",
+    "name_report": oracle.report_sql(oracle.NAME_BLOCKS_SQL, "names", False, False),
+    "address_report": oracle.report_sql(oracle.ADDRESS_BLOCKS_SQL, "addresses", True, True),
+    "combined_recall": f"WITH {oracle.TRACKS_SQL}, z AS (SELECT n.s1_id IS NOT NULL AS n, a.s1_id IS NOT NULL AS a FROM truth t LEFT JOIN names n ON t.s1_id = n.s1_id AND t.cand_id = n.cand_id LEFT JOIN addresses a ON t.s1_id = a.s1_id AND t.cand_id = a.cand_id) SELECT count(*) AS total, count(*) FILTER (WHERE n) AS by_name, count(*) FILTER (WHERE a) AS by_address, count(*) FILTER (WHERE n AND a) AS by_both, count(*) FILTER (WHERE n AND NOT a) AS name_only, count(*) FILTER (WHERE a AND NOT n) AS address_only, count(*) FILTER (WHERE NOT a AND NOT n) AS missed FROM z",
+    "missed_pairs": f"WITH {oracle.TRACKS_SQL} SELECT t.s1_id, t.cand_id FROM truth t WHERE NOT EXISTS (SELECT 1 FROM names n WHERE n.s1_id = t.s1_id AND n.cand_id = t.cand_id) AND NOT EXISTS (SELECT 1 FROM addresses a WHERE a.s1_id = t.s1_id AND a.cand_id = t.cand_id)",
+    "country_counts": f"WITH {oracle.ENTITIES_SQL} SELECT source, country, count(*) AS n FROM ent GROUP BY ALL",
+    "length_stats": f"WITH {oracle.ENTITIES_SQL}, x AS (SELECT source, country, length(business_address) AS chars, len({_address_words}) AS words FROM ent) SELECT source, country, count(*) AS n, {_lengths} FROM x GROUP BY ALL",
+    "missing_counts": f"WITH {oracle.ENTITIES_SQL} SELECT count(*) AS rows, count(*) FILTER (WHERE trim(business_name) = '') AS missing_business_name, count(*) FILTER (WHERE trim(business_address) = '') AS missing_business_address, count(*) FILTER (WHERE trim(country) = '') AS missing_country FROM ent",
+    "pattern_counts": "SELECT lang, count(*) AS n, " + ", ".join(f"count(*) FILTER (WHERE regexp_matches(\"text\", '{p}')) AS {n}" for n, p in PATTERNS.items()) + " FROM documents GROUP BY 1",
+    "common_words": f"WITH {oracle.ENTITIES_SQL}, w AS (SELECT unnest({_address_words.replace('business_address', 'lower(business_address)')}) AS word FROM ent) SELECT word, count(*) AS n FROM w GROUP BY 1 ORDER BY n DESC, word LIMIT 40",
+    "violations": f"WITH {oracle.RULE_LISTS_SQL}, m AS (SELECT source1_entity_id AS s, unnest(string_split(matched_entity_ids, ',')) AS id FROM lists WHERE matched_entity_ids <> '') SELECT 'extra entity' AS rule, source1_entity_id AS id FROM lists WHERE source1_entity_id NOT IN (SELECT entity_id FROM ent WHERE source = 'S1' AND pos % 10 <> 7) UNION ALL SELECT DISTINCT 'unknown id', id FROM m WHERE id NOT IN (SELECT entity_id FROM ent WHERE source <> 'S1' AND pos % 10 <> 3)",
+    "fifteen_points": "SELECT unnest(range(1, 16))::INTEGER AS rule, true AS passed",
+}
