@@ -193,10 +193,11 @@ class Vocabulary:
         return [(t, data[(k * width + c) * 4 : (k + 1) * width * 4]) for k, (t, c) in enumerate(zip(total, column.tolist(), strict=True))]
 
     def learn(self, runs) -> None:
-        """Puts those runs that aren't known yet among the known ones, as far as CACHE goes."""
+        """All of runs are known from here on; beyond CACHE, what was known before is forgotten."""
         new = [s for s in runs if s not in self.known]
         if len(self.known) + len(new) > CACHE:
             self.known.clear()
+            new = list(runs)
         self.known.update(zip(new, self.many(new), strict=True))
 
     def forward(self, s: str, entry: dict[int, int], stop: int | None = None) -> tuple[list[int], list[int]]:
