@@ -35,7 +35,10 @@ END = "\n"
 CLASSES = 32
 PER_CLASS = 32
 OUTPUTS = CLASSES * PER_CLASS
-MODEL_WORDS = OUTPUTS - 2
+#: The unknown word has the last class to itself: it is the commonest target by far, and needs
+#: no second softmax.
+UNKNOWN = OUTPUTS - PER_CLASS
+MODEL_WORDS = UNKNOWN - 1
 HIDDEN = 16
 LANES = 256
 WINDOW = 32
@@ -125,7 +128,7 @@ class Gru:
             gradient["wo"], gradient["bo"] = np.zeros_like(self.wo), np.zeros_like(self.bo)
         order = np.argsort(cls, kind="stable")
         cut = np.searchsorted(cls[order], np.arange(CLASSES + 1))
-        for k in range(CLASSES):
+        for k in range(CLASSES - 1):
             i = order[cut[k] : cut[k + 1]]
             if not len(i):
                 continue
@@ -298,7 +301,7 @@ class Head:
     """The most frequent words with their counts, by rank; the model knows the first ones."""
 
     def __init__(self, words: list[str], counts: list[int], total: int, distinct: int):
-        # the end is output 0; the model's words are 1..MODEL_WORDS; the last output is unknown
+        # the end is output 0; the model's words are 1..MODEL_WORDS; then comes the unknown word
         words_counts = [(w, c) for w, c in zip(words, counts, strict=True) if w != END]
         self.rank = {w.encode(): i + 1 for i, (w, _) in enumerate(words_counts)}
         end = dict(zip(words, counts, strict=True)).get(END, 0)
@@ -310,7 +313,8 @@ class Head:
         self.has_end = end > 0
         self.share = np.ones(OUTPUTS)
         self.share[: len(known)] += known
-        self.share[-1] = 10.0**self.log_unknown
+        self.share[UNKNOWN] = 10.0**self.log_unknown
+        self.share[UNKNOWN + 1 :] = 1e-9
         self.share /= self.share.sum()
 
     def ids(self, words: list[bytes]) -> np.ndarray:
@@ -320,7 +324,7 @@ class Head:
 
 
 def outputs(ranks: np.ndarray) -> np.ndarray:
-    return np.where((ranks < 0) | (ranks > MODEL_WORDS), OUTPUTS - 1, ranks).astype(np.int32)
+    return np.where((ranks < 0) | (ranks > MODEL_WORDS), UNKNOWN, ranks).astype(np.int32)
 
 
 def head_of(counts: DataFrame, size: int = HEAD) -> Head:
