@@ -94,23 +94,36 @@ class Gru:
         return Gru(*out)
 
     def run(self, tokens: np.ndarray, reset: np.ndarray, h: np.ndarray):
-        """States of a window: tokens and reset are (steps, lanes), h (lanes, hidden)."""
-        n = h.shape[1]
-        hs = np.empty((len(tokens) + 1, *h.shape), f32)
+        """States of a window: tokens and reset are (steps, lanes), h (hidden, lanes).
+
+        Lanes come last, so that each gate is one block of memory; what does not depend on the
+        state is done for all steps at once, here and in `back`.
+        """
+        n, (steps, lanes) = h.shape[0], tokens.shape
+        u = np.ascontiguousarray(self.u.T)
+        u[: 2 * n] *= 0.5
+        bn = self.bn[:, None]
+        g = np.ascontiguousarray(self.wx[tokens].transpose(0, 2, 1))
+        g[:, : 2 * n] *= 0.5
+        hs, rz, an, c = (np.empty((steps + k, m, lanes), f32) for k, m in ((1, n), (0, 2 * n), (0, n), (0, n)))
         hs[0] = h
-        kept = []
-        for t in range(len(tokens)):
-            h = hs[t] * reset[t][:, None]
-            g, a = self.wx[tokens[t]], h @ self.u
-            rz = np.tanh(0.5 * (g[:, : 2 * n] + a[:, : 2 * n]))
-            rz *= 0.5
-            rz += 0.5
-            an = a[:, 2 * n :] + self.bn
-            c = np.tanh(g[:, 2 * n :] + rz[:, :n] * an)
-            z = rz[:, n:]
-            np.add(c, z * (h - c), out=hs[t + 1])
-            kept.append((h, rz, an, c))
-        return hs, kept
+        ends = (reset == 0).any(1).tolist()
+        for t in range(steps):
+            h = hs[t] * reset[t] if ends[t] else hs[t]
+            a = u @ h
+            s, x, y = rz[t], c[t], hs[t + 1]
+            np.add(g[t, : 2 * n], a[: 2 * n], out=s)
+            np.tanh(s, out=s)
+            s *= 0.5
+            s += 0.5
+            np.add(a[2 * n :], bn, out=an[t])
+            np.multiply(s[:n], an[t], out=x)
+            x += g[t, 2 * n :]
+            np.tanh(x, out=x)
+            np.subtract(h, x, out=y)
+            y *= s[n:]
+            y += x
+        return hs, (rz, an, c, ends)
 
     def logs(self, h: np.ndarray, target: np.ndarray, gradient: dict | None = None) -> np.ndarray:
         """Natural log of each target's probability; adds gradients of the sum of -log."""
@@ -126,7 +139,7 @@ class Gru:
             gradient["wc"], gradient["bc"] = h.T @ e, e.sum(0)
             dh = e @ self.wc.T
             gradient["wo"], gradient["bo"] = np.zeros_like(self.wo), np.zeros_like(self.bo)
-        order = np.argsort(cls, kind="stable")
+        order = np.argsort(cls.astype(np.int16), kind="stable")  # 16 bits: a radix sort
         cut = np.searchsorted(cls[order], np.arange(CLASSES + 1))
         for k in range(CLASSES - 1):
             i = order[cut[k] : cut[k + 1]]
@@ -147,27 +160,34 @@ class Gru:
             gradient["h"] = dh
         return out
 
-    def back(self, tokens, reset, kept, dhs: np.ndarray, gradient: dict) -> None:
-        """Backpropagation through the window's steps, and no further."""
-        n = dhs.shape[2]
-        d_u, d_bn = np.zeros_like(self.u), np.zeros_like(self.bn)
-        d_g = np.empty((len(tokens), dhs.shape[1], 3 * n), f32)
-        later = np.zeros(dhs.shape[1:], f32)
-        for t in range(len(tokens) - 1, -1, -1):
-            h, rz, an, c = kept[t]
-            r, z = rz[:, :n], rz[:, n:]
-            dh = dhs[t] + later
-            dc = dh * (1 - z) * (1 - c * c)
-            dz = dh * (h - c) * z * (1 - z)
-            dr = dc * an * r * (1 - r)
-            g = d_g[t]
-            g[:, :n], g[:, n : 2 * n], g[:, 2 * n :] = dr, dz, dc
-            da = g.copy()
-            da[:, 2 * n :] *= r
-            d_u += h.T @ da
-            d_bn += da[:, 2 * n :].sum(0)
-            later = (dh * z + da @ self.u.T) * reset[t][:, None]
-        gradient["u"], gradient["bn"], gradient["g"] = d_u, d_bn, d_g
+    def back(self, hs: np.ndarray, reset: np.ndarray, kept, dhs: np.ndarray, gradient: dict) -> None:
+        """Backpropagation through the window's steps, and no further. dhs is used up."""
+        rz, an, c, ends = kept
+        steps, n, lanes = dhs.shape
+        r, z = rz[:, :n], rz[:, n:]
+        h = hs[:-1] * reset[:, None]
+        of_c = (1 - z) * (1 - c * c)
+        of_z = (h - c) * z * (1 - z)
+        of_r = an * r * (1 - r)
+        d_g, d_a = np.empty((steps, 3 * n, lanes), f32), np.empty((steps, 3 * n, lanes), f32)
+        later = 0
+        for t in range(steps - 1, -1, -1):
+            dh, g, a = dhs[t], d_g[t], d_a[t]
+            dh += later
+            np.multiply(dh, of_c[t], out=g[2 * n :])
+            np.multiply(g[2 * n :], of_r[t], out=g[:n])
+            np.multiply(dh, of_z[t], out=g[n : 2 * n])
+            a[: 2 * n] = g[: 2 * n]
+            np.multiply(g[2 * n :], r[t], out=a[2 * n :])
+            later = self.u @ a
+            dh *= z[t]
+            later += dh
+            if ends[t]:
+                later *= reset[t]
+        d_a = d_a.transpose(1, 0, 2).reshape(3 * n, -1)
+        gradient["u"] = h.transpose(1, 0, 2).reshape(n, -1) @ d_a.T
+        gradient["bn"] = d_a[2 * n :] @ np.ones(d_a.shape[1], d_a.dtype)
+        gradient["g"] = d_g.transpose(0, 2, 1).reshape(-1, 3 * n)
 
 
 class Lanes:
@@ -224,19 +244,20 @@ def in_lanes(model: Gru, ids: list[np.ndarray], train: dict | None = None, windo
     inputs[lay.first] = 0
     goes_on = (~lay.first).astype(f32)
     logs = np.empty(len(flat), f32)
-    h = np.zeros((lay.at.shape[1], model.u.shape[0]), f32)
+    n = model.u.shape[0]
+    h = np.zeros((n, lay.at.shape[1]), f32)
     for at in lay.windows(window):
         k = at.shape[1]
         tokens, reset = inputs[at], goes_on[at]
-        hs, kept = model.run(tokens, reset, h[:k])
+        hs, kept = model.run(tokens, reset, h[:, :k])
         h = hs[-1]
-        states, target = hs[1:].reshape(-1, h.shape[1]), flat[at].ravel()
+        states, target = hs[1:].transpose(0, 2, 1).reshape(-1, n), flat[at].ravel()
         if train is None:
             logs[at.ravel()] = model.logs(states, target)
             continue
         gradient: dict = {}
         logs[at.ravel()] = model.logs(states, target, gradient)
-        model.back(tokens, reset, kept, gradient.pop("h").reshape(*at.shape, -1), gradient)
+        model.back(hs, reset, kept, np.ascontiguousarray(gradient.pop("h").reshape(*at.shape, n).transpose(0, 2, 1)), gradient)
         learn(model, train, gradient, tokens.ravel())
     total = np.add.reduceat(logs.astype(np.float64), np.r_[0, np.cumsum(lengths)[:-1]])
     return total / LN10
@@ -248,11 +269,11 @@ def learn(model: Gru, sums: dict, gradient: dict, tokens: np.ndarray, rate: floa
         g = gradient[name] * scale
         sums[name] += g * g
         getattr(model, name).__isub__(rate * g / np.sqrt(sums[name]))
-    order = np.argsort(tokens, kind="stable")
+    order = np.argsort(tokens.astype(np.int16), kind="stable")
     sorted_ = tokens[order]
     begin = np.flatnonzero(np.r_[True, sorted_[1:] != sorted_[:-1]])
     rows = sorted_[begin]
-    g = np.add.reduceat(gradient["g"].reshape(len(tokens), -1)[order], begin) * scale
+    g = np.add.reduceat(gradient["g"][order], begin) * scale
     sums["wx"][rows] += g * g
     model.wx[rows] -= rate * g / np.sqrt(sums["wx"][rows])
 
@@ -404,6 +425,14 @@ def trained(docs: DataFrame, head: Head) -> Gru:
 SCORED = "doc_id long, held_out boolean, n_tokens long, known long, base double, score double, tail array<struct<w:string,n:int>>"
 
 
+def tail_lists(tails: list[Counter]) -> pa.Array:
+    words = pa.array([w.decode("utf-8", "replace") for t in tails for w in t], pa.string())
+    counts = pa.array([c for t in tails for c in t.values()], pa.int32())
+    ends = np.zeros(len(tails) + 1, np.int32)
+    np.cumsum([len(t) for t in tails], out=ends[1:])
+    return pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays([words, counts], ["w", "n"]))
+
+
 def scored(docs: DataFrame, held_out: Column, head: Head, model: Gru) -> DataFrame:
     """SCORED for every document; tail: its words beyond the head, whose counts are to be joined."""
 
@@ -415,7 +444,7 @@ def scored(docs: DataFrame, held_out: Column, head: Head, model: Gru) -> DataFra
                 words = lower_az(text or "").split()
                 ranks = head.ids(words)
                 far = np.flatnonzero(ranks < 0)
-                tails.append([{"w": w.decode("utf-8", "replace"), "n": c} for w, c in Counter([words[j] for j in far]).items()])
+                tails.append(Counter([words[j] for j in far.tolist()]))
                 group.append(ranks)
                 n += len(ranks)
                 if n >= TOGETHER or i == len(texts) - 1:
@@ -433,7 +462,7 @@ def scored(docs: DataFrame, held_out: Column, head: Head, model: Gru) -> DataFra
             known.append(len(near) - (0 if head.has_end else 1))
             base.append(float(head.log_c1[near].sum()) - len(ranks) * head.log_base)
             score[k] += float(head.log_c1[near[near > MODEL_WORDS]].sum()) - unknown * head.log_unknown
-        cols = [doc_ids, held, pa.array(lengths, pa.int64()), pa.array(known, pa.int64()), pa.array(base), pa.array(score), pa.array(tails, pa.list_(pa.struct([("w", pa.string()), ("n", pa.int32())])))]
+        cols = [doc_ids, held, pa.array(lengths, pa.int64()), pa.array(known, pa.int64()), pa.array(base), pa.array(score), tail_lists(tails)]
         return pa.RecordBatch.from_arrays(cols, [x.split()[0] for x in SCORED.split(", ")[:6]] + ["tail"])
 
     return docs.select(F.col("doc_id").cast("long"), "text", held_out.alias("held_out")).mapInArrow(run, SCORED)
