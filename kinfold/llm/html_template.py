@@ -186,7 +186,7 @@ def hashed(nodes: list[Node], kept: set[Node]) -> set[int]:
             if type(k) is Node:
                 part = codes.get(k, 0)
             else:
-                b = re.sub(r"\d+", "0", " ".join(k.split())).encode("utf-8", "surrogatepass")
+                b = " ".join(k.split()).encode("utf-8", "surrogatepass")
                 part = zlib.crc32(b) << 32 | zlib.adler32(b)
             wide = (wide * 0x9E3779B97F4A7C15 + part * 0xC2B2AE3D27D4EB4F + 0x165667B19E3779F9) & 0xFFFFFFFFFFFFFFFF
             wide ^= wide >> 29
