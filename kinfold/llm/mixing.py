@@ -96,9 +96,9 @@ def plan(counts: DataFrame, entropy_gain: float | None = None, max_epochs: float
     weighed = weighed.withColumn("whole", F.floor(F.col("epochs") + 1e-9)).withColumn("rest", F.floor(F.col("weight") * budget + 1e-6) - F.col("whole") * F.col("tokens"))
     weighed = written(weighed, "mix-plan")
     of = small(weighed.select(F.col("source").alias("s"), "whole", "rest"))
-    rows = counts.join(of, counts["source"].eqNullSafe(of["s"])).where("rest >= 0").select("source", "rest", "n", key(F.col("doc_id"), F.col("whole")).alias("key"))
+    rows = counts.join(of, counts["source"].eqNullSafe(of["s"])).where("rest > 0").select("source", "rest", "n", key(F.col("doc_id"), F.col("whole")).alias("key"))
     # the cut: level by level, the prefix within which the running sum passes what is left
-    left = weighed.where("rest >= 0").select(F.col("source").alias("l_source"), F.lit("").alias("l_prefix"), F.col("rest").alias("left"))
+    left = weighed.where("rest > 0").select(F.col("source").alias("l_source"), F.lit("").alias("l_prefix"), F.col("rest").alias("left"))
     before = None
     for level in range(1, DEPTH + 1):
         left = small(left)
@@ -169,7 +169,7 @@ k AS (
   SELECT d.doc_id, d.source, n, whole, floor(goal + 1e-6)::BIGINT - whole * tokens AS rest, md5(coalesce(doc_id::VARCHAR, '') || ':' || whole::VARCHAR) AS key
   FROM d JOIN w ON d.source IS NOT DISTINCT FROM w.source),
 c AS (SELECT *, sum(n) OVER (PARTITION BY source ORDER BY key) AS upto FROM k),
-r AS (SELECT doc_id, source, n, whole + CASE WHEN upto <= rest THEN 1 ELSE 0 END AS copies FROM c),
+r AS (SELECT doc_id, source, n, whole + CASE WHEN rest > 0 AND upto <= rest THEN 1 ELSE 0 END AS copies FROM c),
 x AS (SELECT doc_id, source, n, unnest(range(copies)) AS block FROM r)
 SELECT doc_id, source, n AS n_tokens, block::BIGINT AS block, md5(coalesce(doc_id::VARCHAR, '') || ':' || block::VARCHAR) AS perm_key FROM x
 """
