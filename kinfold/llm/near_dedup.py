@@ -284,11 +284,12 @@ def in_order(df: DataFrame) -> DataFrame:
 
 def first_links(posted: DataFrame, docs: DataFrame, n: int) -> DataFrame:
     """a, b: confirmed links of each class with its best partner in each list."""
-    sizes = posted.groupBy("token").agg(F.count("*").alias("m"))
-    few = posted.join(small(sizes.where(F.col("m") > 2 * BLOCK)), "token")
+    # only long lists need their size, and there are few: at most one for 2 * BLOCK postings
+    sizes = small(written(posted.groupBy("token").agg(F.count("*").alias("m")).where(F.col("m") > 2 * BLOCK), "dedup-sizes"))
+    few = posted.join(sizes, "token")
     hubs = few.groupBy("token", F.pmod(F.xxhash64("doc", "k1"), F.lit(HUBS)).alias("h")).agg(F.max_by(F.struct("doc", "k1"), F.struct("shared", -F.col("doc"))).alias("hub")).select("token", F.col("hub.doc").alias("doc"), F.col("hub.k1").alias("k1"), F.lit(True).alias("hub"))
-    marked = posted.join(sizes, "token").where("m > 1").join(small(written(hubs, "dedup-hubs")), ["token", "doc", "k1"], "left")
-    long = F.col("m") > 2 * BLOCK
+    marked = posted.join(sizes, "token", "left").join(small(written(hubs, "dedup-hubs")), ["token", "doc", "k1"], "left")
+    long = F.col("m").isNotNull()
     lefts = F.when(long, F.ceil(F.col("m") / BLOCK)).otherwise(1)
     spread = dealt(marked, F.lit(True), ~long | F.coalesce("hub", F.lit(False)), lefts, F.lit(1))
     pairs = in_order(spread.select("token", "bi", "bj", "role", "doc", "k1", "n", "sig")).mapInArrow(best_partners, "a long, ka long, b long, kb long").distinct()
