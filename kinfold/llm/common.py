@@ -28,14 +28,31 @@ def shared_dir(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
+#: Tables that `written` made in this process, for `release`.
+_made: list[str] = []
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """`df` as a Parquet table in the shared folder, read back: its lineage ends there."""
+    """`df` as a Parquet table in the shared folder, read back: its lineage ends there.
+
+    The table stays until `release`, since results read it.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _made.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> int:
+    """Deletes the tables of all steps so far, once the results that read them are stored."""
+    n = len(_made)
+    while _made:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return n
+
+
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """`df`, marked for broadcast only if a count shows at most `rows` rows.
 
