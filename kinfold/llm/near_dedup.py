@@ -133,7 +133,8 @@ def full_sets(docs: DataFrame, wanted: DataFrame, n: int = WORDS) -> DataFrame:
 def postings(classes: DataFrame) -> DataFrame:
     """token, doc, k1, n, sig, tokens, shared: a row for each kept coordinate-value pair."""
     tokens = classes.select("doc", "k1", F.explode("posted").alias("token"))
-    often = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
+    # written, so that the join reads it by an exchange of its own: Spark then splits hot values
+    often = written(tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "dedup-often")
     shared = tokens.join(often, "token").groupBy("doc", "k1").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("x"))
     # those of one class alone are the rarest of all, and take their places in the prefix
     keep = F.lit(POSTED - MATCHED + 1 - POSTED) + F.size("x")
@@ -309,7 +310,7 @@ def crossing_links(posted: DataFrame, docs: DataFrame, labels: DataFrame, n: int
     named = written(named, "dedup-named")
     parts = named.groupBy("token", "comp").agg(F.count("*").alias("c"))
     lists = parts.groupBy("token").agg(F.count("*").alias("comps"), F.sum("c").alias("m"), F.max(F.struct("c", "comp")).alias("top")).where("comps > 1")
-    lists = lists.select("token", "m", F.col("top.comp").alias("giant"), (F.col("m") - F.col("top.c")).alias("others"))
+    lists = written(lists.select("token", "m", F.col("top.comp").alias("giant"), (F.col("m") - F.col("top.c")).alias("others")), "dedup-lists")
     rows = named.join(lists, "token")
     one = F.col("m") <= 2 * BLOCK
     spread = dealt(rows, F.col("comp") != F.col("giant"), F.lit(True), F.when(one, 1).otherwise(F.ceil(F.col("others") / BLOCK)), F.when(one, 1).otherwise(F.ceil(F.col("m") / BLOCK)))
