@@ -14,8 +14,8 @@ each of its exit states, and a last step picks the exits. No piece holds a space
 character, so before such a space all states meet: within a chunk only the first and the last
 word differ by state.
 
-The vocabulary file is a parameter; it is read by each task's process from its own disk, or
-shipped as bytes. Defined results: a null text is like an empty one, no tokens; repeated rows
+The vocabulary file is a parameter: its path must lead to the file on every executor. Defined
+results: a null text is like an empty one, no tokens; repeated rows
 are encoded each; an empty table gives no rows; `encoded` keeps all columns of docs.
 """
 
