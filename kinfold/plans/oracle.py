@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from kinfold.functions import fixed
 from kinfold.plans.adapter import ENTITIES_SQL, TRUTH_SQL
 
@@ -122,8 +124,6 @@ ADDRESS_BLOCKS_SQL = address_blocks_sql()
 #: Both tracks in one: the name track's tables under other names.
 _names = NAME_BLOCKS_SQL[len(RECORDS_SQL) + 1 :]
 for _old in ("ev", "po0", "po1", "po", "pairs"):
-    import re
-
     _names = re.sub(rf"\b{_old}\b(?!\.pos)", f"n_{_old}", _names)
 TRACKS_SQL = ADDRESS_BLOCKS_SQL + "," + _names + f", {TRUTH_SQL}"
 
