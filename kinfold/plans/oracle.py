@@ -54,7 +54,8 @@ PINCODE = rf"""coalesce(
 LANDMARK = rf"""array_to_string(list_transform(list_filter(list_transform(regexp_extract_all(raw, '(?i){fixed.LANDMARK}'), lambda x: trim(x, ' ,;()')), lambda x: length(x) >= 4),
   lambda x: {squeezed("lower(regexp_replace(regexp_replace(x, '(?i)\\bopp\\s*\\.?\\b', 'opposite', 'g'), '(?i)\\bnr\\s*\\.?\\b', 'near', 'g'))")}), ' | ')"""
 
-NAME_NORM = squeezed(f"regexp_replace({nested('lower(replace(core, chr(38), concat(chr(32), chr(97), chr(110), chr(100), chr(32))))', fixed.LEGAL_FORMS)}, '{fixed.NON_WORD}', ' ', 'g')")
+_name = nested("lower(replace(core, '&', ' and '))", fixed.LEGAL_FORMS)
+NAME_NORM = squeezed(f"regexp_replace({_name}, '{fixed.NON_WORD}', ' ', 'g')")
 _address = nested("lower(replace(replace(replace(raw, '&', ' and '), '#', ' number '), '/', ' '))", fixed.ADDRESS_PHRASES)
 ADDRESS_NORM = f"array_to_string(list_transform({words(squeezed(f"regexp_replace({_address}, '{fixed.NON_WORD}', ' ', 'g')"))}, lambda t: coalesce(({ABBREVIATIONS})[t], t)), ' ')"
 
