@@ -416,7 +416,8 @@ def trained(docs: DataFrame, head: Head) -> Gru:
     share = min(1.0, START_TOKENS / head.total)
     first = docs.where(F.pmod(F.xxhash64("text", F.lit("start")), F.lit(1_000_000)) < max(1, int(share * 1_000_000)))
     start = packed(fresh, adagrad(fresh))
-    start = averaged(first.select("text").coalesce(1).mapInArrow(trained_rows(head, fresh, start, START_EPOCHS, START_LANES), PARTS), start)
+    # all tasks look for the sample, and only it goes to the one that fits the start
+    start = averaged(first.select("text").repartition(1).mapInArrow(trained_rows(head, fresh, start, START_EPOCHS, START_LANES), PARTS), start)
     return unpacked(fresh, averaged(docs.select("text").mapInArrow(trained_rows(head, fresh, start, 1), PARTS), start))[0]
 
 
