@@ -58,8 +58,7 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 
     Above that it stays unmarked and Spark joins by shuffle, splitting skewed partitions.
     """
-    n = df.limit(rows + 1).select(F.lit(1)).count()
-    return F.broadcast(df) if n <= rows else df
+    return F.broadcast(df) if df.count() <= rows else df
 
 
 def text_of(df: DataFrame, col: str = "text") -> DataFrame:
