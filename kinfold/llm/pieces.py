@@ -36,7 +36,7 @@ from kinfold.llm.common import table, written
 GIANT = 1 << 16
 CHUNK = 1 << 15
 SPACE = "▁"
-CACHE = 400_000
+CACHE = 200_000
 NONE = np.iinfo(np.int64).min // 4
 
 
@@ -96,7 +96,8 @@ class Slots:
 LOW = -(1 << 29)
 #: Longest run that is encoded with others, many at a time.
 VECTOR_LENGTH = 48
-VECTOR_ROWS = 20_000
+#: Characters of the runs that are encoded at once: some 20 MB of arrays.
+VECTOR_CHARS = 100_000
 
 
 class Vocabulary:
@@ -150,8 +151,9 @@ class Vocabulary:
             else:
                 out[k] = self.slow(s)
         for width, places in by.items():
-            for i in range(0, len(places), VECTOR_ROWS):
-                part = places[i : i + VECTOR_ROWS]
+            rows = VECTOR_CHARS // width
+            for i in range(0, len(places), rows):
+                part = places[i : i + rows]
                 for k, got in zip(part, self.block([runs[k] for k in part], width), strict=True):
                     out[k] = got
         return out
@@ -396,7 +398,7 @@ def plain(docs: DataFrame, model: str) -> DataFrame:
             begin, held = 0, 0
             for i in range(len(texts)):
                 held += len(texts[i] or "")
-                if held > 3_000_000 or i == len(texts) - 1:
+                if held > 1_000_000 or i == len(texts) - 1:
                     part = b.slice(begin, i + 1 - begin)
                     yield pa.RecordBatch.from_arrays([*part.columns, id_lists(encode_all(texts[begin : i + 1], v))], [*b.schema.names, "pieces_ids"])
                     begin, held = i + 1, 0
