@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,6 +80,21 @@ def lower_az(text: str) -> bytes:
     return text.encode("utf-8", "surrogatepass").lower()
 
 
+def tidied(batches):
+    """The batches; after the last, what the task has freed goes back to the system.
+
+    Python workers live on between tasks, and would keep the most that any task took.
+    """
+    try:
+        yield from batches
+    finally:
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (OSError, AttributeError):  # another C library
+            pass
+
+
 class WordHash(dict):
     """word -> crc32, remembered up to a bound, then computed again."""
 

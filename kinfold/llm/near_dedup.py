@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinfold.llm.common import lower_az, small, table, written
+from kinfold.llm.common import lower_az, small, table, tidied, written
 from kinfold.llm.components import components
 
 WORDS = 4
@@ -64,7 +64,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 class WordKeys(dict):
     def __missing__(self, w: bytes) -> int:
         h = xxhash.xxh3_64_intdigest(w)
-        if len(self) < 500_000:
+        if len(self) < 100_000:
             self[w] = h
         return h
 
@@ -113,7 +113,7 @@ def signed(docs: DataFrame, n: int = WORDS) -> DataFrame:
                 sig.append(m.astype(np.uint8).tobytes())
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(size, pa.int64()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(posted, pa.list_(pa.int64())), pa.array(sig, pa.binary())], ["doc_id", "n", "k1", "k2", "posted", "sig"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n long, k1 long, k2 long, posted array<long>, sig binary")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lambda b: tidied(run(b)), "doc_id long, n long, k1 long, k2 long, posted array<long>, sig binary")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, n: int = WORDS) -> DataFrame:
@@ -126,7 +126,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, n: int = WORDS) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([fingerprint(s)[0] for s in sets], pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["doc", "k1", "set"])
 
     ids = small(wanted.select(F.col("doc").alias("doc_id")).distinct())
-    sets = docs.select(F.col("doc_id").cast("long"), "text").join(ids, "doc_id", "left_semi").mapInArrow(run, "doc long, k1 long, set array<long>")
+    sets = docs.select(F.col("doc_id").cast("long"), "text").join(ids, "doc_id", "left_semi").mapInArrow(lambda b: tidied(run(b)), "doc long, k1 long, set array<long>")
     return sets.join(wanted.select("doc", "k1").distinct(), ["doc", "k1"]).dropDuplicates(["doc", "k1"])
 
 

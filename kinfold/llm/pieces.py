@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinfold.llm.common import table, written
+from kinfold.llm.common import table, tidied, written
 
 GIANT = 1 << 16
 CHUNK = 1 << 15
@@ -402,8 +402,9 @@ def plain(docs: DataFrame, model: str) -> DataFrame:
                     part = b.slice(begin, i + 1 - begin)
                     yield pa.RecordBatch.from_arrays([*part.columns, id_lists(encode_all(texts[begin : i + 1], v))], [*b.schema.names, "pieces_ids"])
                     begin, held = i + 1, 0
+        v.known.clear()
 
-    return docs.mapInArrow(run, f"{columns_of(docs)}, pieces_ids array<int>")
+    return docs.mapInArrow(lambda b: tidied(run(b)), f"{columns_of(docs)}, pieces_ids array<int>")
 
 
 def giants(docs: DataFrame, model: str, chunk: int = CHUNK, longest: int = 16) -> DataFrame:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinfold.llm.common import crc_rest, table
+from kinfold.llm.common import crc_rest, table, tidied
 
 #: Bound on the rows of each kind that the model is fitted on.
 FIT_ROWS = 20_000
@@ -85,7 +85,7 @@ def gathered(df: DataFrame, rows: int) -> np.ndarray:
             x = features(b.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([pa.array(list(x), pa.list_(pa.float64()))], ["x"])
 
-    got = df.select("text").mapInArrow(compute, "x array<double>").limit(rows).toArrow().column("x").combine_chunks()
+    got = df.select("text").mapInArrow(lambda b: tidied(compute(b)), "x array<double>").limit(rows).toArrow().column("x").combine_chunks()
     return np.asarray(got.flatten(), np.float64).reshape(-1, FEATURES)
 
 
@@ -166,7 +166,7 @@ def scored(docs: DataFrame, model: Model, cut: float = CUT) -> DataFrame:
             s = model.score(features(b.column("text").to_pylist()))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s), pa.array((s >= cut).astype(np.int32))], [*b.schema.names, "score", "predicted"])
 
-    return docs.select(*[docs[c] for c in cols]).mapInArrow(compute, f"{schema}, score double, predicted int")
+    return docs.select(*[docs[c] for c in cols]).mapInArrow(lambda b: tidied(compute(b)), f"{schema}, score double, predicted int")
 
 
 def op10_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
