@@ -1,10 +1,11 @@
 """Main text of web pages by removing site templates.
 
-Every block element outside a page's article is hashed with all it holds; Spark counts, for
-each host, the pages that hold a hash; subtrees on many pages of their host are deleted. What
-the markup itself names as menu, footer, advert, form, comment and so on goes as well. A
-page's article (article, main, or what its class names content) is never thinned by the
-counts: a passage that many articles quote is text, not template.
+Every block element of a page, inside its article (article, main, or what its class names
+content) and outside, is hashed with all it holds; Spark counts, for each host, the pages that
+hold a hash; subtrees on many pages of their host are deleted. What the markup itself names as
+menu, footer, advert, form, comment and so on goes as well. Within an article a bare passage
+(a paragraph, heading, item and the like without attributes) stays however often it recurs,
+unless a recurring box holds it: what many articles quote is text, not template.
 
 Defined results: a null html or an empty page gives ''; a null or odd url counts as the host
 ''; rows are treated one by one, so repeated rows give repeated rows; other columns pass by.
@@ -48,6 +49,8 @@ SIBLINGS = {
     "tr": (frozenset(["tr"]), frozenset(["table"])), "td": (frozenset(["td", "th"]), frozenset(["tr", "table"])), "th": (frozenset(["td", "th"]), frozenset(["tr", "table"])),
     "option": (frozenset(["option"]), frozenset(["select"])),
 }
+#: Without attributes, these are passages of text rather than boxes.
+PASSAGES = frozenset("p blockquote h1 h2 h3 h4 h5 h6 hgroup pre li dt dd tr td th thead tbody tfoot figcaption summary hr".split())
 DROPPED = frozenset("head title script style noscript template iframe object embed svg canvas audio video nav aside footer form fieldset select option button input textarea dialog menu search".split())
 NOISE = frozenset(
     "nav navbar navigation menu submenu masthead footer sidebar aside ad ads adv advert adverts advertisement adsbygoogle adslot banner promo promotion sponsor sponsored cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription share sharing social breadcrumb breadcrumbs comment comments disqus respond replies reply related recommended widget toolbar pagination pager login signup search copyright complementary contentinfo".split()
@@ -164,22 +167,25 @@ def articles(nodes: list[Node]) -> list[Node]:
     return []
 
 
-def hashed(nodes: list[Node], kept: set[Node]) -> set[int]:
-    """Hashes of the block subtrees outside articles; each node keeps its own (0: none)."""
+def passage(x: Node) -> bool:
+    return x.tag in PASSAGES and not x.attrs.strip(" /")
+
+
+def hashed(nodes: list[Node], tops: set[Node]) -> set[int]:
+    """Hashes of the block subtrees but articles, what holds them, and passages in them; each
+    node keeps its own (0: none)."""
     out: set[int] = set()
     holds = set()
-    for x in kept:
+    for x in tops:
         while x is not None and x not in holds:
             holds.add(x)
             x = x.up
     codes: dict[Node, int] = {}
-    skipped: set[Node] = set()
+    inside = set(tops)
     for x in nodes:
-        if x in kept or x.up in skipped:
-            skipped.add(x)
+        if x.up in inside:
+            inside.add(x)
     for x in reversed(nodes):
-        if x in skipped:
-            continue
         code = zlib.crc32(f"<{x.tag} {x.attrs}>".encode("utf-8", "surrogatepass"))
         wide = code
         for k in x.kids:
@@ -191,7 +197,7 @@ def hashed(nodes: list[Node], kept: set[Node]) -> set[int]:
             wide = (wide * 0x9E3779B97F4A7C15 + part * 0xC2B2AE3D27D4EB4F + 0x165667B19E3779F9) & 0xFFFFFFFFFFFFFFFF
             wide ^= wide >> 29
         codes[x] = wide
-        if x.tag in BLOCKS and x not in holds and x.up is not None and any(type(k) is Node or k.strip() for k in x.kids):
+        if x.tag in BLOCKS and x not in holds and x.up is not None and not (x in inside and passage(x)) and any(type(k) is Node or k.strip() for k in x.kids):
             x.code = wide - (1 << 63) or 1
             out.add(x.code)
     return out
@@ -204,8 +210,8 @@ def main_text(source: str | None, recurring: frozenset[int] | set[int] = frozens
     root = tree(source)
     nodes = list(walk(root))
     tops = articles(nodes)
-    if recurring and not tops:
-        hashed(nodes, set())
+    if recurring:
+        hashed(nodes, set(tops))
     own = set(tops)
     out: list[str] = []
     todo: list = list(reversed(tops or [root]))

@@ -39,6 +39,13 @@ def test_templates_of_a_host_go_and_its_articles_stay(spark):
     assert ht.extract(df.where("false")).count() == 0
 
 
+def test_boxes_within_articles_go_and_passages_stay(spark):
+    box = "<div><p>By our staff</p><p>More of this</p></div><p class='x1'>Printed on paper</p>"
+    page = lambda i: f"<article><h1>Daily</h1><p>Quoted by all</p><div><p>Body {i}</p></div>{box}</article>"
+    df = spark.createDataFrame([(i, f"http://d.example/{i}", page(i)) for i in range(30)], "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in ht.extract(df).collect()} == {i: f"Daily Quoted by all Body {i}" for i in range(30)}
+
+
 def records(n=6):
     out = []
     for i in range(n):
