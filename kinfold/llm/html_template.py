@@ -2,7 +2,8 @@
 
 Every block element of a page, inside its article (article, main, or what its class names
 content) and outside, is hashed with all it holds; Spark counts, for each host, the pages that
-hold a hash; subtrees on many pages of their host are deleted. What the markup itself names as
+hold a hash, pages of equal main text (by the markup alone) as one; subtrees on many pages of
+their host are deleted. What the markup itself names as
 menu, footer, advert, form, comment and so on goes as well. Within an article a bare passage
 (a paragraph, heading, item and the like without attributes) stays however often it recurs,
 unless a recurring box holds it: what many articles quote is text, not template.
@@ -13,21 +14,26 @@ Defined results: a null html or an empty page gives ''; a null or odd url counts
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import re
 import zlib
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinfold.llm.common import small, table, written
+from kinfold.llm.common import table, written
 
-#: A subtree is template if at least so many pages, and such a share of its host's, hold it.
+#: A box is template if at least so many different pages of its host hold it; on a host of less
+#: than twice as many pages, if half of them do, and FEW_PAGES at least.
 MIN_PAGES = 10
+FEW_PAGES = 5
+#: A bare passage outside articles may be a quotation: it must be on such a share as well.
 MIN_SHARE = 0.2
-#: The per-host lists are broadcast up to so many hosts.
-HOSTS_BROADCAST = 20_000
+#: So many recurring hashes go to every task (8 bytes each); more are joined by page.
+HASHES_BROADCAST = 2_000_000
 
 TAG = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)|<([a-zA-Z][^\s/>]*)((?:[^>"']+|"[^"]*"|'[^']*')*+)(?:>|\Z)|<([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)""",
@@ -198,7 +204,7 @@ def hashed(nodes: list[Node], tops: set[Node]) -> set[int]:
             wide ^= wide >> 29
         codes[x] = wide
         if x.tag in BLOCKS and x not in holds and x.up is not None and not (x in inside and passage(x)) and any(type(k) is Node or k.strip() for k in x.kids):
-            x.code = wide - (1 << 63) or 1
+            x.code = (wide - (1 << 63) & ~1 | passage(x)) or 2  # an odd code is a passage's
             out.add(x.code)
     return out
 
@@ -231,56 +237,80 @@ def main_text(source: str | None, recurring: frozenset[int] | set[int] = frozens
     return " ".join("".join(out).split())
 
 
-def page_hashes(source: str | None) -> set[int]:
+def page_hashes(source: str | None) -> tuple[int, set[int]]:
+    """A hash of the page's main text by the markup alone, and those of its subtrees."""
+    text = main_text(source)
+    page = int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
     if not source:
-        return set()
+        return page, set()
     nodes = list(walk(tree(source)))
-    return hashed(nodes, set(articles(nodes)))
+    return page, hashed(nodes, set(articles(nodes)))
 
 
 def host_of(url: str = "url"):
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]*)", 1), F.lit("")))
 
 
-def template_hashes(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """host, codes: the subtrees recurring on the host. A host has at most 1 / min_share times
-    as many as a page has subtrees, so the lists stay short; counting combines map-side, by
-    (host, hash), so a hot host spreads over all tasks."""
+def subtrees(pages: DataFrame) -> DataFrame:
+    """host, page, row_key (of the html), code for every row of pages; code 0 stands for the page."""
 
     def emit(batches):
         for b in batches:
-            hosts, codes = [], []
-            for host, source in zip(b.column("host").to_pylist(), b.column("html").to_pylist(), strict=True):
-                found = [0, *page_hashes(source)]
-                hosts += [host] * len(found)
-                codes += found
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(codes, pa.int64())], ["host", "code"])
-
-    counts = written(pages.select(host_of().alias("host"), "html").mapInArrow(emit, "host string, code long").groupBy("host", "code").agg(F.count("*").alias("n")), "subtrees")
+            cols: tuple[list, ...] = ([], [], [], [])
+            for host, key, source in zip(*(b.column(c).to_pylist() for c in ("host", "row_key", "html")), strict=True):
+                page, found = page_hashes(source)
+                for col, values in zip(cols, ([host] * (len(found) + 1), [page] * (len(found) + 1), [key] * (len(found) + 1), [0, *found]), strict=True):
+                    col += values
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), *(pa.array(c, pa.int64()) for c in cols[1:])], ["host", "page", "row_key", "code"])
+
+    return pages.select(host_of().alias("host"), F.xxhash64("html").alias("row_key"), "html").mapInArrow(emit, "host string, page long, row_key long, code long")
+
+
+def template_hashes(found: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+    """host, code: the subtrees recurring on the host. Counting combines map-side, by (host,
+    hash), so a hot host spreads over all tasks."""
+    counts = written(found.select("host", "page", "code").distinct().groupBy("host", "code").agg(F.count("*").alias("n")), "subtree-counts")
     hosts = counts.where("code = 0").select("host", F.col("n").alias("pages"))
-    frequent = counts.where((F.col("code") != 0) & (F.col("n") >= min_pages))
-    return frequent.join(hosts, "host").where(F.col("n") >= min_share * F.col("pages")).groupBy("host").agg(F.collect_list("code").alias("codes"))
+    frequent = counts.where((F.col("code") != 0) & (F.col("n") >= min(min_pages, FEW_PAGES)))
+    least = F.greatest(F.lit(min(min_pages, FEW_PAGES)), F.least(F.lit(min_pages), F.ceil(F.col("pages") / 2)))
+    bare = F.pmod("code", F.lit(2)) == 1
+    return frequent.join(hosts, "host").where((F.col("n") >= least) & (~bare | (F.col("n") >= min_share * F.col("pages")))).select("host", "code")
+
+
+class Recurring:
+    """The recurring codes of one host, among the sorted keys of all."""
+
+    def __init__(self, keys: np.ndarray, host: int):
+        self.keys, self.host = keys, host
+
+    def __contains__(self, code: int) -> bool:
+        key = self.host ^ code
+        at = int(np.searchsorted(self.keys, key))
+        return at < len(self.keys) and int(self.keys[at]) == key
 
 
-def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE, broadcast: int = HASHES_BROADCAST) -> DataFrame:
     """page_id, url, text for every row of pages."""
-    lists = small(written(template_hashes(pages, min_pages, min_share), "templates"), HOSTS_BROADCAST)
+    found = subtrees(pages)
+    frequent = written(template_hashes(found, min_pages, min_share), "templates")
+    rows = pages.select("page_id", "url", "html", host_of().alias("host"))
+    if frequent.count() <= broadcast:
+        # host_key and code in one number, sorted
+        keys = np.sort(frequent.select((F.xxhash64("host").bitwiseXOR(F.col("code"))).alias("k")).toArrow().column("k").to_numpy())
+        rows = rows.select("page_id", "url", "html", F.xxhash64("host").alias("host_key"), F.lit(None).cast("array<long>").alias("codes"))
+    else:
+        keys = np.zeros(0, np.int64)
+        lists = found.join(frequent, ["host", "code"]).groupBy("host", "row_key").agg(F.collect_set("code").alias("codes"))
+        rows = rows.withColumn("row_key", F.xxhash64("html")).join(lists, ["host", "row_key"], "left").select("page_id", "url", "html", F.xxhash64("host").alias("host_key"), "codes")
 
     def texts(batches):
-        known: dict[tuple, frozenset] = {}
         for b in batches:
             out = []
-            for source, codes in zip(b.column("html").to_pylist(), b.column("codes").to_pylist(), strict=True):
-                key = tuple(codes or ())
-                if key not in known:
-                    if len(known) > 1000:
-                        known.clear()
-                    known[key] = frozenset(key)
-                out.append(main_text(source, known[key]))
+            for source, host, codes in zip(*(b.column(c).to_pylist() for c in ("html", "host_key", "codes")), strict=True):
+                out.append(main_text(source, Recurring(keys, host) if len(keys) else frozenset(codes or ())))
             yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(out, pa.string())], ["page_id", "url", "text"])
 
-    joined = pages.select("page_id", "url", "html", host_of().alias("host")).join(lists, "host", "left").select("page_id", "url", "html", "codes")
-    return joined.mapInArrow(texts, "page_id long, url string, text string")
+    return rows.mapInArrow(texts, "page_id long, url string, text string")
 
 
 def op3_html_template(spark: SparkSession, sf_dir: str) -> DataFrame:

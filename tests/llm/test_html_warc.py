@@ -46,6 +46,19 @@ def test_boxes_within_articles_go_and_passages_stay(spark):
     assert {r.page_id: r.text for r in ht.extract(df).collect()} == {i: f"Daily Quoted by all Body {i}" for i in range(30)}
 
 
+@pytest.mark.parametrize("broadcast", [10_000, 0])
+def test_templates_are_counted_over_different_pages(spark, broadcast):
+    menu = "<div><p>Home</p><p>News</p></div>"
+    rows = [(i, "http://copied.example/a", f"<div><p>One text copied</p></div><em>{i % 2}</em>") for i in range(12)]
+    rows += [(100 + i, f"http://copied.example/{i}", f"<p>Text {i}</p>") for i in range(20)]
+    rows += [(200 + i, f"http://hot.example/{i}", f"{menu if i < 12 else ''}<p>{'Quoted' if i < 12 else ''}</p><p>Text {i}</p>") for i in range(100)]
+    rows += [(400 + i, f"http://small.example/{i}", f"{menu}<p>Text {i}</p>") for i in range(6)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in ht.extract(df, broadcast=broadcast).collect()}
+    assert [got[i] for i in range(12)] == ["One text copied 0", "One text copied 1"] * 6
+    assert got[201] == "Quoted Text 1" and got[250] == "Text 50" and got[401] == "Text 1" and len(got) == len(rows)
+
+
 def records(n=6):
     out = []
     for i in range(n):
