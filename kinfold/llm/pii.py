@@ -7,9 +7,10 @@ terms. Over the whole corpus
     PMI(term; entity) = log( p(term in a context | entity) / p(term in a context) )
     IC(entity)        = -log p(entity in a context)
 
-and a term whose PMI reaches THRESHOLD times IC tells the entity from the term alone: its
-occurrences beside the entity are spans of kind `term`. Contexts count once however often they
-are copied, and a pair needs MIN_SUPPORT different contexts.
+and a term whose PMI reaches THRESHOLD times IC tells the entity from the term alone: all its
+occurrences, in every document that holds the entity, are spans of kind `term`. Contexts count
+once however often they are copied; PRIOR contexts more, in which terms come as in the whole
+corpus, make what few contexts show count less.
 
 The patterns below match what the plain ones match (`[A-Za-z0-9._%+-]+@...` and so on), but
 start only where a match can start and hold no repeated group, so that long runs cost no
@@ -21,7 +22,7 @@ a null doc_id is an id like others; other columns pass by. Positions are code po
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kinfold.llm.common import small, table, text_of, written
@@ -37,9 +38,10 @@ PATTERNS = {
 WINDOW = 48
 #: Words of a context, for p(term in a context).
 WINDOW_WORDS = 16
-MIN_SUPPORT = 3
+PRIOR = 1.0
 THRESHOLD = 0.7
-TERM = r"\p{L}[\p{L}\p{M}'’]{2,}"
+#: Two letters or digits at least.
+TERM = r"[\p{L}\p{N}][\p{L}\p{M}\p{N}]+"
 SPAN = "struct<start:int,kind_no:int,end:int,kind:string,value:string>"
 
 
@@ -129,55 +131,68 @@ def scanned(docs: DataFrame) -> DataFrame:
     return written(base.select("doc_id", "code", "spans", near.alias("near"), n.cast("long").alias("n")), "pii-scan")
 
 
-def disclosing(docs: DataFrame, scan: DataFrame, threshold: float = THRESHOLD, support: int = MIN_SUPPORT) -> DataFrame:
+def disclosing(docs: DataFrame, scan: DataFrame, threshold: float = THRESHOLD, prior: float = PRIOR) -> DataFrame:
     """entity, term, ratio: pairs whose term discloses the entity."""
     seen = scan.select(F.explode("near").alias("x")).select("x.entity", "x.context", "x.term").distinct()
-    pairs = seen.groupBy("entity", "term").agg(F.count("*").alias("together")).where(F.col("together") >= support)
-    entities = seen.select("entity", "context").distinct().groupBy("entity").agg(F.count("*").alias("contexts")).where(F.col("contexts") >= support)
+    pairs = seen.groupBy("entity", "term").agg(F.count("*").alias("together"))
+    entities = seen.select("entity", "context").distinct().groupBy("entity").agg(F.count("*").alias("contexts"))
     pairs = written(pairs.join(entities, "entity"), "pii-pairs")
     terms = small(pairs.select("term").distinct())
-    words = text_of(docs.select("text")).select(F.explode(F.array_remove(F.split(F.lower("text"), r"[^\p{L}\p{M}'’]+"), "")).alias("term"))
+    words = text_of(docs.select("text")).select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0))).alias("term"))
     # counted before the join: its rows then number the terms, not their occurrences
     counts = words.groupBy("term").agg(F.count("*").alias("n_term")).join(terms, "term")
     total = scan.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"] or 1
     windows = max(total / WINDOW_WORDS, 1.0)
     p_term = F.least(F.lit(1.0), F.coalesce(F.col("n_term"), F.col("together")) / windows)
-    pmi = F.log(F.col("together") / F.col("contexts") / p_term)
+    pmi = F.log((F.col("together") + prior * p_term) / (F.col("contexts") + prior) / p_term)
     ic = -F.log(F.least(F.lit(0.5), F.col("contexts") / F.lit(windows)))
     return pairs.join(counts, "term", "left").withColumn("ratio", pmi / ic).where(F.col("ratio") >= threshold).select("entity", "term", "ratio")
 
 
-def term_spans(docs: DataFrame, scan: DataFrame, threshold: float = THRESHOLD, support: int = MIN_SUPPORT) -> DataFrame:
-    """doc_id, code, terms: the spans the method adds, for documents that get any."""
-    found = small(written(disclosing(docs, scan, threshold, support), "pii-terms"), 200_000)
-    near = scan.where(F.size("near") > 0).select("doc_id", "code", F.explode("near").alias("x")).select("doc_id", "code", "x.entity", "x.term", "x.start", "x.end")
-    span = F.struct(F.col("start"), F.lit(len(KINDS)).alias("kind_no"), F.col("end"), F.lit("term").alias("kind"), F.col("term").alias("value"))
-    return near.join(found.select("entity", "term"), ["entity", "term"]).groupBy("doc_id", "code").agg(F.sort_array(F.collect_set(span)).alias("terms"))
+def term_spans(docs: DataFrame, scan: DataFrame, threshold: float = THRESHOLD, prior: float = PRIOR) -> DataFrame:
+    """doc_id, code, terms: every occurrence of the terms that disclose an entity the document holds."""
+    found = small(written(disclosing(docs, scan, threshold, prior), "pii-terms"), 200_000).select("entity", "term")
+    held = scan.where(F.size("spans") > 0).select("doc_id", "code", F.explode(F.transform("spans", entity)).alias("entity")).distinct()
+    wanted = written(held.join(found, "entity").select(F.col("doc_id").alias("w_id"), F.col("code").alias("w_code"), F.col("term").alias("w_term")).distinct(), "pii-wanted")
+    of = small(wanted.select("w_id", "w_code").distinct(), 200_000)
+    texts = text_of(docs.select("doc_id", "text")).withColumn("code", F.xxhash64("text"))
+    texts = texts.join(of, texts["doc_id"].eqNullSafe(of["w_id"]) & (texts["code"] == of["w_code"]), "left_semi").dropDuplicates(["doc_id", "code"])
+    # a word's place: the lengths of all words and gaps before it
+    gaps, all_ = F.split("text", TERM, -1), F.regexp_extract_all("text", F.lit(TERM), F.lit(0))
+    words = texts.select("doc_id", "code", F.posexplode(F.arrays_zip(F.slice(gaps, 1, F.size(all_)).alias("gap"), all_.alias("word"))).alias("i", "x"))
+    words = words.select("doc_id", "code", "i", F.length("x.gap").alias("gap"), F.length("x.word").alias("size"), F.lower("x.word").alias("term"))
+    end = F.sum(F.col("gap") + F.col("size")).over(Window.partitionBy("doc_id", "code").orderBy("i").rowsBetween(Window.unboundedPreceding, 0))
+    words = words.withColumn("end", end.cast("int"))
+    pairs = small(wanted, 200_000)
+    hits = words.join(pairs, words["doc_id"].eqNullSafe(pairs["w_id"]) & (words["code"] == pairs["w_code"]) & (words["term"] == pairs["w_term"]), "left_semi")
+    span = F.struct((F.col("end") - F.col("size")).alias("start"), F.lit(len(KINDS)).alias("kind_no"), F.col("end"), F.lit("term").alias("kind"), F.col("term").alias("value"))
+    return hits.groupBy("doc_id", "code").agg(F.sort_array(F.collect_list(span)).alias("terms"))
 
 
 def with_terms(df: DataFrame, terms: DataFrame) -> DataFrame:
-    """`df` (doc_id, code, spans, ...) with the added spans among its spans."""
+    """`df` (doc_id, code, spans, ...) with the added spans that lie outside its spans among them."""
     t = small(written(terms, "pii-spans"), 200_000).withColumnsRenamed({"doc_id": "t_id", "code": "t_code"})
     joined = df.join(t, df["doc_id"].eqNullSafe(t["t_id"]) & (df["code"] == t["t_code"]), "left").drop("t_id", "t_code")
-    return joined.withColumn("all_spans", F.array_sort(F.concat("spans", F.coalesce("terms", F.array().cast(f"array<{SPAN}>"))))).drop("terms")
+    free = F.filter("terms", lambda w: ~F.exists("spans", lambda s: (w["start"] < s["end"]) & (s["start"] < w["end"])))
+    return joined.withColumn("all_spans", F.array_sort(F.concat("spans", F.coalesce(free, F.array().cast(f"array<{SPAN}>"))))).drop("terms")
 
 
 def listed(spans: str) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def find(docs: DataFrame, threshold: float = THRESHOLD, support: int = MIN_SUPPORT) -> DataFrame:
+def find(docs: DataFrame, threshold: float = THRESHOLD, prior: float = PRIOR) -> DataFrame:
     """doc_id, spans (base), all_spans for every row of docs."""
     scan = scanned(docs)
-    return with_terms(scan.select("doc_id", "code", "spans"), term_spans(docs, scan, threshold, support)).select("doc_id", "spans", "all_spans")
+    return with_terms(scan.select("doc_id", "code", "spans"), term_spans(docs, scan, threshold, prior)).select("doc_id", "spans", "all_spans")
 
 
-def sanitize(docs: DataFrame, threshold: float = THRESHOLD, support: int = MIN_SUPPORT) -> DataFrame:
+def sanitize(docs: DataFrame, threshold: float = THRESHOLD, prior: float = PRIOR) -> DataFrame:
     """docs with base spans and disclosing terms generalised to their kinds in brackets.
 
     A null text stays null; texts without spans stay as they are, and all other columns.
     """
-    terms = term_spans(docs, scanned(docs), threshold, support)
+    terms = term_spans(docs, scanned(docs), threshold, prior)
     own = {c: f"__doc_{c}" for c in docs.columns if c.lower() in ("code", "spans", "all_spans", "terms", "t_id", "t_code")}
     df = docs.withColumnsRenamed(own)
     df = df.withColumn("code", F.xxhash64(F.coalesce("text", F.lit("")))).withColumn("spans", base_spans(F.coalesce("text", F.lit(""))))

@@ -78,6 +78,19 @@ def test_terms_that_give_an_entity_away(spark):
     assert out[2000].text == "Copied Harlequin text [EMAIL] stands here always" and out[5].text == text[5]
 
 
+def test_terms_are_marked_wherever_they_stand(spark):
+    far = corpus()[0][1]
+    w = far.split()[0]
+    rows = corpus()[:150]
+    rows += [(1000, f"Qo {far} {w} Qo X77 bo@corp.example {w}"), (1001, f"qo's X77 bo@corp.example {far} {far} {w} QO"), (1002, "Qo alone"), (None, f"{w} 'Qo' {far} bo@corp.example")]
+    rows += [(1003, f"Melzburg {far} Melzburg lu@corp.example")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in pii.sanitize(df).collect()}
+    assert got[1000] == f"[TERM] {far} {w} [TERM] [TERM] [EMAIL] {w}"
+    assert got[1001] == f"[TERM]'s [TERM] [EMAIL] {far} {far} {w} [TERM]" and got[1002] == "Qo alone"
+    assert got[None] == f"{w} '[TERM]' {far} [EMAIL]" and got[1003] == f"[TERM] {far} [TERM] [EMAIL]" and got[7] == rows[7][1]
+
+
 def test_overlapping_spans_and_empty_tables(spark):
     df = spark.createDataFrame([(1, "call +49 30 1234 5678.1.2.3 now")], "doc_id long, text string")
     assert "1234" not in pii.sanitize(df).first()["text"]
