@@ -191,7 +191,7 @@ def entity_split(s, d):
 
 def boosted_scores(s, d):
     m = model.split_entities(matrix(s, d)).cache()
-    return model.score(model.train(m, iterations=10, depth=4), m)
+    return model.score(model.train(m), m)
 
 
 QUERIES = {f.__name__: f for f in (

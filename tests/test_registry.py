@@ -40,6 +40,16 @@ def test_query(spark, duck, name):
     assert got == sorted(tuple(shown(r[names.index(c)]) for c in cols) for r in q.fetchall())
 
 
+def test_boosted_scores_takes_the_operator_s_defaults(spark, monkeypatch):
+    from kinfold.plans import registry
+
+    got = []
+    monkeypatch.setattr(registry.model, "train", lambda m, **kw: got.append(kw))
+    monkeypatch.setattr(registry.model, "score", lambda fitted, m: m)
+    registry.boosted_scores(spark, SF)
+    assert got == [{}]
+
+
 def test_entry_and_oracles_name_queries():
     import __spark_entry__ as e
 
