@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import functions as F
 
 from kinfold.functions import fixed, text
@@ -64,17 +66,17 @@ def bucket_truncate(s, d):
     return blocking.truncated(p, 20).select("key", "pos", "rank")
 
 
-def capped_lookups(s, d):
-    return blocking.capped_lookups(records(s, d), bucket=5, with_sound=False)
+def capped_lookups(s, d, names=block_names):
+    return blocking.capped_lookups(records(s, d), bucket=5, with_sound=names is block_names_sound)
 
 
-def name_features(s, d):
-    df = pairs.with_name_features(block_names(s, d).select("s1_id", "cand_id"), records(s, d))
+def name_features(s, d, names=block_names):
+    df = pairs.with_name_features(names(s, d).select("s1_id", "cand_id"), records(s, d))
     return df.select("s1_id", "cand_id", "levenshtein_sim", "token_jaccard", "char_ngram_cos", "exact_match")
 
 
 def name_ratios(s, d):
-    df = pairs.with_name_features(block_names(s, d).select("s1_id", "cand_id"), records(s, d))
+    df = pairs.with_name_features(block_names_sound(s, d).select("s1_id", "cand_id"), records(s, d))
     return df.select("s1_id", "cand_id", "token_sort_ratio", "token_set_ratio")
 
 
@@ -82,24 +84,24 @@ def address_features(s, d):
     return pairs.with_address_features(block_addresses(s, d).select("s1_id", "cand_id"), records(s, d))
 
 
-def union_tracks(s, d):
-    return pairs.union_tracks(block_names(s, d), block_addresses(s, d))
+def union_tracks(s, d, names=block_names):
+    return pairs.union_tracks(names(s, d), block_addresses(s, d))
 
 
 def matrix(s, d):
-    return pairs.merged(pairs.with_name_features(block_names(s, d).select("s1_id", "cand_id"), records(s, d)), address_features(s, d), truth(s, d))
+    return pairs.merged(pairs.with_name_features(block_names_sound(s, d).select("s1_id", "cand_id"), records(s, d)), address_features(s, d), truth(s, d))
 
 
 def merged_matrix(s, d):
     return matrix(s, d)
 
 
-def labels(s, d):
-    return pairs.labelled(union_tracks(s, d), truth(s, d))
+def labels(s, d, names=block_names):
+    return pairs.labelled(union_tracks(s, d, names), truth(s, d))
 
 
-def provenance_counts(s, d):
-    return six(metrics.provenance_counts(labels(s, d)))
+def provenance_counts(s, d, names=block_names):
+    return six(metrics.provenance_counts(labels(s, d, names)))
 
 
 def rule_match(s, d):
@@ -115,37 +117,37 @@ def truth_lists(s, d):
     return wide_lists(first, truth(s, d), "matched_entity_ids").select("source1_entity_id", "matched_entity_ids")
 
 
-def scored(s, d):
-    df = pairs.labelled(name_features(s, d), truth(s, d))
+def scored(s, d, names=block_names):
+    df = pairs.labelled(name_features(s, d, names), truth(s, d))
     return df.select("s1_id", "cand_id", F.col("token_jaccard").alias("probability"), "label")
 
 
-def macro_f05(s, d):
-    return six(metrics.macro_f05(scored(s, d), truth(s, d), 0.5))
+def macro_f05(s, d, names=block_names):
+    return six(metrics.macro_f05(scored(s, d, names), truth(s, d), 0.5))
 
 
-def threshold_sweep(s, d):
-    return six(metrics.threshold_sweep(scored(s, d), truth(s, d)))
+def threshold_sweep(s, d, names=block_names):
+    return six(metrics.threshold_sweep(scored(s, d, names), truth(s, d)))
 
 
-def best_threshold(s, d):
-    return metrics.best_threshold(threshold_sweep(s, d))
+def best_threshold(s, d, names=block_names):
+    return metrics.best_threshold(threshold_sweep(s, d, names))
 
 
-def name_report(s, d):
-    return six(metrics.blocking_report(block_names(s, d), truth(s, d), records(s, d), per_all=False))
+def name_report(s, d, names=block_names):
+    return six(metrics.blocking_report(names(s, d), truth(s, d), records(s, d), per_all=False))
 
 
 def address_report(s, d):
     return six(metrics.blocking_report(block_addresses(s, d), truth(s, d), records(s, d), per_all=True, by_country=True))
 
 
-def combined_recall(s, d):
-    return metrics.combined_recall(block_names(s, d), block_addresses(s, d), truth(s, d))
+def combined_recall(s, d, names=block_names):
+    return metrics.combined_recall(names(s, d), block_addresses(s, d), truth(s, d))
 
 
-def missed_pairs(s, d):
-    return metrics.missed_pairs(block_names(s, d), block_addresses(s, d), truth(s, d))
+def missed_pairs(s, d, names=block_names):
+    return metrics.missed_pairs(names(s, d), block_addresses(s, d), truth(s, d))
 
 
 def country_counts(s, d):
@@ -186,7 +188,7 @@ def fifteen_points(s, d):
 
 
 def entity_split(s, d):
-    return model.split_entities(union_tracks(s, d)).groupBy("s1_id", "validation").agg(F.count("*").alias("rows"))
+    return model.split_entities(union_tracks(s, d, block_names_sound)).groupBy("s1_id", "validation").agg(F.count("*").alias("rows"))
 
 
 def boosted_scores(s, d):
@@ -200,6 +202,10 @@ QUERIES = {f.__name__: f for f in (
     name_report, address_report, combined_recall, missed_pairs, country_counts, length_stats, missing_counts, pattern_counts, common_words, violations, fifteen_points, entity_split, boosted_scores,
 )}
 
+#: SQL has no sound keys: what it shows without them is made with all passes under these names.
+WITH_SOUND = (capped_lookups, name_features, union_tracks, labels, provenance_counts, macro_f05, threshold_sweep, best_threshold, name_report, combined_recall)
+QUERIES |= {f"{f.__name__}_sound": partial(f, names=block_names_sound) for f in WITH_SOUND}
+
 _flags = "SELECT coalesce(n.s1_id, a.s1_id) AS s1_id, coalesce(n.cand_id, a.cand_id) AS cand_id, CASE WHEN n.s1_id IS NULL THEN 0 ELSE 1 END AS from_name, CASE WHEN a.s1_id IS NULL THEN 0 ELSE 1 END AS from_address FROM names n FULL JOIN addresses a ON n.s1_id = a.s1_id AND n.cand_id = a.cand_id"
 _labelled = f"SELECT u.*, CASE WHEN t.s1_id IS NULL THEN 0 ELSE 1 END AS label FROM ({_flags}) u LEFT JOIN truth t ON u.s1_id = t.s1_id AND u.cand_id = t.cand_id"
 _sweep = oracle.sweep_sql(metrics.THRESHOLDS)

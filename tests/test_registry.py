@@ -50,6 +50,20 @@ def test_boosted_scores_takes_the_operator_s_defaults(spark, monkeypatch):
     assert got == [{}]
 
 
+def test_queries_that_build_on_all_name_passes(spark, monkeypatch):
+    from kinfold.plans import registry
+
+    columns = "entity_id string, source string, pos long, country string, name_norm string, address_norm string, city_norm string, pincode string, landmark string, address_core string"
+    rows = [("S1-1", "S1", 1, "US", "philips", "", "", "", "", ""), ("S2-1", "S2", 2, "US", "filips", "", "", "", "", "")]
+    df = spark.createDataFrame(rows, columns)
+    monkeypatch.setattr(registry, "records", lambda s, d: df)
+    monkeypatch.setattr(registry, "truth", lambda s, d: spark.createDataFrame([("S1-1", "S2-1")], "s1_id string, cand_id string"))
+    for name in ("labels_sound", "name_features_sound", "merged_matrix", "name_ratios"):
+        assert [(r.s1_id, r.cand_id) for r in registry.QUERIES[name](spark, "").collect()] == [("S1-1", "S2-1")]
+    assert registry.missed_pairs(spark, "", registry.block_names_sound).count() == 0 and registry.entity_split(spark, "").first()["rows"] == 1
+    assert registry.QUERIES["union_tracks"](spark, "").count() == 0
+
+
 def test_entry_and_oracles_name_queries():
     import __spark_entry__ as e
 
