@@ -14,9 +14,10 @@ the components of the links. The steps:
    below MATCH are skipped without looking at their texts. First, each class is confirmed
    against its best partner of the list only. Where the classes of a list then form one
    component, the list is done. In the others, every pair that crosses components and collides
-   often enough is confirmed on the full sets, in blocks, each pair in one list only. Pairs
-   within a component are never written out, nor is any list or class held whole by one task:
-   long lists are dealt into blocks.
+   often enough is confirmed on the full sets, each pair in one list only. Pairs within a
+   component are never written out.
+4. Lists of more than LIST members are never compared member by member: see `field_links`,
+   which posts them once more, by what sets them apart from a common hub.
 
 Defined results: a null text, or one without words, has an empty set and is linked with
 nothing; under WORDS words the whole sequence is the one shingle; rows with equal doc_id count
@@ -48,6 +49,8 @@ MATCH = 78
 BLOCK = 256
 #: Central members of a long list that all its blocks are compared with at first.
 HUBS = 64
+#: Members of a list that one task takes alone.
+LIST = 2 * BLOCK
 
 U = np.uint64
 _rng = np.random.default_rng(20240229)
@@ -155,13 +158,13 @@ def dealt(rows: DataFrame, left: Column, right: Column, lefts: Column, rights: C
     return rows.withColumn("at", F.explode(F.when((lefts == 1) & (rights == 1), one).otherwise(F.concat(as_left, as_right)))).select("*", "at.bi", "at.bj", "at.role").drop("at")
 
 
-def groups(batches, columns: list[str]):
-    """Runs of rows with equal (token, bi, bj) of a sorted stream, as lists by column."""
+def groups(batches, columns: list[str], keys: tuple[str, ...]):
+    """Runs of rows with equal keys of a sorted stream, as lists by column."""
     held: dict[str, list] | None = None
     last = None
     for b in batches:
         cols = {c: b.column(c).to_pylist() for c in columns}
-        marks = list(zip(cols["token"], cols["bi"], cols["bj"], strict=True))
+        marks = list(zip(*(cols[k] for k in keys), strict=True))
         begin = 0
         for i in range(1, len(marks) + 1):
             if i < len(marks) and marks[i] == marks[begin]:
@@ -200,12 +203,14 @@ def comparable(n_left: np.ndarray, n_right: np.ndarray) -> np.ndarray:
 
 def best_partners(batches):
     """Of every left member of a block pair, the right one it collides with most."""
-    for g in groups(batches, ["token", "bi", "bj", "role", "doc", "k1", "n", "sig"]):
+    for g in groups(batches, ["token", "bi", "bj", "role", "doc", "k1", "n", "sig"], BLOCKED):
         sig, le, ri, n = laid_out(g)
         if not len(le) or not len(ri):
             continue
         c = collisions(sig[le], sig[ri])
-        c[~comparable(n[le], n[ri]) | (le[:, None] == ri[None])] = 0
+        doc, k1 = np.array(g["doc"]), np.array(g["k1"])
+        same = (doc[le][:, None] == doc[ri][None]) & (k1[le][:, None] == k1[ri][None])
+        c[~comparable(n[le], n[ri]) | same] = 0
         at = c.argmax(1)
         rows = []
         for x, y in enumerate(at):
@@ -243,12 +248,12 @@ def needed_pairs(g: dict) -> list[tuple[int, np.ndarray]]:
     return out
 
 
-CROSSING = ["token", "bi", "bj", "role", "doc", "k1", "n", "sig", "tokens", "comp"]
+CROSSING = ["token", "role", "doc", "k1", "n", "sig", "tokens", "comp"]
 
 
 def members_needed(batches):
-    """The members of each block pair whose full sets are needed there."""
-    for g in groups(batches, CROSSING):
+    """The members of each list whose full sets are needed there."""
+    for g in groups(batches, CROSSING, ("token",)):
         used: set[int] = set()
         for x, ys in needed_pairs(g):
             used.add(x)
@@ -256,13 +261,13 @@ def members_needed(batches):
         if used:
             k = sorted(used)
             take = lambda c, t: pa.array([g[c][i] for i in k], t)  # noqa: E731, B023
-            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.int64()]
+            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.int64()]
             yield pa.RecordBatch.from_arrays([take(c, t) for c, t in zip(CROSSING, kinds, strict=True)], CROSSING)
 
 
 def confirmed_links(batches):
     """Links across components, confirmed on full sets: one for a member and a component."""
-    for g in groups(batches, [*CROSSING, "set"]):
+    for g in groups(batches, [*CROSSING, "set"], ("token",)):
         rows = []
         sets = [np.array(s, np.int64) for s in g["set"]]
         for x, ys in needed_pairs(g):
@@ -278,15 +283,18 @@ def confirmed_links(batches):
             yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in zip(*rows, strict=True)], ["a", "b"])
 
 
-def in_order(df: DataFrame) -> DataFrame:
-    """Block pairs dealt evenly, each one's rows together."""
-    return df.repartition("token", "bi", "bj").sortWithinPartitions("token", "bi", "bj", "doc", "k1")
+BLOCKED = ("token", "bi", "bj")
+
+
+def in_order(df: DataFrame, keys: tuple[str, ...] = BLOCKED) -> DataFrame:
+    """Groups of rows dealt evenly, each one's rows together."""
+    return df.repartition(*keys).sortWithinPartitions(*keys, "doc", "k1")
 
 
 def first_links(posted: DataFrame, docs: DataFrame, n: int) -> DataFrame:
     """a, b: confirmed links of each class with its best partner in each list."""
     # only long lists need their size, and there are few: at most one for 2 * BLOCK postings
-    sizes = small(written(posted.groupBy("token").agg(F.count("*").alias("m")).where(F.col("m") > 2 * BLOCK), "dedup-sizes"))
+    sizes = small(written(posted.groupBy("token").agg(F.count("*").alias("m")).where(F.col("m") > LIST), "dedup-sizes"))
     few = posted.join(sizes, "token")
     hubs = few.groupBy("token", F.pmod(F.xxhash64("doc", "k1"), F.lit(HUBS)).alias("h")).agg(F.max_by(F.struct("doc", "k1"), F.struct("shared", -F.col("doc"))).alias("hub")).select("token", F.col("hub.doc").alias("doc"), F.col("hub.k1").alias("k1"), F.lit(True).alias("hub"))
     marked = posted.join(sizes, "token", "left").join(small(written(hubs, "dedup-hubs")), ["token", "doc", "k1"], "left")
@@ -306,18 +314,97 @@ def first_links(posted: DataFrame, docs: DataFrame, n: int) -> DataFrame:
 def crossing_links(posted: DataFrame, docs: DataFrame, labels: DataFrame, n: int) -> DataFrame:
     """a, b: all links that cross the components found so far (at least one for each member
     and each component that it has a link to)."""
-    named = posted.join(labels.select(F.col("node").alias("doc"), "component"), "doc", "left").withColumn("comp", F.coalesce("component", "doc")).drop("component", "shared")
+    named = posted.join(labels.select(F.col("node").alias("doc"), "component"), "doc", "left").withColumn("comp", F.coalesce("component", "doc")).drop("component")
     named = written(named, "dedup-named")
     parts = named.groupBy("token", "comp").agg(F.count("*").alias("c"))
     lists = parts.groupBy("token").agg(F.count("*").alias("comps"), F.sum("c").alias("m"), F.max(F.struct("c", "comp")).alias("top")).where("comps > 1")
-    lists = written(lists.select("token", "m", F.col("top.comp").alias("giant"), (F.col("m") - F.col("top.c")).alias("others")), "dedup-lists")
+    lists = written(lists.select("token", "m", F.col("top.comp").alias("field")), "dedup-lists")
     rows = named.join(lists, "token")
-    one = F.col("m") <= 2 * BLOCK
-    spread = dealt(rows, F.col("comp") != F.col("giant"), F.lit(True), F.when(one, 1).otherwise(F.ceil(F.col("others") / BLOCK)), F.when(one, 1).otherwise(F.ceil(F.col("m") / BLOCK)))
-    schema = "token long, bi int, bj int, role int, doc long, k1 long, n long, sig binary, tokens array<long>, comp long"
-    needed = written(in_order(spread.select(*CROSSING)).mapInArrow(members_needed, schema), "dedup-needed")
+    short = rows.where(F.col("m") <= LIST).withColumn("role", F.when(F.col("comp") == F.col("field"), 2).otherwise(3))
+    schema = "token long, role int, doc long, k1 long, n long, sig binary, tokens array<long>, comp long"
+    needed = written(in_order(short.select(*CROSSING), ("token",)).mapInArrow(members_needed, schema), "dedup-needed")
     sets = full_sets(docs, needed, n)
-    return in_order(needed.join(sets, ["doc", "k1"]).select(*CROSSING, "set")).mapInArrow(confirmed_links, "a long, b long")
+    links = in_order(needed.join(sets, ["doc", "k1"]).select(*CROSSING, "set"), ("token",)).mapInArrow(confirmed_links, "a long, b long")
+    return links.union(field_links(rows.where(F.col("m") > LIST), docs, n))
+
+
+def field_links(rows: DataFrame, docs: DataFrame, n: int) -> DataFrame:
+    """a, b: links across components in the lists that are too long for one task.
+
+    Long lists of one largest component share most of their members: they are one field. Its
+    hub is the member of that component with most coordinates in common with others. Every
+    member is compared with the hub; d is the set of shingles that only one of the two holds.
+    With R = (100 - PERCENT) / (100 + PERCENT), x and y are linked if
+
+        |d(x)| + |d(y)| - 2 |d(x) & d(y)| <= R (|x| + |y|)
+
+    so that one of them being far from the hub, they must share some of what sets them apart
+    from it: at least `least` elements, as follows from | |x| - |hub| | <= |d(x)| and from the
+    bound on the hub's own links. Members are posted under the rarest |d| - least + 1 elements
+    of d, where elements held by one component alone come first and are not posted; what a
+    field has in common is in no d. So pairs that cannot be linked hardly ever meet.
+    """
+    members = rows.groupBy("field", "doc", "k1").agg(F.first("n").alias("n"), F.first("comp").alias("comp"), F.max("shared").alias("shared"))
+    members = written(members, "dedup-members")
+    heads = members.groupBy("field").agg(F.max_by(F.struct("doc", "k1"), F.when(F.col("comp") == F.col("field"), F.struct("shared", -F.col("doc")))).alias("hub"), F.ceil(F.count("*") / BLOCK).cast("int").alias("salts"))
+    heads = small(written(heads.select("field", F.col("hub.doc").alias("hub"), F.col("hub.k1").alias("hub_k1"), "salts"), "dedup-heads"))
+    sets = written(full_sets(docs, members, n), "dedup-field-sets")
+    of_hub = sets.select(F.col("doc").alias("hub"), F.col("k1").alias("hub_k1"), F.col("set").alias("hub_set"))
+    hubs = heads.join(of_hub, ["hub", "hub_k1"]).select("field", "hub", "hub_set", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    dealt_out = members.join(heads.select("field", "salts"), "field").withColumn("salt", F.pmod(F.xxhash64("doc", "k1"), F.col("salts")).cast("int"))
+    beside = dealt_out.join(sets, ["doc", "k1"]).join(hubs, ["field", "salt"])
+    size, hub_size = F.col("n"), F.size("hub_set")
+    common = F.size(F.array_intersect("set", "hub_set"))
+    near = 100 * common >= PERCENT * (size + hub_size - common)
+    other = ~F.col("near") & (F.col("comp") != F.col("field"))
+    apart = F.concat(F.array_except("set", "hub_set"), F.array_except("hub_set", "set"))
+    res = beside.select("field", "doc", "k1", "n", "comp", "hub", hub_size.alias("hub_n"), near.alias("near"), apart.alias("d")).withColumn("other", other)
+    res = written(res, "dedup-residues")
+    direct = res.where("near AND comp <> field").select(F.col("doc").alias("a"), F.col("hub").alias("b"))
+
+    r = F.lit((100 - PERCENT) / (100 + PERCENT))
+    d = F.size("d")
+    bound = F.when(F.col("near"), (d + r * (F.col("hub_n") - F.col("n"))) / 2).otherwise((d - r * (F.col("n") + F.col("hub_n"))) / (1 + r))
+    least = F.greatest(F.ceil(bound - 1e-6), F.lit(1))
+    elements = res.select("field", "doc", "k1", "comp", "other", d.alias("size"), least.alias("least"), F.explode("d").alias("el"))
+    crossing = elements.groupBy("field", "el").agg(F.count("*").alias("df"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max("other").alias("other")).where("lo < hi AND other").select("field", "el", "df")
+    crossing = written(crossing, "dedup-elements")
+    listed = elements.drop("comp", "other").join(crossing, ["field", "el"]).groupBy("field", "doc", "k1").agg(F.first("least").alias("least"), F.sort_array(F.collect_list(F.struct("df", "el"))).alias("x"))
+    keep = F.size("x") - F.col("least") + 1
+    prefix = listed.where(keep > 0).select("field", "doc", "k1", F.explode(F.slice("x", 1, keep.cast("int"))).alias("p")).select("field", "doc", "k1", F.col("p.el").alias("el"))
+    prefix = written(prefix.join(res.select("field", "doc", "k1", "n", "comp", "other", "d"), ["field", "doc", "k1"]), "dedup-prefixes")
+    lists = prefix.groupBy("field", "el").agg(F.count("*").alias("m"), F.sum(F.col("other").cast("int")).alias("others"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("others > 0 AND lo < hi")
+    met = prefix.join(written(lists.drop("lo", "hi"), "dedup-element-lists"), ["field", "el"])
+    one = F.col("m") <= LIST
+    spread = dealt(met.withColumn("token", F.col("el")), F.col("other"), F.lit(True), F.when(one, 1).otherwise(F.ceil(F.col("others") / BLOCK)), F.when(one, 1).otherwise(F.ceil(F.col("m") / BLOCK)))
+    far = in_order(spread.select("field", "el", "bi", "bj", "role", "doc", "k1", "n", "comp", "d"), ("field", "el", "bi", "bj")).mapInArrow(apart_links, "a long, b long")
+    return direct.union(far)
+
+
+def apart_links(batches):
+    """Links across components of members that share an element, by their sets d."""
+    for g in groups(batches, ["field", "el", "bi", "bj", "role", "doc", "n", "comp", "d"], ("field", "el", "bi", "bj")):
+        role, n, comp = np.array(g["role"]), np.array(g["n"]), np.array(g["comp"])
+        le, ri = np.flatnonzero(role & 1), np.flatnonzero(role & 2)
+        if not len(le) or not len(ri):
+            continue
+        lengths = np.fromiter(map(len, g["d"]), np.int64, len(n))
+        starts = np.r_[0, np.cumsum(lengths)]
+        flat = np.fromiter((e for d in g["d"] for e in d), np.int64, int(starts[-1]))
+        codes = np.unique(flat, return_inverse=True)[1]
+        held = np.zeros(int(codes.max()) + 1, bool)
+        rows = []
+        for x in le.tolist():
+            own = codes[starts[x] : starts[x + 1]]
+            held[own] = True
+            both = np.add.reduceat(held[codes], starts[:-1])[ri]  # every d holds el: none is empty
+            held[own] = False
+            apart = lengths[x] + lengths[ri] - 2 * both
+            ok = ((100 + PERCENT) * apart <= (100 - PERCENT) * (n[x] + n[ri])) & (comp[ri] != comp[x])
+            _, first = np.unique(comp[ri[ok]], return_index=True)
+            rows += [(g["doc"][x], g["doc"][y]) for y in ri[ok][first].tolist()]
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in zip(*rows, strict=True)], ["a", "b"])
 
 
 def deduplicated(docs: DataFrame, n: int = WORDS) -> DataFrame:

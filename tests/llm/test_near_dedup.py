@@ -62,12 +62,32 @@ def test_groups_near_the_threshold(spark):
     check(spark, rows)
 
 
-def test_long_lists_are_dealt_into_blocks(spark, monkeypatch):
+@pytest.mark.parametrize("seed", range(4))
+def test_long_lists_are_posted_by_what_sets_members_apart(spark, monkeypatch, seed):
     monkeypatch.setattr(near_dedup, "BLOCK", 8)
-    monkeypatch.setattr(near_dedup, "HUBS", 4)
-    r = random.Random(6)
+    monkeypatch.setattr(near_dedup, "HUBS", 2)
+    monkeypatch.setattr(near_dedup, "LIST", 16)
+    seen = []
+    inner = near_dedup.field_links
+
+    def watched(rows, docs, n):
+        out = inner(rows, docs, n)
+        seen.append((rows.count(), out.count()))
+        return out
+
+    monkeypatch.setattr(near_dedup, "field_links", watched)
+    r = random.Random(seed)
     base = [f"w{i}" for i in range(100)]
-    check(spark, [(i, edited(r, base, r.randint(2, 6))) for i in range(80)])
+    rows = [(i, edited(r, base, r.randint(2, 9))) for i in range(70)]
+    rows += [(100 + i, edited(r, base[: r.randint(60, 99)], r.randint(0, 5))) for i in range(40)]
+    # chains away from the rest: edits upon edits
+    words = base
+    for i in range(25):
+        words = edited(r, words, 2).split()
+        rows.append((200 + i, " ".join(words)))
+    r.shuffle(rows)
+    check(spark, rows)
+    assert seen[0][0] > 0
 
 
 def test_edges(spark):
