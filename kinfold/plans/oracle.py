@@ -61,8 +61,8 @@ ADDRESS_NORM = f"array_to_string(list_transform({words(squeezed(f"regexp_replace
 
 #: rec: the normalized records.
 RECORDS_SQL = rf"""{ENTITIES_SQL},
-r0 AS (SELECT *, trim(business_name) AS n0, trim(regexp_extract(trim(business_name), '(?i){fixed.ALIAS}', 1)) AS alias, trim(business_address) AS raw FROM ent),
-r1 AS (SELECT *, regexp_replace(regexp_replace(CASE WHEN length(alias) >= 3 THEN alias ELSE n0 END, '{fixed.METADATA_ID}', ' ', 'gi'), '{fixed.HONORIFIC}', '', 'i') AS core, {PLAIN_PARTS} AS parts FROM r0),
+r0 AS (SELECT *, trim(business_name) AS n0, trim(regexp_extract(trim(business_name), '(?i){fixed.ALIAS}', 1)) AS alias, strip_accents(trim(business_address)) AS raw FROM ent),
+r1 AS (SELECT *, strip_accents(regexp_replace(regexp_replace(CASE WHEN length(alias) >= 3 THEN alias ELSE n0 END, '{fixed.METADATA_ID}', ' ', 'gi'), '{fixed.HONORIFIC}', '', 'i')) AS core, {PLAIN_PARTS} AS parts FROM r0),
 r2 AS (SELECT *, {NAME_NORM} AS name_norm, {ADDRESS_NORM} AS address_norm, list_transform(parts, lambda p: {_clean}) AS cp FROM r1),
 rec AS (
   SELECT entity_id, source, pos, country, name_norm, address_norm, {CITY} AS city_norm, {PINCODE} AS pincode, {LANDMARK} AS landmark,
