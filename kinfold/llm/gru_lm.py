@@ -1,46 +1,51 @@
 """A gated recurrent language model in numpy, trained by truncated backpropagation.
 
-The MODEL_WORDS most frequent tokens of the training documents are the model's vocabulary, with
-an unknown word and the end. The output softmax is factored: a class of a token, then the token
-within its class. Documents run in lanes, side by side; windows of WINDOW steps are cut for
-backpropagation, and each lane's hidden state is carried from a window to the next, so that a
-document's log-likelihood is that of the whole of it. A word the model doesn't know is scored
-as unknown times its share, by count and smoothed by one, among all such words.
-
-Training covers every training document: from a common start (fitted on a first share of them,
-START_TOKENS tokens about) each task takes one pass over its own documents, and the tasks'
-weights are averaged, by tokens.
+The words that training documents hold OFTEN times or more, the most frequent first, are outputs
+of their own, and so is the end: their number grows with the corpus up to SIDE * (SIDE - 1) - 1.
+Every other word belongs to a band by its last two bytes, and each band is an output (and an
+input) of the model: P(word) = P(band | what came before) times the word's
+share, by count and smoothed by one, of its band. The output softmax is factored: a class of an
+output, then the output within its class. Documents run in lanes, side by side; windows of
+WINDOW steps are cut for backpropagation, and each lane's hidden state is carried from a window
+to the next, so that a document's log-likelihood is that of the whole of it.
+
+Training covers every training document. Documents are dealt into shards by a hash of doc_id and
+content, as many as the corpus' tokens ask for, and are sorted within each; from a common start
+(fitted on START_TOKENS tokens about, chosen by hash) each shard is passed over once, and the
+shards' weights are averaged, by tokens. Nothing of this depends on how the input is
+partitioned: scores agree but for the rounding of 32-bit sums.
 
 Counts cover all training documents. The HEAD most frequent words go to every task; a document's
 other words are counted by a join, so the tasks' memory is bounded whatever the vocabulary.
 
 Defined results: a null or empty text is one end token; without training documents all counts
 are 0 and the model is even over its outputs; repeated rows count and are scored each; a null
-doc_id counts as the empty text in the split; other columns pass by.
+doc_id counts as the empty text in the split; words of equal count are ranked by their text;
+other columns pass by, whatever their names.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinfold.llm.common import crc_rest, lower_az, table, written
+from kinfold.llm.common import crc_rest, lower_az, table, tidied, written
 
 #: Token of the end, which no word can be: words hold no white space.
 END = "\n"
-CLASSES = 32
-PER_CLASS = 32
-OUTPUTS = CLASSES * PER_CLASS
-#: The unknown word has the last class to itself: it is the commonest target by far, and needs
-#: no second softmax.
-UNKNOWN = OUTPUTS - PER_CLASS
-MODEL_WORDS = UNKNOWN - 1
+#: Words seen so often are outputs of their own, as far as SIDE allows: the softmax has up to
+#: SIDE classes of SIDE outputs, the last class being that of the bands.
+OFTEN = 50
+SIDE = 64
+LEAST_SIDE = 8
 HIDDEN = 16
-LANES = 256
+LANES = 128
 WINDOW = 32
 HEAD = 300_000
 START_TOKENS = 300_000
@@ -49,6 +54,8 @@ START_LANES = 64
 FLUSH = 400_000
 #: Tokens whose documents run in lanes together.
 TOGETHER = 2_000_000
+#: Training tokens of a shard, about.
+SHARD_TOKENS = 1_000_000
 RATE = 0.08
 CHUNK = 1024
 LN10 = np.log(10.0)
@@ -69,15 +76,15 @@ class Gru:
         self.wx, self.u, self.bn, self.wc, self.bc, self.wo, self.bo = wx, u, bn, wc, bc, wo, bo
 
     @classmethod
-    def fresh(cls, seed: int = 7, hidden: int = HIDDEN) -> Gru:
+    def fresh(cls, side: int, seed: int = 7, hidden: int = HIDDEN) -> Gru:
         r = np.random.default_rng(seed)
         g = lambda *s: r.normal(0, 0.1, s).astype(f32)
         z = lambda *s: np.zeros(s, f32)
-        return cls(g(OUTPUTS, 3 * hidden), g(hidden, 3 * hidden), z(hidden), g(hidden, CLASSES), z(CLASSES), g(CLASSES, hidden, PER_CLASS), z(CLASSES, PER_CLASS))
+        return cls(g(side * side, 3 * hidden), g(hidden, 3 * hidden), z(hidden), g(hidden, side), z(side), g(side, hidden, side), z(side, side))
 
     def primed(self, share: np.ndarray) -> Gru:
         """Biases such that the outputs' shares are where training begins."""
-        share = share.reshape(CLASSES, PER_CLASS)
+        share = share.reshape(self.bo.shape)
         self.bc[:] = np.log(share.sum(1))
         self.bo[:] = np.log(share / share.sum(1, keepdims=True))
         return self
@@ -127,11 +134,11 @@ class Gru:
 
     def logs(self, h: np.ndarray, target: np.ndarray, gradient: dict | None = None) -> np.ndarray:
         """Natural log of each target's probability; adds gradients of the sum of -log."""
-        rows = np.arange(len(h))
-        cls, within = target // PER_CLASS, target % PER_CLASS
-        x, ones = bounded(h @ self.wc + self.bc), np.ones(PER_CLASS, h.dtype)
+        rows, side = np.arange(len(h)), len(self.bc)
+        cls, within = target // side, target % side
+        x, ones = bounded(h @ self.wc + self.bc), np.ones(side, h.dtype)
         e = np.exp(x)
-        s = e @ ones[:CLASSES]
+        s = e @ ones
         out = x[rows, cls] - np.log(s)
         if gradient is not None:
             e /= s[:, None]
@@ -140,8 +147,8 @@ class Gru:
             dh = e @ self.wc.T
             gradient["wo"], gradient["bo"] = np.zeros_like(self.wo), np.zeros_like(self.bo)
         order = np.argsort(cls.astype(np.int16), kind="stable")  # 16 bits: a radix sort
-        cut = np.searchsorted(cls[order], np.arange(CLASSES + 1))
-        for k in range(CLASSES - 1):
+        cut = np.searchsorted(cls[order], np.arange(side + 1))
+        for k in range(side):
             i = order[cut[k] : cut[k + 1]]
             if not len(i):
                 continue
@@ -318,170 +325,218 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "w string, c long").groupBy("w").agg(F.sum("c").alias("c"))
 
 
+def band_of(word: bytes, bands: int) -> int:
+    return zlib.crc32(word[-2:]) % bands
+
+
 class Head:
-    """The most frequent words with their counts, by rank; the model knows the first ones."""
+    """The most frequent words with their counts, by rank; the model knows the first ones.
+
+    bands: sum of counts and number of words of every band, as a (2, side) array.
+    """
 
-    def __init__(self, words: list[str], counts: list[int], total: int, distinct: int):
-        # the end is output 0; the model's words are 1..MODEL_WORDS; then comes the unknown word
-        words_counts = [(w, c) for w, c in zip(words, counts, strict=True) if w != END]
-        self.rank = {w.encode(): i + 1 for i, (w, _) in enumerate(words_counts)}
+    def __init__(self, words: list[str], counts: list[int], total: int, distinct: int, bands: np.ndarray):
+        # the end is output 0; the model's words are 1..model_words; then come the bands
+        words_counts = [(w.encode(), c) for w, c in zip(words, counts, strict=True) if w != END]
+        self.rank = {w: i + 1 for i, (w, _) in enumerate(words_counts)}
         end = dict(zip(words, counts, strict=True)).get(END, 0)
         self.log_c1 = np.log10(np.array([end, *(c for _, c in words_counts)], np.float64) + 1)
-        self.total, self.distinct = total, distinct
-        known = [end, *(c for _, c in words_counts[:MODEL_WORDS])]
+        self.total, self.distinct, self.side = total, distinct, bands.shape[1]
+        self.first_band = self.side * (self.side - 1)
+        self.model_words = self.first_band - 1
+        known = [end, *(c for _, c in words_counts[: self.model_words])]
         self.log_base = np.log10(total + distinct + 1)
-        self.log_unknown = np.log10(max(total - sum(known), 0) + max(distinct - len(known), 0) + 1)
         self.has_end = end > 0
-        self.share = np.ones(OUTPUTS)
+        bands = bands.copy()
+        for w, c in words_counts[: self.model_words]:
+            bands[:, band_of(w, self.side)] -= c, 1
+        # of a band: its words, each with one more than its count, and one for all unseen ones
+        self.log_band = np.log10(bands.sum(0) + 1.0)
+        self.output = np.array([0, *(i + 1 if i < self.model_words else self.first_band + band_of(w, self.side) for i, (w, _) in enumerate(words_counts))], np.int16)
+        self.share = np.ones(self.side * self.side)
         self.share[: len(known)] += known
-        self.share[UNKNOWN] = 10.0**self.log_unknown
-        self.share[UNKNOWN + 1 :] = 1e-9
+        self.share[self.first_band :] += bands[0]
         self.share /= self.share.sum()
 
-    def ids(self, words: list[bytes]) -> np.ndarray:
-        """Ranks of words, -1 for those beyond the head, then the end (0)."""
+    def numbers(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, Counter, float]:
+        """Of a document: ranks (-1 beyond the head; the end last), outputs, its words beyond
+        the head, and log10 of the shares that the model leaves to counts (of the head's)."""
         get = self.rank.get
-        return np.fromiter([get(w, -1) for w in words] + [0], np.int32, len(words) + 1)
-
-
-def outputs(ranks: np.ndarray) -> np.ndarray:
-    return np.where((ranks < 0) | (ranks > MODEL_WORDS), UNKNOWN, ranks).astype(np.int32)
+        ranks = np.fromiter([get(w, -1) for w in words] + [0], np.int32, len(words) + 1)
+        outputs = self.output[ranks]
+        far = np.flatnonzero(ranks < 0)
+        beyond = [words[j] for j in far.tolist()]
+        outputs[far] = [self.first_band + band_of(w, self.side) for w in beyond]
+        in_bands = outputs[outputs >= self.first_band] - self.first_band
+        shares = float(self.log_c1[ranks[ranks > self.model_words]].sum()) - float(self.log_band[in_bands].sum())
+        return ranks, outputs, Counter(beyond), shares
 
 
 def head_of(counts: DataFrame, size: int = HEAD) -> Head:
     """At most `size` words come to the driver, and go to the tasks."""
-    sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
+    sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v"), F.count_if(F.col("c") >= OFTEN).alias("often")).first()
+    side = min(SIDE, max(LEAST_SIDE, int((sums["often"] + 1) ** 0.5) + 1))
+    band = F.crc32(F.substring(F.col("w").cast("binary"), -2, 2)) % side
+    bands = np.zeros((2, side), np.int64)
+    for r in counts.where(F.col("w") != END).groupBy(band.alias("b")).agg(F.sum("c").alias("c"), F.count("*").alias("v")).collect():
+        bands[:, r["b"]] = r["c"], r["v"]
     rows = counts.orderBy(F.desc("c"), "w").limit(size).toArrow()
     ends = counts.where(F.col("w") == END).toArrow()
     words, cs = rows.column("w").to_pylist(), rows.column("c").to_pylist()
     if END not in words and ends.num_rows:
         words, cs = [*words, END], [*cs, ends.column("c")[0].as_py()]
-    return Head(words, cs, sums["n"], sums["v"])
+    return Head(words, cs, sums["n"], sums["v"], bands)
 
 
-# ---- training
+# ---- documents as numbers
+
+NUMBERED = "doc_id long, held_out boolean, n_tokens long, known long, base double, shares double, mark long, ids binary, tail array<struct<w:string,n:int>>"
+
 
+def tail_lists(tails: list[Counter]) -> pa.Array:
+    words = pa.array([w.decode("utf-8", "replace") for t in tails for w in t], pa.string())
+    counts = pa.array([c for t in tails for c in t.values()], pa.int32())
+    ends = np.zeros(len(tails) + 1, np.int32)
+    np.cumsum([len(t) for t in tails], out=ends[1:])
+    return pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays([words, counts], ["w", "n"]))
 
-def by_tokens(batches, head: Head):
-    """Runs of documents of about TOGETHER tokens: lists of rank arrays."""
-    held, n = [], 0
-    for b in batches:
-        for text in b.column("text").to_pylist():
-            held.append(head.ids(lower_az(text or "").split()))
-            n += len(held[-1])
-            if n >= TOGETHER:
-                yield held
-                held, n = [], 0
-    if held:
-        yield held
 
+def numbered(docs: DataFrame, held_out: Column, head: Head) -> DataFrame:
+    """NUMBERED and row for every document. ids: its outputs, two bytes each; mark: their hash;
+    tail: its words beyond the head, whose counts are to be joined."""
 
-def trained_rows(head: Head, like: Gru, start: np.ndarray, epochs: int, lanes: int = LANES):
     def run(batches):
-        (model, sums), tokens = unpacked(like, start), 0
-        for group in by_tokens(batches, head):
-            ids = [outputs(x) for x in group]
+        for b in batches:
+            texts, begin, held = b.column("text").to_pylist(), 0, 0
+            cols: tuple[list, ...] = tuple([] for _ in range(7))
+            for i, text in enumerate(texts):
+                ranks, outputs, beyond, shares = head.numbers(lower_az(text or "").split())
+                near = ranks[ranks >= 0]
+                ids = outputs.tobytes()
+                base = float(head.log_c1[near].sum()) - len(ranks) * head.log_base
+                mark = xxhash.xxh3_64_intdigest(ids) - (1 << 63)
+                for col, x in zip(cols, (len(ranks), len(near) - (0 if head.has_end else 1), base, shares, mark, ids, beyond), strict=True):
+                    col.append(x)
+                held += len(ranks)
+                if held > TOGETHER or i == len(texts) - 1:
+                    n, known, base_, shares_, marks, ids_, tails = cols
+                    arrays = [b.column("doc_id").slice(begin, i + 1 - begin), b.column("held_out").slice(begin, i + 1 - begin), pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(base_, pa.float64()), pa.array(shares_, pa.float64()), pa.array(marks, pa.int64()), pa.array(ids_, pa.binary()), tail_lists(tails)]
+                    yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "held_out", "n_tokens", "known", "base", "shares", "mark", "ids", "tail"])
+                    cols, begin, held = tuple([] for _ in range(7)), i + 1, 0
+
+    rows = docs.select(F.col("doc_id").cast("long"), "text", held_out.alias("held_out")).mapInArrow(lambda b: tidied(run(b)), NUMBERED)
+    return written(rows.withColumn("row", F.monotonically_increasing_id()), "lm-documents")
+
+
+def as_ids(column) -> list[np.ndarray]:
+    return [np.frombuffer(x, np.int16).astype(np.int32) for x in column.to_pylist()]
+
+
+def together(ids: list[np.ndarray], tokens: int | None = None):
+    """Runs of documents of about TOGETHER tokens."""
+    begin, n = 0, 0
+    for i, x in enumerate(ids):
+        n += len(x)
+        if n >= (tokens or TOGETHER) or i == len(ids) - 1:
+            yield ids[begin : i + 1]
+            begin, n = i + 1, 0
+
+
+# ---- training
+
+PARTS = "chunk int, sub long, shard long, n long, v array<float>"
+
+
+def trained_rows(like: Gru, start: np.ndarray, epochs: int, lanes: int, subs: int, with_sums: bool):
+    """Weights, with the optimiser's sums if asked for, in chunks, of one shard's pass."""
+
+    def run(t: pa.Table) -> pa.Table:
+        t = t.sort_by([("mark", "ascending"), ("doc_id", "ascending")])
+        (model, sums), ids, shard = unpacked(like, start), as_ids(t.column("ids")), t.column("shard")[0].as_py()
+        for group in together(ids):
             for _ in range(epochs):
-                in_lanes(model, ids, sums, lanes=lanes)
-            tokens += sum(map(len, ids))
-        if tokens:
-            flat = packed(model, sums).astype(np.float64) * tokens
-            parts = [flat[i : i + CHUNK] for i in range(0, len(flat), CHUNK)]
-            yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array([tokens % 61] * len(parts), pa.int32()), pa.array([tokens] * len(parts), pa.int64()), pa.array(parts, pa.list_(pa.float64()))], ["chunk", "sub", "n", "v"])
+                in_lanes(model, group, sums, lanes=lanes)
+        flat = packed(model, sums) if with_sums else model.flat()
+        parts = [flat[i : i + CHUNK] for i in range(0, len(flat), CHUNK)]
+        k = len(parts)
+        pa.default_memory_pool().release_unused()
+        return pa.Table.from_arrays([pa.array(range(k), pa.int32()), pa.array([shard % subs] * k, pa.int64()), pa.array([shard] * k, pa.int64()), pa.array([sum(map(len, ids))] * k, pa.int64()), pa.array(parts, pa.list_(pa.float32()))], ["chunk", "sub", "shard", "n", "v"])
 
     return run
 
 
-PARTS = "chunk int, sub int, n long, v array<double>"
+SUMS = "chunk int, sub long, n long, s array<double>"
 
 
-def summed(t: pa.Table) -> pa.Table:
-    v = np.sum([x for x in t.column("v").to_numpy(zero_copy_only=False)], axis=0) if t.num_rows else np.zeros(0)
-    return pa.Table.from_arrays([t.column("chunk").slice(0, 1), t.column("sub").slice(0, 1), pa.array([sum(t.column("n").to_pylist())], pa.int64()), pa.array([v], pa.list_(pa.float64()))], ["chunk", "sub", "n", "v"])
+def summed(weighted: bool):
+    """Sums of one chunk, by tokens, in the order of the shards (or of subs)."""
 
+    def run(t: pa.Table) -> pa.Table:
+        t = t.sort_by("shard" if weighted else "sub")
+        ns, total = t.column("n").to_pylist(), 0.0
+        for n, v in zip(ns, t.column("v" if weighted else "s"), strict=True):
+            total = total + v.values.to_numpy().astype(np.float64) * (n if weighted else 1)
+        return pa.Table.from_arrays([t.column("chunk").slice(0, 1), t.column("sub").slice(0, 1), pa.array([sum(ns)], pa.int64()), pa.array([total], pa.list_(pa.float64()))], ["chunk", "sub", "n", "s"])
 
-def averaged(rows: DataFrame, start: np.ndarray) -> np.ndarray:
-    """Weights, and what the optimiser has summed, averaged by tokens: sums in two steps, then some dozen rows to the driver."""
-    first = rows.groupBy("chunk", "sub").applyInArrow(summed, PARTS)
-    parts = first.groupBy("chunk").applyInArrow(summed, PARTS).toArrow().sort_by("chunk")
+    return run
+
+
+def averaged(rows: DataFrame, shards: int, otherwise: np.ndarray) -> np.ndarray:
+    """The shards' weights averaged by tokens: sums in two steps, then some dozen rows to the
+    driver. Without any shard, `otherwise`."""
+    dealt = rows.repartition(shards // 8 + 1, "chunk", "sub")
+    first = dealt.groupBy("chunk", "sub").applyInArrow(summed(True), SUMS)
+    parts = first.groupBy("chunk").applyInArrow(summed(False), SUMS).toArrow().sort_by("chunk")
     if not parts.num_rows:
-        return start
-    return np.concatenate([np.asarray(v, np.float64) / n for v, n in zip(parts.column("v").to_pylist(), parts.column("n").to_pylist(), strict=True)])
+        return otherwise
+    return np.concatenate([np.asarray(v, np.float64) / n for v, n in zip(parts.column("s").to_pylist(), parts.column("n").to_pylist(), strict=True)])
 
 
-def trained(docs: DataFrame, head: Head) -> Gru:
-    fresh = Gru.fresh().primed(head.share)
+def trained(rows: DataFrame, head: Head) -> Gru:
+    """The model of the training rows of `numbered`."""
+    fresh = Gru.fresh(head.side).primed(head.share)
     if not head.total:
         return Gru(*(np.zeros_like(getattr(fresh, n)) for n in Gru.NAMES))
-    share = min(1.0, START_TOKENS / head.total)
-    first = docs.where(F.pmod(F.xxhash64("text", F.lit("start")), F.lit(1_000_000)) < max(1, int(share * 1_000_000)))
+    learned = rows.where("NOT held_out").select("doc_id", "mark", "ids")
+    # the sample's bound is on a 64-bit hash: its size stays the same however large the corpus is
+    sample = learned if head.total <= START_TOKENS else learned.where(F.xxhash64("mark", "doc_id", F.lit("start")) < int(START_TOKENS / head.total * 2**64) - 2**63)
     start = packed(fresh, adagrad(fresh))
-    # all tasks look for the sample, and only it goes to the one that fits the start
-    start = averaged(first.select("text").repartition(1).mapInArrow(trained_rows(head, fresh, start, START_EPOCHS, START_LANES), PARTS), start)
-    return unpacked(fresh, averaged(docs.select("text").mapInArrow(trained_rows(head, fresh, start, 1), PARTS), start))[0]
+    first = sample.withColumn("shard", F.lit(0).cast("long")).groupBy("shard").applyInArrow(trained_rows(fresh, start, START_EPOCHS, START_LANES, 1, True), PARTS)
+    start = averaged(first, 1, start)
+    shards = -(-head.total // SHARD_TOKENS)
+    dealt = learned.withColumn("shard", F.pmod(F.xxhash64("doc_id", "mark"), F.lit(shards))).repartition(2 * shards, "shard")
+    each = dealt.groupBy("shard").applyInArrow(trained_rows(fresh, start, 1, LANES, max(1, int(shards**0.5)), False), PARTS)
+    return fresh.filled(averaged(each, shards, start))
 
 
 # ---- scoring
 
-SCORED = "doc_id long, held_out boolean, n_tokens long, known long, base double, score double, tail array<struct<w:string,n:int>>"
 
-
-def tail_lists(tails: list[Counter]) -> pa.Array:
-    words = pa.array([w.decode("utf-8", "replace") for t in tails for w in t], pa.string())
-    counts = pa.array([c for t in tails for c in t.values()], pa.int32())
-    ends = np.zeros(len(tails) + 1, np.int32)
-    np.cumsum([len(t) for t in tails], out=ends[1:])
-    return pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays([words, counts], ["w", "n"]))
-
-
-def scored(docs: DataFrame, held_out: Column, head: Head, model: Gru) -> DataFrame:
-    """SCORED for every document; tail: its words beyond the head, whose counts are to be joined."""
+def model_scores(rows: DataFrame, model: Gru) -> DataFrame:
+    """row, model: log10 of the probability of each document's outputs."""
 
     def run(batches):
         for b in batches:
-            texts, doc_ids, held = b.column("text").to_pylist(), b.column("doc_id"), b.column("held_out")
-            begin, group, tails, n = 0, [], [], 0
-            for i, text in enumerate(texts):
-                words = lower_az(text or "").split()
-                ranks = head.ids(words)
-                far = np.flatnonzero(ranks < 0)
-                tails.append(Counter([words[j] for j in far.tolist()]))
-                group.append(ranks)
-                n += len(ranks)
-                if n >= TOGETHER or i == len(texts) - 1:
-                    yield rows(doc_ids.slice(begin, i + 1 - begin), held.slice(begin, i + 1 - begin), group, tails)
-                    begin, group, tails, n = i + 1, [], [], 0
-
-    def rows(doc_ids, held, group, tails):
-        score = in_lanes(model, [outputs(x) for x in group])
-        lengths, known, base = [], [], []
-        for k, ranks in enumerate(group):
-            near = ranks[ranks >= 0]
-            of_model = (ranks >= 0) & (ranks <= MODEL_WORDS)
-            unknown = len(ranks) - int(of_model.sum())
-            lengths.append(len(ranks))
-            known.append(len(near) - (0 if head.has_end else 1))
-            base.append(float(head.log_c1[near].sum()) - len(ranks) * head.log_base)
-            score[k] += float(head.log_c1[near[near > MODEL_WORDS]].sum()) - unknown * head.log_unknown
-        cols = [doc_ids, held, pa.array(lengths, pa.int64()), pa.array(known, pa.int64()), pa.array(base), pa.array(score), tail_lists(tails)]
-        return pa.RecordBatch.from_arrays(cols, [x.split()[0] for x in SCORED.split(", ")[:6]] + ["tail"])
-
-    return docs.select(F.col("doc_id").cast("long"), "text", held_out.alias("held_out")).mapInArrow(run, SCORED)
+            ids = as_ids(b.column("ids"))
+            out = [in_lanes(model, group) for group in together(ids)]
+            yield pa.RecordBatch.from_arrays([b.column(c) for c in b.schema.names if c != "ids"] + [pa.array(np.concatenate(out or [np.zeros(0)]))], [c for c in b.schema.names if c != "ids"] + ["model"])
+
+    kept = rows.select("row", "doc_id", "held_out", "n_tokens", "known", "base", "shares", "ids")
+    return kept.mapInArrow(lambda b: tidied(run(b)), "row long, doc_id long, held_out boolean, n_tokens long, known long, base double, shares double, model double")
 
 
 def likelihoods(docs: DataFrame, held_out: Column, head_size: int = HEAD) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for all documents."""
-    training = docs.where(~held_out)
-    counts = written(word_counts(training), "lm-counts")
+    counts = written(word_counts(docs.where(~held_out)), "lm-counts")
     head = head_of(counts, head_size)
-    model = trained(training, head)
-    rows = written(scored(docs, held_out, head, model).withColumn("row", F.monotonically_increasing_id()), "lm-scored")
+    rows = numbered(docs, held_out, head)
+    scored = model_scores(rows, trained(rows, head))
     # a word's count: its row of the table, if it is one of the training documents' words
     tail = rows.select("row", F.explode("tail").alias("x")).select("row", F.col("x.w").alias("w"), F.col("x.n").alias("n"))
     found = tail.join(counts, "w").groupBy("row").agg(F.sum("n").alias("more"), F.sum(F.col("n") * F.log10(F.col("c") + F.lit(1.0))).alias("logs"))
-    out = rows.drop("tail").join(found, "row", "left")
+    out = scored.join(found, "row", "left")
     logs = F.coalesce("logs", F.lit(0.0))
-    return out.select("doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"), F.lit(head.total).cast("long").alias("train_tokens"), (F.col("base") + logs).alias("base_score"), (F.col("score") + logs).alias("score"))
+    return out.select("doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"), F.lit(head.total).cast("long").alias("train_tokens"), (F.col("base") + logs).alias("base_score"), (F.col("model") + F.col("shares") + logs).alias("score"))
 
 
 def op5_gru_lm(spark: SparkSession, sf_dir: str) -> DataFrame:

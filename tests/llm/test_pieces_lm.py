@@ -110,6 +110,72 @@ def test_base_and_model_scores(spark, head):
     assert all(math.isfinite(g.score) and g.score < 0 for g in got)
 
 
+def corpus(seed, n=70):
+    r = random.Random(seed)
+    words = [f"{r.choice('AbCdéñ')}{i}{r.choice(['ing', 'ed', 'ção', ''])}" for i in range(1500)]
+    return [(i, " ".join(words[min(int(r.expovariate(0.0025)), 1499)] for _ in range(r.randint(1, 120)))) for i in range(n)]
+
+
+def plain_score(text, m, counts):
+    """The model's log10 probability of a text, a step at a time in plain float64, and counts."""
+    side = len(m.bc)
+    bands_at = side * (side - 1)
+    ranked = [w for w, _ in sorted(((w, c) for w, c in counts.items() if w != b"\n"), key=lambda x: (-x[1], x[0]))]
+    own = {w: i + 1 for i, w in enumerate(ranked[: bands_at - 1])} | {b"\n": 0}
+    band = Counter()
+    for w in ranked[bands_at - 1 :]:
+        band[lm.band_of(w, side)] += counts[w] + 1
+    g = {n: getattr(m, n).astype(float) for n in lm.Gru.NAMES}
+    k, sig = len(g["u"]), lambda x: 1 / (1 + np.exp(-x))
+    h, last, total = np.zeros(k), 0, 0.0
+    for w in [*lm.lower_az(text or "").split(), b"\n"]:
+        x, a = g["wx"][last], h @ g["u"]
+        reset, z = sig(x[:k] + a[:k]), sig(x[k : 2 * k] + a[k : 2 * k])
+        new = np.tanh(x[2 * k :] + reset * (a[2 * k :] + g["bn"]))
+        h = (1 - z) * new + z * h
+        out = own.get(w, bands_at + lm.band_of(w, side))
+        cls, place = divmod(out, side)
+        p, q = h @ g["wc"] + g["bc"], h @ g["wo"][cls] + g["bo"][cls]
+        total += (p[cls] - np.log(np.exp(p).sum()) + q[place] - np.log(np.exp(q).sum())) / math.log(10)
+        if out >= bands_at:
+            total += math.log10((counts[w] + 1) / (band[lm.band_of(w, side)] + 1))
+        last = out
+    return total
+
+
+@pytest.mark.parametrize(("head", "often"), [(300, 50), (5000, 50), (5000, 3)])
+def test_scores_are_those_of_a_plain_model(spark, head, often, monkeypatch):
+    monkeypatch.setattr(lm, "OFTEN", often)
+    made = []
+    inner = lm.trained
+    monkeypatch.setattr(lm, "trained", lambda *a: made.append(inner(*a)) or made[-1])
+    rows = corpus(8, 250) + [(900, None), (901, "never seen before these wordsing"), (902, "b1ing " * 3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {g.doc_id: g.score for g in lm.likelihoods(df, F.col("doc_id") % 7 == 2, head).collect()}
+    counts = Counter(w for i, t in rows if i % 7 != 2 for w in [*lm.lower_az(t or "").split(), b"\n"])
+    assert len(made[0].bc) > lm.LEAST_SIDE or often == 50
+    for i, t in rows:
+        assert got[i] == pytest.approx(plain_score(t, made[0], counts), rel=1e-4)
+
+
+def test_scores_do_not_depend_on_partitions(spark, monkeypatch):
+    monkeypatch.setattr(lm, "SHARD_TOKENS", 1000)
+    monkeypatch.setattr(lm, "START_TOKENS", 800)
+    rows = corpus(9, 90) + [(5, "a twin of five")]
+    runs = []
+    for n in (1, 3, 8):
+        df = spark.createDataFrame(random.Random(n).sample(rows, len(rows)), "doc_id long, text string").repartition(n)
+        runs.append(sorted((g.doc_id, g.n_tokens, g.score) for g in lm.likelihoods(df, F.col("doc_id") % 7 == 2).collect()))
+    for other in runs[1:]:
+        assert [x[:2] for x in other] == [x[:2] for x in runs[0]]
+        assert [x[2] for x in other] == pytest.approx([x[2] for x in runs[0]], rel=1e-5)
+
+
+def test_other_columns_may_clash(spark):
+    df = spark.createDataFrame([(1, "a b c", "x", 1), (2, "a b", "y", 2)], "doc_id long, text string, row string, ids int")
+    assert lm.likelihoods(df, F.lit(False)).count() == 2
+
+
 def test_no_documents(spark):
     df = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     none = lm.likelihoods(df, F.lit(True)).first()
@@ -118,9 +184,9 @@ def test_no_documents(spark):
 
 
 def test_gradients():
-    m = lm.Gru.fresh(1, 4)
+    m = lm.Gru.fresh(8, 1, 4)
     r = np.random.default_rng(0)
-    tok, tgt, h0 = r.integers(0, lm.UNKNOWN, (5, 3)), r.integers(0, lm.UNKNOWN + 1, (5, 3)), r.normal(size=(4, 3)).astype(np.float32)
+    tok, tgt, h0 = r.integers(0, 64, (5, 3)), r.integers(0, 64, (5, 3)), r.normal(size=(4, 3)).astype(np.float32)
     reset = np.ones((5, 3), np.float32)
     reset[2, 1] = 0
     for n in lm.Gru.NAMES:
@@ -149,7 +215,7 @@ def test_gradients():
 
 
 def test_state_is_carried_and_lanes_do_not_matter():
-    m = lm.Gru.fresh(2)
+    m = lm.Gru.fresh(32, 2)
     r = np.random.default_rng(1)
     ids = [np.append(r.integers(1, 900, n), 0).astype(np.int32) for n in (1, 300, 7, 50, 2, 90)]
     a = lm.in_lanes(m, ids, window=5, lanes=2)
@@ -158,15 +224,15 @@ def test_state_is_carried_and_lanes_do_not_matter():
 
 
 def test_outputs_sum_to_one():
-    m = lm.Gru.fresh(3)
+    m = lm.Gru.fresh(16, 3)
     h = np.random.default_rng(2).normal(size=(1, lm.HIDDEN)).astype(np.float32)
-    every = np.arange(lm.UNKNOWN + 1)
+    every = np.arange(256)
     assert np.exp(m.logs(np.repeat(h, len(every), 0), every)).sum() == pytest.approx(1, abs=1e-4)
 
 
 def test_training_learns_order():
     ids = [np.array([1, 2, 3, 4, 5, 6, 0] * 30, np.int32) for _ in range(40)]
-    m = lm.Gru.fresh()
+    m = lm.Gru.fresh(8)
     before = lm.in_lanes(m, ids).sum()
     sums = lm.adagrad(m)
     for _ in range(15):
