@@ -36,6 +36,10 @@ PATTERNS = {
 }
 #: Characters of context on either side of an entity.
 WINDOW = 48
+#: Spans on either side that a window can meet: of each kind one in five characters, and one over.
+NEIGHBOURS = len(KINDS) * (WINDOW // 5 + 2)
+#: Characters of the blocks that contexts are taken from.
+BLOCK = 1024
 #: Words of a context, for p(term in a context).
 WINDOW_WORDS = 16
 PRIOR = 1.0
@@ -102,31 +106,67 @@ def entity(span: Column) -> Column:
     return F.concat_ws(":", span["kind"], F.when(span["kind"].isin("card", "phone"), digits(span["value"])).otherwise(F.lower(span["value"])))
 
 
-def beside(text: Column, span: Column, spans: Column) -> Column:
-    """array<struct<entity, context, term, start, end>> of the words around one span."""
+def let(value: Column, use) -> Column:
+    """use(value) with value computed once: inside a lambda an expression is not shared."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def part(blocks: Column, at: Column, size: Column) -> Column:
+    """`size` characters (BLOCK at most) of a text from `at` on, given its blocks: the cost does
+    not depend on the text's length."""
+    k = F.floor(at / BLOCK).cast("int")
+    two = F.concat(F.coalesce(F.get(blocks, k), F.lit("")), F.coalesce(F.get(blocks, k + 1), F.lit("")))
+    return F.substring(two, (at - k * BLOCK + 1).cast("int"), size)
+
+
+def beside(blocks: Column, n: Column, span: Column, spans: Column) -> Column:
+    """array<struct<entity, context, term>> of the words around one span of a text of n
+    characters; words that touch one of `spans` are none."""
     begin = F.greatest(span["start"] - WINDOW, F.lit(0))
-    left, right = F.substring(text, begin + 1, span["start"] - begin), F.substring(text, span["end"] + 1, F.lit(WINDOW))
-    # a word cut off at the window's edge is no word
-    head = F.when(begin > 0, F.length(F.regexp_extract(left, r"^\S+", 0))).otherwise(F.lit(0))
-    tail = F.when(span["end"] + WINDOW < F.length(text), F.regexp_replace(right, r"\S+$", "")).otherwise(right)
-    context = F.xxhash64(left, tail)
-
-    def words(part, offset):
-        return F.transform(
-            located(part, TERM),
-            lambda x: F.struct(entity(span).alias("entity"), context.alias("context"), F.lower(x["value"]).alias("term"), (x["start"] + offset).cast("int").alias("start"), (x["end"] + offset).cast("int").alias("end")),
+    cut = F.struct(begin.alias("begin"), part(blocks, begin, span["start"] - begin).alias("left"), part(blocks, span["end"], F.lit(WINDOW)).alias("right"))
+
+    def inside(w):
+        # a word cut off at the window's edge is no word
+        head = F.when(w["begin"] > 0, F.length(F.regexp_extract(w["left"], r"^\S+", 0))).otherwise(F.lit(0))
+        tail = F.when(span["end"] + WINDOW < n, F.regexp_replace(w["right"], r"\S+$", "")).otherwise(w["right"])
+        return let(
+            F.struct(head.alias("head"), tail.alias("tail")),
+            lambda h: let(
+                F.struct(
+                    F.xxhash64(w["left"], h["tail"]).alias("context"),
+                    entity(span).alias("entity"),
+                    F.array(F.struct(F.substring(w["left"], h["head"] + 1, F.lit(WINDOW)).alias("text"), (w["begin"] + h["head"]).alias("at")), F.struct(h["tail"].alias("text"), span["end"].alias("at"))).alias("sides"),
+                ),
+                lambda c: F.flatten(F.transform(c["sides"], lambda side: words(c, side))),
+            ),
         )
 
-    inside = F.concat(words(F.substring(left, head + 1, F.lit(WINDOW)), begin + head), words(tail, span["end"]))
-    return F.filter(inside, lambda w: ~F.exists(spans, lambda s: (w["start"] < s["end"]) & (s["start"] < w["end"])))
+    def words(c, side):
+        free = F.filter(located(side["text"], TERM), lambda x: ~F.exists(spans, lambda s: (x["start"] + side["at"] < s["end"]) & (s["start"] < x["end"] + side["at"])))
+        return F.transform(free, lambda x: F.struct(c["entity"].alias("entity"), c["context"].alias("context"), F.lower(x["value"]).alias("term")))
+
+    return let(cut, inside)
+
+
+def around(text: Column, spans: Column) -> Column:
+    """The words around all spans of a text.
+
+    A window meets only its span's neighbours: spans of a kind don't overlap and have five
+    characters or more, so at most NEIGHBOURS before and after are near.
+    """
+    n = F.length(text)
+    blocks = F.transform(F.sequence(F.lit(0), F.floor(n / BLOCK).cast("int")), lambda i: F.substring(text, i * BLOCK + 1, F.lit(BLOCK)))
+    near = lambda i: F.slice(spans, F.greatest(i - NEIGHBOURS + 1, F.lit(1)), F.lit(2 * NEIGHBOURS + 1))
+    once = F.struct(blocks.alias("blocks"), n.alias("n"))
+    return let(once, lambda t: F.flatten(F.transform(spans, lambda s, i: let(near(i), lambda some: beside(t["blocks"], t["n"], s, some)))))
 
 
 def scanned(docs: DataFrame) -> DataFrame:
     """doc_id, code (of the text), spans, near: one scan of the texts, written without them."""
     text = F.col("text")
     base = text_of(docs.select("doc_id", "text")).withColumn("spans", base_spans(text)).withColumn("code", F.xxhash64("text"))
-    none = F.array().cast("array<struct<entity:string,context:bigint,term:string,start:int,end:int>>")
-    near = F.when(F.size("spans") > 0, F.flatten(F.transform("spans", lambda s: beside(text, s, F.col("spans"))))).otherwise(none)
+    none = F.array().cast("array<struct<entity:string,context:bigint,term:string>>")
+    near = F.when(F.size("spans") > 0, around(text, F.col("spans"))).otherwise(none)
     n = F.when(F.length(F.trim(text)) > 0, F.size(F.split(F.trim(text), r"[\x20\x09-\x0D]+"))).otherwise(F.lit(0))
     return written(base.select("doc_id", "code", "spans", near.alias("near"), n.cast("long").alias("n")), "pii-scan")
 
@@ -165,16 +205,24 @@ def term_spans(docs: DataFrame, scan: DataFrame, threshold: float = THRESHOLD, p
     words = words.withColumn("end", end.cast("int"))
     pairs = small(wanted, 200_000)
     hits = words.join(pairs, words["doc_id"].eqNullSafe(pairs["w_id"]) & (words["code"] == pairs["w_code"]) & (words["term"] == pairs["w_term"]), "left_semi")
-    span = F.struct((F.col("end") - F.col("size")).alias("start"), F.lit(len(KINDS)).alias("kind_no"), F.col("end"), F.lit("term").alias("kind"), F.col("term").alias("value"))
-    return hits.groupBy("doc_id", "code").agg(F.sort_array(F.collect_list(span)).alias("terms"))
+    hits = hits.select("doc_id", "code", (F.col("end") - F.col("size")).alias("start"), "end", "term")
+    # a term that touches a base span is none: spans before it may reach into it, the next may begin in it
+    of_spans = scan.join(of, scan["doc_id"].eqNullSafe(of["w_id"]) & (scan["code"] == of["w_code"]), "left_semi").select("doc_id", "code", F.explode("spans").alias("s"))
+    events = hits.unionByName(of_spans.select("doc_id", "code", "s.start", "s.end", F.lit(None).cast("string").alias("term")))
+    base = F.col("term").isNull()
+    by = Window.partitionBy("doc_id", "code").orderBy("start", base.desc())
+    reach = F.max(F.when(base, F.col("end"))).over(by.rowsBetween(Window.unboundedPreceding, -1))
+    following = F.min(F.when(base, F.col("start"))).over(by.rowsBetween(1, Window.unboundedFollowing))
+    free = events.withColumn("reach", reach).withColumn("following", following).where(~base & (F.coalesce("reach", F.lit(0)) <= F.col("start")) & (F.coalesce("following", F.col("end")) >= F.col("end")))
+    span = F.struct("start", F.lit(len(KINDS)).alias("kind_no"), "end", F.lit("term").alias("kind"), F.col("term").alias("value"))
+    return free.groupBy("doc_id", "code").agg(F.sort_array(F.collect_list(span)).alias("terms"))
 
 
 def with_terms(df: DataFrame, terms: DataFrame) -> DataFrame:
-    """`df` (doc_id, code, spans, ...) with the added spans that lie outside its spans among them."""
+    """`df` (doc_id, code, spans, ...) with the added spans among its own."""
     t = small(written(terms, "pii-spans"), 200_000).withColumnsRenamed({"doc_id": "t_id", "code": "t_code"})
     joined = df.join(t, df["doc_id"].eqNullSafe(t["t_id"]) & (df["code"] == t["t_code"]), "left").drop("t_id", "t_code")
-    free = F.filter("terms", lambda w: ~F.exists("spans", lambda s: (w["start"] < s["end"]) & (s["start"] < w["end"])))
-    return joined.withColumn("all_spans", F.array_sort(F.concat("spans", F.coalesce(free, F.array().cast(f"array<{SPAN}>"))))).drop("terms")
+    return joined.withColumn("all_spans", F.array_sort(F.concat("spans", F.coalesce("terms", F.array().cast(f"array<{SPAN}>"))))).drop("terms")
 
 
 def listed(spans: str) -> Column:

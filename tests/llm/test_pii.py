@@ -91,6 +91,69 @@ def test_terms_are_marked_wherever_they_stand(spark):
     assert got[None] == f"{w} '[TERM]' {far} [EMAIL]" and got[1003] == f"[TERM] {far} [TERM] [EMAIL]" and got[7] == rows[7][1]
 
 
+def plain_pmi(rows):
+    """(entity, term) -> PMI / IC, by loops over all contexts of all texts."""
+    import math
+    from collections import Counter, defaultdict
+
+    word = re.compile(r"[^\W_][^\W_]+")
+    contexts, together, n, words = defaultdict(set), defaultdict(set), Counter(), 0
+    for _, text in rows:
+        text = text or ""
+        words += len(text.split())
+        n.update(word.findall(text.lower()))
+        found = [(int(a), int(b), kind) for kind, a, b in (x.split(":") for x in plain(text))]
+        for a, b, kind in found:
+            value = text[a:b]
+            entity = f"{kind}:" + (re.sub("[^0-9]", "", value) if kind in ("card", "phone") else value.lower())
+            begin, end = max(a - 48, 0), min(b + 48, len(text))
+            left, tail = text[begin:a], text[b:end] if end == len(text) else re.sub(r"\S+$", "", text[b:end])
+            head = len(re.match(r"\S*", left)[0]) if begin else 0
+            contexts[entity].add((left, tail))
+            for part, at in ((left[head:], begin + head), (tail, b)):
+                for m in word.finditer(part):
+                    if not any(at + m.start() < y and x < at + m.end() for x, y, _ in found):
+                        together[entity, m[0].lower()].add((left, tail))
+    seen = {e: len({c for (f, _), cs in together.items() if f == e for c in cs}) for e in contexts}
+    windows, out = max(words / pii.WINDOW_WORDS, 1), {}
+    for (e, t), cs in together.items():
+        p = min(1, n[t] / windows)
+        pmi = math.log((len(cs) + pii.PRIOR * p) / (seen[e] + pii.PRIOR) / p)
+        out[e, t] = pmi / -math.log(min(0.5, seen[e] / windows))
+    return out
+
+
+def test_pmi_against_brute_force(spark):
+    r = random.Random(7)
+    words = [f"{a}{b}" for a in ("al", "bo", "ci", "du", "Ed") for b in ("ma", "né", "pos", "rix")]
+    people = ["jo@corp.example", "10.2.3.4", "+49 30 1234 5678", "4111 1111 1111 1111"]
+    rows = []
+    for i in range(60):
+        text = " ".join(r.choice(words) for _ in range(r.randint(5, 60))).split()
+        for _ in range(r.randint(0, 3)):
+            k = r.randrange(len(people))
+            text.insert(r.randrange(len(text)), people[k] + r.choice(["", ",", " Kenn" + "abcd"[k]]))
+        rows.append((i, " ".join(text)))
+    rows += [(70, None), (71, rows[3][1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = plain_pmi(rows)
+    got = {(x.entity, x.term): x.ratio for x in pii.disclosing(df, pii.scanned(df), threshold=-100.0).collect()}
+    assert got.keys() == want.keys() and len(got) > 40
+    for k, v in want.items():
+        assert abs(got[k] - v) < 1e-9, k
+
+
+def test_thousands_of_spans_in_a_text(spark):
+    import time
+
+    rows = [(1, " ".join(f"word{i} a{i}@b.example, 10.0.{i % 250}.7" for i in range(8000))), (2, "a5@b.example word5")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    begin = time.time()
+    got = {x.doc_id: x for x in pii.find(df).select("doc_id", F.size("spans").alias("n"), F.size("all_spans").alias("m")).collect()}
+    assert got[1].n == 16000 and got[1].m > 16000 and got[2].n == 1
+    assert time.time() - begin < 60
+
+
 def test_overlapping_spans_and_empty_tables(spark):
     df = spark.createDataFrame([(1, "call +49 30 1234 5678.1.2.3 now")], "doc_id long, text string")
     assert "1234" not in pii.sanitize(df).first()["text"]
