@@ -6,17 +6,19 @@ vocabulary lacks. Spaces become U+2581 and one is put in front; decoding undoes
 A literal U+2581 is spelt in byte pieces, so every text comes back as it was.
 
 Texts over GIANT characters are cut into chunks of CHUNK characters that different tasks
-encode. A piece may hang over the cut by up to LONGEST - 1 characters: that overhang is the
-boundary state. Each chunk gives the matrix of best scores from every entry state to every
+encode. A piece may hang over the cut by up to one character less than the vocabulary's longest
+piece has: that overhang is the boundary state. Each chunk gives the matrix of best scores from every entry state to every
 exit state; matrices combine by the max-plus product, which is associative, in a tree; the
 scores on entry then let each chunk trace its own path back, independently of the others, for
 each of its exit states, and a last step picks the exits. No piece holds a space after another
 character, so before such a space all states meet: within a chunk only the first and the last
 word differ by state.
 
-The vocabulary file is a parameter: its path must lead to the file on every executor. Defined
-results: a null text is like an empty one, no tokens; repeated rows
-are encoded each; an empty table gives no rows; `encoded` keeps all columns of docs.
+The vocabulary file is a parameter: it is read once, at the driver or by Spark's readers, and
+its bytes (half a MB) go with the tasks. Defined results: a null text is like an empty one, no
+tokens; repeated rows are encoded each; an empty table gives no rows; `encoded` keeps all columns
+of docs but those named as its own; an id that the vocabulary lacks decodes as U+FFFD, and null
+ids as null.
 """
 
 from __future__ import annotations
@@ -45,6 +47,14 @@ def default_model() -> str:
     return str(Path(spec.origin).parent / "piece_bpe_32k.model") if spec else "/opt/tokenizers/piece_bpe_32k.model"
 
 
+def model_bytes(spark: SparkSession, path: str | None) -> bytes:
+    """The vocabulary file, from the driver's disk or from any store that Spark reads."""
+    path = path or default_model()
+    if Path(path).is_file():
+        return Path(path).read_bytes()
+    return bytes(spark.read.format("binaryFile").load(path).select("content").first()["content"])
+
+
 class Slots:
     """Pieces by a 64-bit hash, in two direct-address tables for vectors of lookups."""
 
@@ -94,6 +104,8 @@ class Slots:
 
 #: No piece: far below any word's score, and two of them still fit 32 bits.
 LOW = -(1 << 29)
+#: Score of a piece that is taken only where nothing else fits.
+LAST = -4_000_000
 #: Longest run that is encoded with others, many at a time.
 VECTOR_LENGTH = 48
 #: Characters of the runs that are encoded at once: some 20 MB of arrays.
@@ -113,17 +125,18 @@ class Vocabulary:
         self.surface: list[bytes] = []
 
     @classmethod
-    def load(cls, path: str) -> Vocabulary:
+    def load(cls, data: bytes) -> Vocabulary:
         import sentencepiece
 
-        m = sentencepiece.SentencePieceProcessor(model_file=path)
+        m = sentencepiece.SentencePieceProcessor(model_proto=data)
         size = m.get_piece_size()
         normal = [i for i in range(size) if not (m.is_byte(i) or m.is_control(i) or m.is_unknown(i) or m.is_unused(i))]
         bytes_ = {int(m.id_to_piece(i)[1:-1], 16): i for i in range(size) if m.is_byte(i)}
         if len(bytes_) != 256:
             raise ValueError("the vocabulary has no byte pieces")
-        # pieces that the vocabulary's makers defined by hand carry no real score: they win
-        scores = [round(x) if (x := m.get_score(i)) > -1e8 else -1 for i in normal]
+        # pieces with the score of -1e9 (runs of spaces) are those of last resort: what is left of
+        # that number here still outweighs any run of others
+        scores = [max(round(m.get_score(i)), LAST) for i in normal]
         pieces = [m.id_to_piece(i) for i in normal]
         if any(re.search(f"[^{SPACE}]{SPACE}", p) for p in pieces):
             raise ValueError("a piece holds a space after another character")
@@ -255,30 +268,31 @@ class Vocabulary:
         return best[-1], np.array(ids, np.int32).tobytes()
 
 
-#: Stands for a literal U+2581 of the text (a noncharacter, spelt out in bytes like any unknown).
-LITERAL = "﷐"
+#: Stands for a literal U+2581 of the text, spelt out in bytes like any unknown: a lone surrogate,
+#: which no text holds.
+LITERAL = "\ud800"
 SPACE_BYTES = SPACE.encode()
+#: What an id that the vocabulary lacks decodes as.
+UNKNOWN = "\ufffd".encode()
 CUT = re.compile(f"(?<=[^{SPACE}])(?={SPACE})")
 RUNS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
 
 def escaped(text: str) -> str:
     """The text with U+2581 for spaces; length is kept."""
-    if LITERAL in text:
-        text = text.replace(LITERAL, "﷑")
     return text.replace(SPACE, LITERAL).replace(" ", SPACE)
 
 
 @functools.lru_cache(2)
-def vocabulary(path: str) -> Vocabulary:
-    return Vocabulary.load(path)
+def vocabulary(data: bytes) -> Vocabulary:
+    return Vocabulary.load(data)
 
 
 def runs_of(text: str | None) -> list[str]:
     """The runs of a whole text between cuts: each with the spaces before it."""
     if not text:
         return []
-    if "  " not in text and SPACE not in text and LITERAL not in text and text[0] != " " and text[-1] != " ":
+    if "  " not in text and SPACE not in text and text[0] != " " and text[-1] != " ":
         return (SPACE + text.replace(" ", " " + SPACE)).split(" ")
     return RUNS.findall(SPACE + escaped(text))
 
@@ -296,8 +310,14 @@ def encode(text: str | None, v: Vocabulary) -> bytes:
 
 
 def decode(ids: list[int], v: Vocabulary) -> str:
-    data = b"".join(map(v.surface.__getitem__, ids))
-    return data[1:].decode("utf-8", "surrogatepass" if b"\xed" in data else "replace") if data[:1] == b" " else data.decode("utf-8", "replace")
+    size = len(v.surface)
+    try:
+        data = b"".join(map(v.surface.__getitem__, ids))
+        if min(ids, default=0) < 0:
+            raise IndexError
+    except IndexError:
+        data = b"".join(v.surface[i] if 0 <= i < size else UNKNOWN for i in ids)
+    return (data[1:] if data[:1] == b" " else data).decode("utf-8", "replace")
 
 
 def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -387,7 +407,7 @@ def columns_of(df: DataFrame) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
 
 
-def plain(docs: DataFrame, model: str) -> DataFrame:
+def plain(docs: DataFrame, model: bytes) -> DataFrame:
     """docs and pieces_ids, each text encoded by one task."""
 
     def run(batches):
@@ -407,8 +427,9 @@ def plain(docs: DataFrame, model: str) -> DataFrame:
     return docs.mapInArrow(lambda b: tidied(run(b)), f"{columns_of(docs)}, pieces_ids array<int>")
 
 
-def giants(docs: DataFrame, model: str, chunk: int = CHUNK, longest: int = 16) -> DataFrame:
+def giants(docs: DataFrame, model: bytes, chunk: int = CHUNK) -> DataFrame:
     """g_id, g_code, pieces_ids of the distinct (doc_id, text) of docs, by chunks."""
+    longest = vocabulary(model).longest
     texts = docs.select(F.col("doc_id").alias("g_id"), F.xxhash64("text").alias("g_code"), F.concat(F.lit(" "), "text").alias("t")).dropDuplicates(["g_id", "g_code"])
     n = F.ceil(F.length("t") / chunk).cast("int")
     chunks = texts.select("g_id", "g_code", n.alias("n"), "t", F.explode(F.sequence(F.lit(0), n - 1)).alias("k"))
@@ -459,28 +480,34 @@ def giants(docs: DataFrame, model: str, chunk: int = CHUNK, longest: int = 16) -
 
 def encoded(docs: DataFrame, model: str | None = None, giant: int = GIANT, chunk: int = CHUNK) -> DataFrame:
     """All columns of docs, and token_ids and n_tokens (in place of columns so named)."""
-    model = model or default_model()
+    vocabulary_ = model_bytes(docs.sparkSession, model)
     docs = docs.select(*[docs[c] for c in docs.columns if c.lower() not in ("token_ids", "n_tokens", "pieces_ids")])
     long = F.coalesce(F.length("text") > giant, F.lit(False))
-    usual = plain(docs.where(~long), model)
+    usual = plain(docs.where(~long), vocabulary_)
     big = docs.where(long)
-    done = written(giants(big, model, chunk), "pieces-giants")
+    done = written(giants(big, vocabulary_, chunk), "pieces-giants")
     of = big.join(done, big["doc_id"].eqNullSafe(done["g_id"]) & (F.xxhash64(big["text"]) == done["g_code"])).select(*[big[c] for c in big.columns], "pieces_ids")
     return usual.unionByName(of).withColumn("n_tokens", F.size("pieces_ids").cast("long")).withColumnRenamed("pieces_ids", "token_ids")
 
 
 def decoded(df: DataFrame, model: str | None = None) -> DataFrame:
     """All columns of df, and decoded: the text of token_ids (null: null)."""
-    model = model or default_model()
+    vocabulary_ = model_bytes(df.sparkSession, model)
+    df = df.select(*[df[c] for c in df.columns if c.lower() != "decoded"])
 
     def run(batches):
-        v = vocabulary(model)
+        v = vocabulary(vocabulary_)
         for b in batches:
-            out = [None if ids is None else decode(ids, v) for ids in b.column("token_ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.string())], [*b.schema.names, "decoded"])
+            # few rows at a time: ids as Python numbers take several times their bytes
+            for i in range(0, b.num_rows, 500):
+                p = b.slice(i, 500)
+                out = [None if ids is None else decode(ids, v) for ids in p.column("token_ids").to_pylist()]
+                yield pa.RecordBatch.from_arrays([*p.columns, pa.array(out, pa.string())], [*b.schema.names, "decoded"])
 
-    return df.mapInArrow(run, f"{columns_of(df)}, decoded string")
+    return df.mapInArrow(lambda b: tidied(run(b)), f"{columns_of(df)}, decoded string")
 
 
 def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encoded(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_tokens", "token_ids")
+    """doc_id, n_tokens, token_ids, and whether decoding them gives the text back."""
+    ids = decoded(encoded(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return ids.select("doc_id", "n_tokens", "token_ids", (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
