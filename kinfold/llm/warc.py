@@ -6,7 +6,10 @@ Spark reaches will do; `read_files` reads ready-made .warc/.warc.gz files the sa
 
 Defined results: a null html is an empty payload; a null page_id is the lowest of its group;
 rows that repeat the largest page_id of a group are all responses; an empty table gives no
-archive and no row; columns other than page_id, url and html are ignored.
+archive and no row; columns other than page_id, url and html are ignored. Gaps of archives that
+were read are rows beside the records, with the reason; `gaps` selects them. `read_files` holds
+a file in one value, so that files must stay under 2 GB (cut larger ones at any byte: the reader
+picks up at the next record).
 """
 
 from __future__ import annotations
@@ -21,11 +24,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinfold.llm.common import table, written
+from kinfold.llm.common import small, table, written
 
 REVISIT_BYTES = 1000
 #: An archive is closed after so many bytes.
 ARCHIVE_BYTES = 4 << 20
+#: A record's header, and a gzip member's content, may take so many bytes; more is quarantined.
+HEADER_BYTES = 1 << 20
+MEMBER_BYTES = 1 << 30
 MAGIC = b"\x1f\x8b\x08"
 VERSION = re.compile(rb"WARC/1\.[01]\r?\n")
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -61,7 +67,7 @@ def parse(data: bytes, at: int) -> tuple[dict | None, int, str]:
     m = VERSION.match(data, at)
     if not m:
         return None, at, "no version line"
-    ends = [(i, n) for i, n in ((data.find(b"\r\n\r\n", at), 4), (data.find(b"\n\n", at), 2)) if i >= 0]
+    ends = [(i, n) for i, n in ((data.find(b"\r\n\r\n", at, at + HEADER_BYTES), 4), (data.find(b"\n\n", at, at + HEADER_BYTES), 2)) if i >= 0]
     if not ends:
         return None, at, "unfinished header"
     head, n = min(ends)
@@ -106,13 +112,16 @@ def plain(data: bytes, base: int = 0) -> Iterator[tuple[str, int, int, dict | st
         yield "gap", base + bad, len(data) - bad, why
 
 
-def inflate(view: memoryview) -> tuple[bytes, int]:
-    z = zlib.decompressobj(31)
-    out = [z.decompress(view[: 1 << 16])]
-    used = min(len(view), 1 << 16)
+def inflate(view: memoryview, limit: int = MEMBER_BYTES) -> tuple[bytes, int]:
+    """The bytes of the gzip member that `view` begins with, and how many it takes there."""
+    z, out, size, used = zlib.decompressobj(31), [], 0, 0
     while not z.eof and used < len(view):
-        out.append(z.decompress(view[used : used + (1 << 20)]))
-        used = min(len(view), used + (1 << 20))
+        step = view[used : used + (1 << 20 if used else 1 << 16)]
+        out.append(z.decompress(step, limit - size + 1))
+        size += len(out[-1])
+        if size > limit:
+            raise zlib.error("member too long")
+        used += len(step)
     if not z.eof:
         raise zlib.error("member cut short")
     return b"".join(out), used - len(z.unused_data)
@@ -122,41 +131,37 @@ def salvage(data: bytes) -> Iterator[tuple[str, int, int, dict | str]]:
     """All records that pass the checks, in order, and the byte gaps between them.
 
     After a failed check the search goes on one byte later, for the next gzip member that
-    inflates whole (its CRC and length hold) or the next version line.
+    inflates whole (its CRC and length hold) and has a record, or the next version line.
     """
-    if MAGIC not in data[:65536] and VERSION.search(data):
-        yield from plain(data)
-        return
     at, bad, why, view = 0, -1, "", memoryview(data)
     while at < len(data):
-        got, reason = None, "no member"
+        reason, end, found, skip = "no member or version line", at, [], 0
         if data.startswith(MAGIC, at):
             try:
                 got, used = inflate(view[at:])
             except zlib.error as e:
                 reason = str(e)[:80]
-        if got is not None:
+            else:
+                # a record's place is its member; a gap inside one is named as such
+                found = [(kind, at, used, x if kind == "record" else f"in member, {start}+{length}: {x}") for kind, start, length, x in plain(got)]
+                if any(kind == "record" for kind, *_ in found):
+                    end = at + used
+                else:
+                    reason, skip = "member without a record", used
+        elif data.startswith(b"WARC/1.", at):
+            fields, end, reason = parse(data, at)
+            found = [("record", at, end - at, fields)]
+        if end > at:
             if bad >= 0:
                 yield "gap", bad, at - bad, why
                 bad = -1
-            for kind, start, length, x in plain(got):
-                # a record's place is its member; a gap inside one is named as such
-                yield (kind, at, used, x) if kind == "record" else (kind, at, used, f"in member, {start}+{length}: {x}")
-            at += used
+            yield from found
+            at = end
             continue
-        if data.startswith(b"WARC/1.", at):
-            fields, end, reason = parse(data, at)
-            if fields is not None:
-                if bad >= 0:
-                    yield "gap", bad, at - bad, why
-                    bad = -1
-                yield "record", at, end - at, fields
-                at = end
-                continue
         if bad < 0:
             bad, why = at, reason
-        found = [i for i in (data.find(MAGIC, at + 1), data.find(b"WARC/1.", at + 1)) if i >= 0]
-        at = min(found, default=len(data))
+        at += max(skip, 1)
+        at = min((i for i in (data.find(MAGIC, at), data.find(b"WARC/1.", at)) if i >= 0), default=len(data))
     if bad >= 0:
         yield "gap", bad, len(data) - bad, why
 
@@ -186,8 +191,8 @@ def bare_hex(digest: str) -> str | None:
 def with_types(pages: DataFrame) -> DataFrame:
     """page_id, url, html, sha1, refers_to: the response a page revisits, or null.
 
-    Winners are found on digests alone; the one shuffle of whole pages is by digest, a plain
-    equi-join whose hot partitions Spark splits.
+    Winners are found on digests alone. Where they are few they go to every task; else whole
+    pages are shuffled by digest, a plain equi-join whose hot partitions Spark splits.
     """
     p = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html")).withColumn("sha1", F.sha1(F.encode("html", "UTF-8")))
     winners = (
@@ -197,7 +202,7 @@ def with_types(pages: DataFrame) -> DataFrame:
         .where("n > 1 AND winner IS NOT NULL")
         .select("sha1", "winner")
     )
-    joined = p.join(winners, "sha1", "left")
+    joined = p.join(small(written(winners, "warc-winners")), "sha1", "left")
     revisit = F.col("winner").isNotNull() & (F.col("page_id").isNull() | (F.col("page_id") < F.col("winner")))
     return joined.select("page_id", "url", "html", "sha1", F.when(revisit, F.col("winner")).alias("refers_to"))
 
@@ -259,8 +264,17 @@ def read_files(spark: SparkSession, path: str) -> DataFrame:
     return read_archives(files.select(F.col("path").alias("archive_id"), "content"))
 
 
+def gaps(records: DataFrame) -> DataFrame:
+    """The quarantined byte ranges: archive_id, start, length, reason."""
+    return records.where("kind = 'gap'").select("archive_id", "start", "length", "reason")
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = read_archives(write_archives(table(spark, sf_dir, "pages"))).where("kind = 'record'")
+    """The records of freshly written archives; a gap in these would be lost pages, and raises."""
+    records = written(read_archives(write_archives(table(spark, sf_dir, "pages"))), "warc-records")
+    lost = gaps(records).limit(5).collect()
+    if lost:
+        raise RuntimeError(f"archives could not be read back: {lost}")
     page = lambda c: F.regexp_extract(c, r"^<urn:page:(-?\d+)>$", 1).try_cast("long")
     return records.select(page("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", page("refers_to_id").alias("refers_to"))
 
