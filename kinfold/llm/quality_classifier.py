@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinfold.llm.common import crc_rest, table, tidied
+from kinfold.llm.common import crc_rest, small, table, tidied
 
 #: Bound on the rows of each kind that the model is fitted on.
 FIT_ROWS = 20_000
@@ -72,21 +72,26 @@ def features(texts: list[str | None]) -> np.ndarray:
 
 
 def sampled(df: DataFrame, rows: int, n: int, salt: str) -> DataFrame:
-    """About `rows` of the `n` rows of df, by hash of doc_id: the same rows each time."""
-    share = min(1.0, rows / max(n, 1))
-    return df if share == 1.0 else df.where(F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.lit(1_000_000)) < int(share * 1_000_000))
+    """At most `rows` of the `n` rows of df, but for chance, by hash of doc_id: the same rows
+    each time. With column `at`, the hash."""
+    at = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(salt))
+    df = df.withColumn("at", at)
+    # a twentieth less than the bound, which is seven times the spread of the sample's size
+    return df if n <= rows else df.where(F.col("at") < int(0.95 * rows / n * 2**64) - 2**63)
 
 
 def gathered(df: DataFrame, rows: int) -> np.ndarray:
-    """Features of at most `rows` rows, at the driver (a row takes 180 bytes)."""
+    """Features of at most `rows` rows, at the driver (a row takes 180 bytes), in order of `at`."""
 
     def compute(batches):
         for b in batches:
             x = features(b.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays([pa.array(list(x), pa.list_(pa.float64()))], ["x"])
+            yield pa.RecordBatch.from_arrays([b.column("at"), pa.array(list(x), pa.list_(pa.float64()))], ["at", "x"])
 
-    got = df.select("text").mapInArrow(lambda b: tidied(compute(b)), "x array<double>").limit(rows).toArrow().column("x").combine_chunks()
-    return np.asarray(got.flatten(), np.float64).reshape(-1, FEATURES)
+    got = df.select("at", "text").mapInArrow(lambda b: tidied(compute(b)), "at long, x array<double>").toArrow().combine_chunks()
+    x = np.asarray(got.column("x").combine_chunks().flatten(), np.float64).reshape(-1, FEATURES)
+    # equal documents have equal hashes: their features break the tie
+    return x[np.lexsort((*x.T[::-1], got.column("at").to_numpy()))][:rows]
 
 
 def class_prior(pos: np.ndarray, unl: np.ndarray) -> float:
@@ -150,8 +155,8 @@ def fit(pos: np.ndarray, unl: np.ndarray, prior: float | None = None) -> Model:
 def trained(docs: DataFrame, positives: DataFrame, rows: int = FIT_ROWS, prior: float | None = None) -> Model:
     """A model from documents of `positives` (doc_id) and from unlabelled ones."""
     ids = positives.select("doc_id").where("doc_id IS NOT NULL").distinct()
-    chosen = sampled(ids, rows, ids.count(), "positive")
-    pos = gathered(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id", "left_semi"), rows)
+    chosen = small(sampled(ids, rows, ids.count(), "positive"))
+    pos = gathered(docs.select("doc_id", "text").join(chosen, "doc_id"), rows)
     unl = gathered(sampled(docs.select("doc_id", "text"), rows, docs.select(F.lit(1)).count(), "unlabelled"), rows)
     return fit(pos, unl, prior)
 

@@ -3,9 +3,9 @@ r"""Quality rules: base counts, and a likelihood ratio of hashed n-grams.
 Unigrams and bigrams of words are hashed into BUCKETS. Two multinomials, one of the trusted
 target (documents labelled good and not toxic) and one of the raw corpus (all documents), are
 counted over whole tables; the raw one is smoothed by one, the target towards the raw. A
-document's verdict is its mean
-log(p_target / p_raw) over its n-grams, so length plays no part, held against a fixed
-threshold; no document is drawn at random.
+document's verdict is its mean log(p_target / p_raw) over its n-grams, so length plays no part,
+held against a fixed threshold; no document is drawn at random. A trusted document is scored with
+a target that counts it too, as every document is with the raw corpus.
 
 Defined results: a null or empty text has no words, fails the base rules and scores 0; with
 no trusted document both multinomials are even with the corpus and every score is 0; repeated

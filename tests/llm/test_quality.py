@@ -122,3 +122,35 @@ def test_classifier_edges(spark):
     assert [x.score for x in qc.scored(docs, model).collect()] == [0.5] * 5
     assert qc.scored(docs.where("false"), model).count() == 0
     assert np.isfinite(qc.features([None, "", "a", "퟿" * 3, "é" * 10])).all()
+
+
+def test_query_against_a_plain_fit(spark, tmp_path):
+    from zlib import crc32
+
+    rows = [(i, t, y) for i, t, y in corpus(300, 4)] + [(900, None, 0), (901, "", 0), (902, "the river " * 3000, 1)]
+    spark.createDataFrame([(i, t, y) for i, t, y in rows], "doc_id long, text string, score int").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, y, 0) for i, _, y in rows if i % 2 and i < 900], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    learned = {i for i, _, _ in rows if crc32(str(i).encode()) % 5}
+    pos = qc.features([t for i, t, y in rows if i in learned and i % 2 and y and i < 900])
+    unl = qc.features([t for i, t, _ in rows if i in learned])
+    model = qc.fit(pos, unl)
+    got = {x.doc_id: x for x in qc.op10_quality_pu(spark, str(tmp_path)).collect()}
+    assert len(got) == len(rows)
+    for i, t, _ in rows:
+        want = model.score(qc.features([t]))[0]
+        assert got[i].score == pytest.approx(want, abs=1e-6) and got[i].held_out == (i not in learned)
+        assert got[i].predicted == int(got[i].score >= 0.3)
+
+
+def test_a_sample_keeps_to_its_bound_and_does_not_depend_on_partitions(spark):
+    df = spark.range(20_000).selectExpr("id as doc_id", "concat('text ', id, repeat(' x', id % 7)) as text")
+    runs = [qc.gathered(qc.sampled(df.repartition(n), 1000, 20_000, "s"), 1000) for n in (1, 5)]
+    assert 800 < len(runs[0]) <= 1000 and (runs[0] == runs[1]).all()
+    assert len(qc.gathered(qc.sampled(df, 30_000, 20_000, "s"), 30_000)) == 20_000
+
+
+def test_queries_without_labels(spark, tmp_path):
+    spark.createDataFrame([(1, "a b"), (None, None)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert {x.score for x in qc.op10_quality_pu(spark, str(tmp_path)).collect()} == {0.5}
+    assert {x.score for x in qr.op2_quality_rules(spark, str(tmp_path)).collect()} == {0.0}
