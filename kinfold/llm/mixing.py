@@ -1,8 +1,8 @@
 """Mixing sources to target weights by temperature.
 
 A source's weight is proportional to its token share to the power alpha. Bisection finds the
-alpha that meets a target entropy or a limit on repetition (see `solve`). The weights are then realised under a token budget as blocks: each block of a source is a permutation of
-its documents (by a hash of doc_id and block number); whole blocks come first, and the last
+alpha that meets a target entropy or a limit on repetition (see `solve`). The weights are then
+realised under a token budget as blocks: each block of a source is a permutation of its documents (by a hash of doc_id and block number); whole blocks come first, and the last
 one is cut where the budget ends.
 
 Native throughout: sources, and the place where a source's last block is cut, are found with
@@ -10,8 +10,9 @@ grouped sums over a fixed fan-out of hash prefixes, so no task ever holds a sour
 
 Defined results: null texts have no tokens; a null source is a source of its own; rows with
 the same doc_id share one place in each permutation and are taken or left together; a source
-without tokens gets weight 0 and no block; an empty table gives no row; other columns of docs
-are kept by `mix`, whatever their names.
+without tokens has weight 0 and no block, so that the query, which fills a budget of tokens,
+gives no row for its documents, while `mix`, which keeps every document, gives each once; an
+empty table gives no row; other columns of docs are kept by `mix`, whatever their names.
 """
 
 from __future__ import annotations
@@ -117,12 +118,13 @@ def plan(counts: DataFrame, entropy_gain: float | None = None, max_epochs: float
     return written(weighed.join(cuts, weighed["source"].eqNullSafe(cuts["c_source"]), "left").drop("c_source", "p"), "mix-cuts")
 
 
-def placed(docs: DataFrame, weights: DataFrame) -> DataFrame:
-    """docs once for each block that takes them, with the columns mix_block and mix_key."""
+def placed(docs: DataFrame, weights: DataFrame, unweighed: int = 0) -> DataFrame:
+    """docs once for each block that takes them, with the columns mix_block and mix_key.
+    Documents of sources without tokens come `unweighed` times."""
     p = small(weights.select(F.col("source").alias("mix_source"), F.col("whole").alias("mix_whole"), F.col("cut").alias("mix_cut")))
     taken = F.when(key(F.col("doc_id"), F.col("mix_whole")) <= F.col("mix_cut"), 1).otherwise(0)
     copies = F.col("mix_whole") + taken
-    df = docs.join(p, docs["source"].eqNullSafe(p["mix_source"])).withColumn("mix_copies", copies).where("mix_copies > 0")
+    df = docs.join(p, docs["source"].eqNullSafe(p["mix_source"]), "left").withColumn("mix_copies", F.coalesce(copies, F.lit(unweighed).cast("long"))).where("mix_copies > 0")
     df = df.withColumn("mix_block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("mix_copies") - 1)))
     return df.withColumn("mix_key", key(F.col("doc_id"), F.col("mix_block"))).drop("mix_source", "mix_whole", "mix_cut", "mix_copies")
 
@@ -136,7 +138,7 @@ def mix(docs: DataFrame, max_epochs: float = 1.5) -> DataFrame:
     max_epochs times; a row for each block that takes a document. Columns as they are."""
     own = {c: f"__doc_{c}" for c in docs.columns if c.lower().startswith("mix_")}
     renamed = docs.withColumnsRenamed(own)
-    out = placed(renamed, plan(counted(docs), max_epochs=max_epochs, cover=True))
+    out = placed(renamed, plan(counted(docs), max_epochs=max_epochs, cover=True), unweighed=1)
     return out.drop("mix_block", "mix_key").withColumnsRenamed({v: k for k, v in own.items()}).select(*docs.columns)
 
 
