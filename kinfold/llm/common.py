@@ -7,12 +7,16 @@ import os
 import tempfile
 import uuid
 import zlib
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# The system's allocator gives freed memory back to it at `tidied`; Arrow's own holds on to it.
+pa.set_memory_pool(pa.system_memory_pool())
+
 #: A side of at most so many rows may be broadcast (ids and hashes: tens of MB).
 BROADCAST_ROWS = 1_000_000
 
@@ -20,10 +24,12 @@ BROADCAST_ROWS = 1_000_000
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, from spark.checkpoint.dir.
 
-    Only where that is unset, as in tests on one machine, is a local folder taken.
+    Only where that is unset and the master is local, as in tests, is a local folder taken.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         d = "file://" + os.path.join(tempfile.gettempdir(), "kinfold-shared")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
@@ -46,13 +52,33 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> int:
-    """Deletes the tables of all steps so far, once the results that read them are stored."""
-    n = len(_made)
-    while _made:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+def dropped(spark: SparkSession, paths: list[str]) -> int:
+    for p in paths:
+        _made.remove(p)
+        path = spark._jvm.org.apache.hadoop.fs.Path(p)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    return n
+    return len(paths)
+
+
+def release(spark: SparkSession, since: int = 0) -> int:
+    """Deletes the tables of all steps so far (but the first `since`), once the results that
+    read them are stored."""
+    return dropped(spark, _made[since:])
+
+
+def made() -> int:
+    """How many tables there are: `release(spark, n)` later drops those made after."""
+    return len(_made)
+
+
+@contextmanager
+def steps(spark: SparkSession, *kept: str):
+    """Tables written within are dropped at the end, but for those of the names `kept`, which
+    the result reads."""
+    n = len(_made)
+    yield
+    names = tuple(f"{shared_dir(spark)}/{k}-" for k in kept)
+    dropped(spark, [p for p in _made[n:] if not p.startswith(names)] if names else _made[n:])
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinfold.llm.common import lower_az, small, table, tidied, written
+from kinfold.llm.common import lower_az, small, steps, table, tidied, written
 from kinfold.llm.components import components
 
 WORDS = 4
@@ -409,19 +409,19 @@ def apart_links(batches):
 
 def deduplicated(docs: DataFrame, n: int = WORDS) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of docs."""
-    base = written(signed(docs, n), "dedup-base")
-    real = base.where("n > 0 AND doc_id IS NOT NULL")
-    classes = written(real.groupBy("k1", "k2").agg(F.min("doc_id").alias("doc"), F.first("n").alias("n"), F.first("posted").alias("posted"), F.first("sig").alias("sig")), "dedup-classes")
-    posted = written(postings(classes), "dedup-postings")
-    first = written(first_links(posted, docs, n), "dedup-links")
-    labels = components(first)
-    links = first.union(crossing_links(posted, docs, labels, n))
-    # rows that repeat a doc_id tie their classes together
-    reps = classes.select("k1", "k2", "doc")
-    ties = real.join(reps, ["k1", "k2"]).where(F.col("doc_id") != F.col("doc")).select("doc_id", "doc")
-    twice = real.groupBy("doc_id").agg(F.count("*").alias("c")).where("c > 1").select("doc_id")
-    repeated = ties.join(small(twice), "doc_id", "left_semi").select(F.col("doc_id").alias("a"), F.col("doc").alias("b"))
-    final = components(links.union(repeated))
+    with steps(docs.sparkSession, "dedup-base", "dedup-classes", "dedup-components"):
+        base = written(signed(docs, n), "dedup-base")
+        real = base.where("n > 0 AND doc_id IS NOT NULL")
+        classes = written(real.groupBy("k1", "k2").agg(F.min("doc_id").alias("doc"), F.first("n").alias("n"), F.first("posted").alias("posted"), F.first("sig").alias("sig")), "dedup-classes")
+        posted = written(postings(classes), "dedup-postings")
+        first = written(first_links(posted, docs, n), "dedup-links")
+        links = first.union(crossing_links(posted, docs, components(first), n))
+        # rows that repeat a doc_id tie their classes together
+        reps = classes.select("k1", "k2", "doc")
+        ties = real.join(reps, ["k1", "k2"]).where(F.col("doc_id") != F.col("doc")).select("doc_id", "doc")
+        twice = real.groupBy("doc_id").agg(F.count("*").alias("c")).where("c > 1").select("doc_id")
+        repeated = ties.join(small(twice), "doc_id", "left_semi").select(F.col("doc_id").alias("a"), F.col("doc").alias("b"))
+        final = written(components(links.union(repeated)), "dedup-components")
     of_class = reps.join(final.withColumnRenamed("node", "doc"), "doc", "left").select("k1", "k2", F.coalesce("component", "doc").alias("component_id"))
     out = base.join(of_class, ["k1", "k2"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")))

@@ -59,6 +59,71 @@ def test_templates_are_counted_over_different_pages(spark, broadcast):
     assert got[201] == "Quoted Text 1" and got[250] == "Text 50" and got[401] == "Text 1" and len(got) == len(rows)
 
 
+def plain_extract(rows):
+    """Texts of well-formed pages of div, p and em elements, without article: subtrees are
+    nested tuples, counted over the different texts of a host."""
+    import xml.etree.ElementTree as ET
+    from collections import defaultdict
+
+    def form(e):
+        return (e.tag, tuple(sorted(e.attrib.items())), (e.text or "").strip(), tuple((form(k), (k.tail or "").strip()) for k in e))
+
+    def blocks(e):
+        return [x for x in e.iter() if x is not e and x.tag in ("div", "p") and ("".join(x.itertext()).strip() or len(x))]
+
+    def text(e, gone):
+        parts = [e.text or ""]
+        for k in e:
+            if k.tag in ("div", "p") and form(k) in gone:
+                parts.append(" ")
+            else:
+                parts += [" " if k.tag != "em" else "", text(k, gone), " " if k.tag != "em" else ""]
+            parts.append(k.tail or "")
+        return "".join(parts)
+
+    trees = {i: ET.fromstring(f"<x>{h}</x>") for i, _, h in rows}
+    squeeze = lambda t: " ".join(t.split())
+    pages, holds = defaultdict(set), defaultdict(set)
+    for i, host, _ in rows:
+        page = squeeze(text(trees[i], set()))
+        pages[host].add(page)
+        for b in blocks(trees[i]):
+            holds[host, form(b)].add(page)
+    gone = defaultdict(set)
+    for (host, f), of in holds.items():
+        least = max(ht.FEW_PAGES, min(ht.MIN_PAGES, -(-len(pages[host]) // 2)))
+        bare = f[0] == "p" and not f[1]
+        if len(of) >= least and (not bare or len(of) >= ht.MIN_SHARE * len(pages[host])):
+            gone[host].add(f)
+    return {i: squeeze(text(trees[i], gone[host])) for i, host, _ in rows}
+
+
+def test_extraction_against_brute_force(spark):
+    import random
+
+    r = random.Random(4)
+    common = ["<div><p>Home</p><p>News</p></div>", "<p>All rights kept</p>", "<div id='t7'>By <em>our</em> staff</div>", "<div><div><p>More</p></div><p>of this</p></div>"]
+    own = lambda i: r.choice([f"<p>Story {i} {r.random()}</p>", f"<div><p>Part {i}</p><em>{r.random()}</em></div>"])
+    rows = []
+    for i in range(150):
+        host = r.choice(["a", "a", "b", "c"]) + ".example"
+        rows.append((i, host, "".join(r.choice([own(i), own(i), *common[: 4 if host[0] != "c" else 2]]) for _ in range(r.randint(1, 7)))))
+    rows += [(500 + k, *rows[k][1:]) for k in range(20)]
+    df = spark.createDataFrame([(i, f"http://{h}/{i}", t) for i, h, t in rows], "page_id long, url string, html string")
+    got = {x.page_id: x.text for x in ht.extract(df).collect()}
+    want = plain_extract(rows)
+    assert got == want
+    without = {i: ht.main_text(t) for i, _, t in rows}
+    assert sum(got[i] != without[i] for i in got) > 0.5 * len(got)  # the counts decide, not the names
+
+
+def test_very_long_and_clashing_pages(spark):
+    long = "<p>" + "word " * 400_000 + "</p>"
+    df = spark.createDataFrame([(1, "http://x/1", long, "h", 3), (2, "http://x/2", "<div>" * 20_000 + "in", "k", 4)], "page_id long, url string, html string, host string, code int")
+    got = {x.page_id: x.text for x in ht.extract(df).collect()}
+    assert len(got[1]) == 5 * 400_000 - 1 and got[2] == "in"
+
+
 def records(n=6):
     out = []
     for i in range(n):
@@ -113,3 +178,35 @@ def test_round_trip_with_revisits(spark, tmp_path):
     (tmp_path / "a.warc.gz").write_bytes(b"bad" + bytes(archives.first()["content"]))
     files = warc.read_files(spark, str(tmp_path / "a.warc.gz"))
     assert files.where("kind = 'gap'").first()["length"] == 3
+
+
+def test_pages_with_other_columns_and_archives_with_gaps(spark, tmp_path, monkeypatch):
+    pages = spark.createDataFrame([(i, "u", f"<p>{i}</p>" * 300, "a", "b") for i in range(5)], "page_id long, url string, html string, sha1 string, winner string")
+    pages.write.parquet(f"{tmp_path}/pages.parquet")
+    assert warc.op7_warc(spark, str(tmp_path)).count() == 5
+    archives = warc.write_archives(pages)
+    broken = bytes(archives.first()["content"])
+    df = spark.createDataFrame([("x", bytearray(broken[:60] + b"?" + broken[61:]))], "archive_id string, content binary")
+    lost = warc.gaps(warc.read_archives(df)).collect()
+    assert len(lost) == 1 and lost[0].start == 0 and lost[0].length > 60
+    monkeypatch.setattr(warc, "write_archives", lambda p: df)
+    with pytest.raises(RuntimeError, match="read back"):
+        warc.op7_warc(spark, str(tmp_path))
+
+
+def test_foreign_members_and_long_headers():
+    r = records(3)
+    inner = gzip.compress(b"no record here")
+    found = kinds(warc.member(r[0]) + inner + warc.member(r[1]))
+    assert found == [("record", "<urn:page:0>"), ("gap", None), ("record", "<urn:page:1>")]
+    # plain records that hold gzip bytes, the first of them far from the start
+    payload = b"x" * 100_000 + inner
+    plain = warc.record(7, "u", payload, hashlib.sha1(payload).hexdigest(), "response")
+    assert kinds(plain + r[1]) == [("record", "<urn:page:7>"), ("record", "<urn:page:1>")]
+    assert kinds(plain[:50_000] + r[1] + plain[-3000:] + r[2])[1:] == [("record", "<urn:page:1>"), ("gap", None), ("record", "<urn:page:2>")]
+    assert kinds(b"WARC/1.1\r\n" + b"a" * (warc.HEADER_BYTES + 9) + r[0]) == [("gap", None), ("record", "<urn:page:0>")]
+
+
+def test_members_that_inflate_without_end_are_quarantined():
+    with pytest.raises(warc.zlib.error):
+        warc.inflate(memoryview(gzip.compress(bytes(3 << 20))), 1 << 20)
