@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +46,7 @@ OFTEN = 50
 SIDE = 64
 LEAST_SIDE = 8
 HIDDEN = 16
-LANES = 128
+LANES = 256
 WINDOW = 32
 HEAD = 300_000
 START_TOKENS = 300_000
@@ -54,8 +55,10 @@ START_LANES = 64
 FLUSH = 400_000
 #: Tokens whose documents run in lanes together.
 TOGETHER = 2_000_000
+#: Tokens that are numbered at once.
+STEP_TOKENS = 400_000
 #: Training tokens of a shard, about.
-SHARD_TOKENS = 1_000_000
+SHARD_TOKENS = 2_000_000
 RATE = 0.08
 CHUNK = 1024
 LN10 = np.log(10.0)
@@ -310,7 +313,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
         counts: Counter = Counter()
 
         def rows():
-            return pa.RecordBatch.from_arrays([pa.array([w.decode("utf-8", "replace") for w in counts], pa.string()), pa.array(list(counts.values()), pa.int64())], ["w", "c"])
+            return pa.RecordBatch.from_arrays([strings(list(counts)), pa.array(list(counts.values()), pa.int64())], ["w", "c"])
 
         for b in batches:
             for text in b.column("text").to_pylist():
@@ -358,18 +361,32 @@ class Head:
         self.share[self.first_band :] += bands[0]
         self.share /= self.share.sum()
 
-    def numbers(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, Counter, float]:
-        """Of a document: ranks (-1 beyond the head; the end last), outputs, its words beyond
-        the head, and log10 of the shares that the model leaves to counts (of the head's)."""
-        get = self.rank.get
-        ranks = np.fromiter([get(w, -1) for w in words] + [0], np.int32, len(words) + 1)
+    def numbers(self, lists: list[list[bytes]]) -> tuple:
+        """Of documents laid end to end, each with the end as its last token: where each begins,
+        ranks (-1 beyond the head), outputs, and the words beyond the head."""
+        lengths = np.fromiter(map(len, lists), np.int64, len(lists)) + 1
+        starts = np.r_[0, np.cumsum(lengths)]
+        words = list(chain.from_iterable(lists))
+        at = np.ones(int(starts[-1]), bool)
+        at[starts[1:] - 1] = False
+        ranks = np.zeros(int(starts[-1]), np.int32)
+        ranks[at] = np.fromiter(map(self.rank.get, words, repeat(-1)), np.int32, len(words))
         outputs = self.output[ranks]
-        far = np.flatnonzero(ranks < 0)
-        beyond = [words[j] for j in far.tolist()]
-        outputs[far] = [self.first_band + band_of(w, self.side) for w in beyond]
-        in_bands = outputs[outputs >= self.first_band] - self.first_band
-        shares = float(self.log_c1[ranks[ranks > self.model_words]].sum()) - float(self.log_band[in_bands].sum())
-        return ranks, outputs, Counter(beyond), shares
+        far = np.flatnonzero(ranks[at] < 0).tolist()
+        beyond = [words[j] for j in far]
+        outputs[ranks < 0] = [self.first_band + band_of(w, self.side) for w in beyond]
+        return starts, ranks, outputs, beyond
+
+    def sums(self, starts: np.ndarray, ranks: np.ndarray, outputs: np.ndarray) -> tuple:
+        """By document: tokens within the head, their log10 of count + 1, and log10 of the shares
+        that the model leaves to counts (but for words beyond the head)."""
+        total = lambda x: np.add.reduceat(x, starts[:-1]) if len(starts) > 1 else np.zeros(0)
+        near = ranks >= 0
+        c1 = np.where(near, self.log_c1[ranks], 0.0)
+        of_band = outputs >= self.first_band
+        shares = np.where(of_band, c1, 0.0)
+        shares[of_band] -= self.log_band[outputs[of_band] - self.first_band]
+        return total(near.astype(np.int64)), total(c1), total(shares)
 
 
 def head_of(counts: DataFrame, size: int = HEAD) -> Head:
@@ -390,42 +407,44 @@ def head_of(counts: DataFrame, size: int = HEAD) -> Head:
 
 # ---- documents as numbers
 
-NUMBERED = "doc_id long, held_out boolean, n_tokens long, known long, base double, shares double, mark long, ids binary, tail array<struct<w:string,n:int>>"
+NUMBERED = "doc_id long, held_out boolean, n_tokens long, known long, base double, shares double, mark long, ids binary, tail array<string>"
 
 
-def tail_lists(tails: list[Counter]) -> pa.Array:
-    words = pa.array([w.decode("utf-8", "replace") for t in tails for w in t], pa.string())
-    counts = pa.array([c for t in tails for c in t.values()], pa.int32())
-    ends = np.zeros(len(tails) + 1, np.int32)
-    np.cumsum([len(t) for t in tails], out=ends[1:])
-    return pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays([words, counts], ["w", "n"]))
+def strings(words: list[bytes]) -> pa.Array:
+    """Arrow text of words in UTF-8, by their bytes."""
+    ends = np.zeros(len(words) + 1, np.int32)
+    np.cumsum(np.fromiter(map(len, words), np.int64, len(words)), out=ends[1:])
+    return pa.Array.from_buffers(pa.string(), len(words), [None, pa.py_buffer(ends), pa.py_buffer(b"".join(words))])
 
 
 def numbered(docs: DataFrame, held_out: Column, head: Head) -> DataFrame:
     """NUMBERED and row for every document. ids: its outputs, two bytes each; mark: their hash;
-    tail: its words beyond the head, whose counts are to be joined."""
+    tail: its words beyond the head, as often as it has them, whose counts are to be joined."""
+
+    def rows(doc_ids, held, lists):
+        starts, ranks, outputs, beyond = head.numbers(lists)
+        near, c1, shares = head.sums(starts, ranks, outputs)
+        n = np.diff(starts)
+        data = memoryview(outputs.tobytes())
+        ids = [bytes(data[2 * i : 2 * j]) for i, j in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)]
+        marks = [xxhash.xxh3_64_intdigest(x) - (1 << 63) for x in ids]
+        tails = np.zeros(len(lists) + 1, np.int32)
+        np.cumsum(n - near, out=tails[1:])
+        arrays = [doc_ids, held, pa.array(n), pa.array(near - (0 if head.has_end else 1)), pa.array(c1 - n * head.log_base), pa.array(shares), pa.array(marks, pa.int64()), pa.array(ids, pa.binary()), pa.ListArray.from_arrays(pa.array(tails), strings(beyond))]
+        return pa.RecordBatch.from_arrays(arrays, [x.split()[0] for x in NUMBERED.split(", ")])
 
     def run(batches):
         for b in batches:
-            texts, begin, held = b.column("text").to_pylist(), 0, 0
-            cols: tuple[list, ...] = tuple([] for _ in range(7))
-            for i, text in enumerate(texts):
-                ranks, outputs, beyond, shares = head.numbers(lower_az(text or "").split())
-                near = ranks[ranks >= 0]
-                ids = outputs.tobytes()
-                base = float(head.log_c1[near].sum()) - len(ranks) * head.log_base
-                mark = xxhash.xxh3_64_intdigest(ids) - (1 << 63)
-                for col, x in zip(cols, (len(ranks), len(near) - (0 if head.has_end else 1), base, shares, mark, ids, beyond), strict=True):
-                    col.append(x)
-                held += len(ranks)
-                if held > TOGETHER or i == len(texts) - 1:
-                    n, known, base_, shares_, marks, ids_, tails = cols
-                    arrays = [b.column("doc_id").slice(begin, i + 1 - begin), b.column("held_out").slice(begin, i + 1 - begin), pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(base_, pa.float64()), pa.array(shares_, pa.float64()), pa.array(marks, pa.int64()), pa.array(ids_, pa.binary()), tail_lists(tails)]
-                    yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "held_out", "n_tokens", "known", "base", "shares", "mark", "ids", "tail"])
-                    cols, begin, held = tuple([] for _ in range(7)), i + 1, 0
-
-    rows = docs.select(F.col("doc_id").cast("long"), "text", held_out.alias("held_out")).mapInArrow(lambda b: tidied(run(b)), NUMBERED)
-    return written(rows.withColumn("row", F.monotonically_increasing_id()), "lm-documents")
+            begin, lists, held = 0, [], 0
+            for i, text in enumerate(b.column("text").to_pylist()):
+                lists.append(lower_az(text or "").split())
+                held += len(lists[-1])
+                if held > STEP_TOKENS or i == b.num_rows - 1:
+                    yield rows(b.column("doc_id").slice(begin, len(lists)), b.column("held_out").slice(begin, len(lists)), lists)
+                    begin, lists, held = i + 1, [], 0
+
+    found = docs.select(F.col("doc_id").cast("long"), "text", held_out.alias("held_out")).mapInArrow(lambda b: tidied(run(b)), NUMBERED)
+    return written(found.withColumn("row", F.monotonically_increasing_id()), "lm-documents")
 
 
 def as_ids(column) -> list[np.ndarray]:
@@ -532,8 +551,8 @@ def likelihoods(docs: DataFrame, held_out: Column, head_size: int = HEAD) -> Dat
     rows = numbered(docs, held_out, head)
     scored = model_scores(rows, trained(rows, head))
     # a word's count: its row of the table, if it is one of the training documents' words
-    tail = rows.select("row", F.explode("tail").alias("x")).select("row", F.col("x.w").alias("w"), F.col("x.n").alias("n"))
-    found = tail.join(counts, "w").groupBy("row").agg(F.sum("n").alias("more"), F.sum(F.col("n") * F.log10(F.col("c") + F.lit(1.0))).alias("logs"))
+    tail = rows.select("row", F.explode("tail").alias("w"))
+    found = tail.join(counts, "w").groupBy("row").agg(F.count("*").alias("more"), F.sum(F.log10(F.col("c") + F.lit(1.0))).alias("logs"))
     out = scored.join(found, "row", "left")
     logs = F.coalesce("logs", F.lit(0.0))
     return out.select("doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"), F.lit(head.total).cast("long").alias("train_tokens"), (F.col("base") + logs).alias("base_score"), (F.col("model") + F.col("shares") + logs).alias("score"))
