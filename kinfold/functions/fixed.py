@@ -31,21 +31,21 @@ HONORIFIC = r"^(?:m/s\.?|shri\.?|sri\.?|dr\.?|mr\.?|mrs\.?)\s+"
 # Neither letter, number, underscore nor white space. Combining marks are none of these.
 NON_WORD = r"[^\p{L}\p{N}_\s]"
 
-NAME_STOPWORDS = """
-and the for with from inc corp corporation ltd limited pvt private llc llp pllc co company
-sarl sas sasu sci eurl sa cie fils freres group services service solutions solution enterprises
-enterprise industries industry trading consulting india france usa center centre international association
-de du des la le les et en un une
-""".split()
+NAME_STOPWORDS = [
+    "and", "the", "for", "with", "from", "inc", "corp", "corporation", "ltd", "limited", "pvt", "private", "llc", "llp", "pllc", "co", "company",
+    "sarl", "sas", "sasu", "sci", "eurl", "sa", "cie", "fils", "freres", "group", "services", "service", "solutions", "solution", "enterprises",
+    "enterprise", "industries", "industry", "trading", "consulting", "india", "france", "usa", "center", "centre", "international", "association",
+    "de", "du", "des", "la", "le", "les", "et", "en", "un", "une",
+]
 
-ADDRESS_STOPWORDS = """
-road street avenue boulevard drive lane court place highway square
-parkway way path floor apartment suite unit number building house
-plot survey room block sector phase society near opposite behind
-beside north south east west central new old city state town
-de du des la le les et en rue allee impasse chemin route
-and the for with from first second third
-""".split()
+ADDRESS_STOPWORDS = [
+    "road", "street", "avenue", "boulevard", "drive", "lane", "court", "place", "highway", "square",
+    "parkway", "way", "path", "floor", "apartment", "suite", "unit", "number", "building", "house",
+    "plot", "survey", "room", "block", "sector", "phase", "society", "near", "opposite", "behind",
+    "beside", "north", "south", "east", "west", "central", "new", "old", "city", "state", "town",
+    "de", "du", "des", "la", "le", "les", "et", "en", "rue", "allee", "impasse", "chemin", "route",
+    "and", "the", "for", "with", "from", "first", "second", "third",
+]
 
 ADDRESS_PHRASES = [
     (r"\bnext\s+to\b", " next to "),
@@ -70,12 +70,9 @@ ABBREVIATIONS = {
 LANDMARK = r"\b(?:near|opp|opposite|behind|beside|next\s+to|in\s+front\s+of|adjacent\s+to|above|below)\b[^,;()]*"
 PINCODE_STREET = r"\b(?:street|st|road|rd|avenue|ave|rue|drive|dr|boulevard|blvd|lane|ln|way|court|ct|walk|circle|terrace|pkwy)\b"
 CITY_STREET = r"\b(road|street|avenue|rue|drive|lane|boulevard|blvd|court|way|floor|unit|apt|apartment|suite|no|number|building|sector|phase|block)\b"
-US_REGIONS = """
-al ak az ar ca co ct de fl ga hi id il in ia ks ky la me md ma mi mn ms mo mt ne nv nh nj nm ny
-nc nd oh ok or pa ri sc sd tn tx ut vt va wa wv wi wy dc
-""".split()
 REGIONS = [
-    *US_REGIONS,
+    "al", "ak", "az", "ar", "ca", "co", "ct", "de", "fl", "ga", "hi", "id", "il", "in", "ia", "ks", "ky", "la", "me", "md", "ma", "mi", "mn", "ms", "mo", "mt", "ne", "nv", "nh", "nj", "nm", "ny",
+    "nc", "nd", "oh", "ok", "or", "pa", "ri", "sc", "sd", "tn", "tx", "ut", "vt", "va", "wa", "wv", "wi", "wy", "dc",
     "andhra pradesh", "arunachal pradesh", "assam", "bihar", "chhattisgarh", "goa", "gujarat",
     "haryana", "himachal pradesh", "jharkhand", "karnataka", "kerala", "madhya pradesh",
     "maharashtra", "manipur", "meghalaya", "mizoram", "nagaland", "odisha", "orissa", "punjab",

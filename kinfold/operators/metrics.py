@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kinfold.sources.tsv import require_columns
+
 BETA2 = 0.25
 #: 0.10, 0.11, ... 0.90
 THRESHOLDS = [round(0.10 + 0.01 * k, 2) for k in range(81)]
@@ -48,11 +50,12 @@ def macro_f05(pairs: DataFrame, truth: DataFrame, threshold: float = 0.5, univer
 
 
 def threshold_sweep(pairs: DataFrame, truth: DataFrame, thresholds: list[float] = THRESHOLDS, universe: DataFrame | None = None) -> DataFrame:
-    """A row for each threshold, all from one grouping of the pairs.
+    """A row for each threshold, all from one grouping of the pairs (s1_id, label, probability).
 
     A pair counts from the lowest threshold up to its probability, so entities are first
     summed by the highest threshold a pair passes: 81 numbers an entity, no pair repeated.
     """
+    require_columns(pairs, ["s1_id", "label", "probability"], "predictions")
     ts = F.array(*map(F.lit, thresholds))
     passed = F.size(F.filter(ts, lambda t: F.col("probability") >= t))
     steps = pairs.groupBy("s1_id", passed.alias("passed")).agg(F.count("*").alias("n"), F.count_if(F.col("label") == 1).alias("c"))
@@ -95,6 +98,32 @@ def blocking_report(pairs: DataFrame, truth: DataFrame, records: DataFrame, per_
     return out.join(F.broadcast(n_rest), how="cross").withColumn("reduction_ratio", 1 - share(F.col("candidate_pairs"), F.col("total_s1") * F.col("n_rest"))).drop("n_rest")  # a one-row side
 
 
+def runner_ratios(names: DataFrame, addresses: DataFrame, records: DataFrame) -> DataFrame:
+    """track, total_s1, total_cands, total_pairs, avg_candidates, reduction_ratio as each track
+    counts them itself: names only over records with a country, addresses over all first-source
+    records, and over candidates with a country."""
+    own, country = F.col("source") == "S1", F.trim("country") != ""
+    sides = records.agg(F.count_if(own & country).alias("n1"), F.count_if(own).alias("a1"), F.count_if(~own & country).alias("cands"))
+    count = lambda df, n: df.agg(F.count("*").alias(n))
+    one = sides.join(count(names, "np"), how="cross").join(count(addresses, "ap"), how="cross")  # one row each
+    rows = one.select("cands", F.explode(F.array(F.struct(F.lit("name").alias("track"), F.col("n1").alias("s1"), F.col("np").alias("p")), F.struct(F.lit("address").alias("track"), F.col("a1").alias("s1"), F.col("ap").alias("p")))).alias("x"))
+    s1, p = F.col("x.s1"), F.col("x.p")
+    return rows.select(
+        "x.track", s1.alias("total_s1"), F.col("cands").alias("total_cands"), p.alias("total_pairs"),
+        (p / F.greatest(s1, F.lit(1))).alias("avg_candidates"), (1 - p / F.greatest(s1 * F.col("cands"), F.lit(1))).alias("reduction_ratio"),
+    )
+
+
+def side_by_side(truth: DataFrame, entities: DataFrame, n: int = 25) -> DataFrame:
+    """The first n true pairs in input order, with both names cut for display."""
+    shown = lambda c, longest, cut: F.when(F.length(c) > longest, F.concat(F.left(c, F.lit(cut)), F.lit("..."))).otherwise(c)
+    a = entities.where("source = 'S1'").select(F.col("entity_id").alias("s1_id"), "pos", "country", F.col("business_name").alias("a"))
+    b = entities.where("source <> 'S1'").select(F.col("entity_id").alias("cand_id"), F.col("business_name").alias("b"))
+    both = truth.select("s1_id", "cand_id").distinct().join(a, "s1_id").join(b, "cand_id", "left").orderBy("pos", "cand_id").limit(n)
+    b_name = F.coalesce(F.col("b"), F.lit("UNKNOWN"))
+    return both.select("s1_id", "country", shown(F.col("a"), 35, 32).alias("s1_name"), "cand_id", F.when(F.col("cand_id").startswith("S2-"), "S2").otherwise("S3").alias("source"), shown(b_name, 40, 40).alias("cand_name"))
+
+
 def combined_recall(names: DataFrame, addresses: DataFrame, truth: DataFrame) -> DataFrame:
     """True pairs captured by either track, by both, by one only, by none."""
     flag = lambda df, c: df.select("s1_id", "cand_id").distinct().withColumn(c, F.lit(1))

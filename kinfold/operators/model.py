@@ -35,18 +35,24 @@ def numeric(df: DataFrame, columns: list[str] = FEATURES) -> DataFrame:
 def split_entities(matrix: DataFrame, share: float = 0.2, seed: int = 42) -> DataFrame:
     """`validation`: whether a row's first-source entity is held out, by a hash of it.
 
-    All rows of an entity are on one side, whatever the order of rows.
+    All rows of an entity are on one side, whatever the order of rows. The hash is the first 32
+    bits of an MD5, which any engine has.
     """
-    return matrix.withColumn("validation", F.pmod(F.xxhash64(F.lit(seed), "s1_id"), F.lit(10_000)) < int(share * 10_000))
+    h = F.conv(F.left(entity_hash(seed), F.lit(8)), 16, 10).cast("long")
+    return matrix.withColumn("validation", h % 10_000 < int(share * 10_000))
+
+
+def entity_hash(seed: int):
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), "s1_id").cast("binary"))
 
 
 def split_exact(matrix: DataFrame, share: float = 0.2, seed: int = 42) -> DataFrame:
     """As split_entities, with exactly max(1, int(n * share)) entities held out: those of least
     hash. The cutoff comes from a sorted list of one number an entity, never from the driver."""
-    ids = matrix.select("s1_id").distinct().withColumn("h", F.xxhash64(F.lit(seed), "s1_id"))
+    ids = matrix.select("s1_id").distinct().withColumn("h", entity_hash(seed))
     n = ids.count()
     cut = ids.orderBy("h", "s1_id").limit(max(1, int(n * share))).agg(F.max(F.struct("h", "s1_id")).alias("c")).first()["c"]
-    h = F.xxhash64(F.lit(seed), "s1_id")
+    h = entity_hash(seed)
     return matrix.withColumn("validation", (h < cut["h"]) | ((h == cut["h"]) & (F.col("s1_id") <= cut["s1_id"]))) if cut else matrix.withColumn("validation", F.lit(False))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kinfold.functions import fixed
 from kinfold.functions.similarity import GRAMS, address_features, gram_counts, name_features
+from kinfold.sources.tsv import require_columns
 
 PAIR = ["s1_id", "cand_id"]
 ADDRESS_COLUMNS = [f"addr_{n}" for n in fixed.ADDRESS_FEATURES]
@@ -21,7 +22,7 @@ def union_tracks(names: DataFrame, addresses: DataFrame) -> DataFrame:
 
 def both_records(pairs: DataFrame, records: DataFrame, columns: list[str]) -> DataFrame:
     """pairs with the named columns of either record, prefixed a_ and b_ (empty if unknown)."""
-    one = records.dropDuplicates(["entity_id"])
+    one = last_of_each(records, columns)
     side = lambda key, p: one.select(F.col("entity_id").alias(key), *[F.col(c).alias(p + c) for c in columns])
     out = pairs.join(side("s1_id", "a_"), "s1_id", "left").join(side("cand_id", "b_"), "cand_id", "left")
     none = F.array().cast(GRAMS)
@@ -29,16 +30,27 @@ def both_records(pairs: DataFrame, records: DataFrame, columns: list[str]) -> Da
     return out.withColumns(grams).na.fill("", [p + c for p in ("a_", "b_") for c in columns if not c.endswith("_grams")])
 
 
+def pos_of(records: DataFrame) -> list[str]:
+    return [c for c in ("pos",) if c in records.columns]
+
+
+def last_of_each(records: DataFrame, columns: list[str]) -> DataFrame:
+    """One record for each id: of those that repeat it, the last in input order."""
+    if "pos" not in records.columns:
+        return records.dropDuplicates(["entity_id"])
+    return records.groupBy("entity_id").agg(F.max_by(F.struct(*columns), "pos").alias("r")).select("entity_id", "r.*")
+
+
 def with_name_features(pairs: DataFrame, records: DataFrame) -> DataFrame:
     # grams are counted once for each record, below the join
-    records = records.select("entity_id", "name_norm", gram_counts(F.col("name_norm")).alias("name_grams"))
+    records = records.select("entity_id", *pos_of(records), "name_norm", gram_counts(F.col("name_norm")).alias("name_grams"))
     df = both_records(pairs, records, ["name_norm", "name_grams"])
     return df.select(*pairs.columns, *name_features(*map(F.col, ("a_name_norm", "b_name_norm", "a_name_grams", "b_name_grams"))).values())
 
 
 def with_address_features(pairs: DataFrame, records: DataFrame) -> DataFrame:
     columns = ["address_norm", "pincode", "city_norm", "country", "landmark"]
-    records = records.select("entity_id", *columns, gram_counts(F.col("address_norm")).alias("address_grams"))
+    records = records.select("entity_id", *pos_of(records), *columns, gram_counts(F.col("address_norm")).alias("address_grams"))
     df = both_records(pairs, records, [*columns, "address_grams"])
     return df.select(*pairs.columns, *address_features("a_", "b_").values())
 
@@ -49,6 +61,8 @@ def merged(names: DataFrame, addresses: DataFrame, truth: DataFrame | None = Non
     names and addresses: pairs with their track's features. truth: true pairs; `label` is 1
     for these.
     """
+    require_columns(names, [*PAIR, *fixed.NAME_FEATURES], "name features")
+    require_columns(addresses, [*PAIR, *fixed.ADDRESS_FEATURES], "address features")
     a = addresses.select(*PAIR, *[F.col(n).alias(f"addr_{n}") for n in fixed.ADDRESS_FEATURES])
     n = names.select(*PAIR, *fixed.NAME_FEATURES)
     out = union_tracks(names, addresses).join(n.dropDuplicates(PAIR), PAIR, "left").join(a.dropDuplicates(PAIR), PAIR, "left")

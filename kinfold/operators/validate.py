@@ -110,6 +110,22 @@ def fifteen_points(matches: DataFrame, candidates: DataFrame, required: DataFram
     return spark.createDataFrame([(i + 1, what, bool(ok)) for i, (what, ok) in enumerate(rules)], "rule int, what string, passed boolean")
 
 
+def file_violations(lines: DataFrame, expected: list[str]) -> tuple[DataFrame, bool]:
+    """Violations (rule, id, severity) of a file's lines (columns row, value) as such: its header,
+    and lines without a tab; and whether the header lets the rest be checked."""
+    first = lines.where("row = 0").select("value").first()
+    bad = header_errors(first["value"] if first else "", expected)
+    spark = lines.sparkSession
+    found = spark.createDataFrame([("header", b, HARD) for b in bad], "rule string, id string, severity string")
+    return found.unionByName(malformed_rows(lines.where("row > 0"))), not bad
+
+
+def parsed(lines: DataFrame, column: str) -> DataFrame:
+    """source1_entity_id, `column` and row of a file's lines that have a tab, but the header."""
+    tab = F.instr("value", "\t")
+    return lines.where(tab > 0).where("row > 0").select(F.substring("value", F.lit(1), tab - 1).alias("source1_entity_id"), F.substring("value", tab + 1, F.length("value")).alias(column), "row")
+
+
 def out_of_order(written: DataFrame, universe: DataFrame) -> DataFrame:
     """Rows (pos, source1_entity_id) that aren't the universe's at the same place."""
     a = written.select("pos", F.col("source1_entity_id").alias("got"))

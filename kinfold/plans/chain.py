@@ -41,7 +41,7 @@ def merge(spark: SparkSession, out: str, truth: str | None = None) -> DataFrame:
 
 def train(spark: SparkSession, out: str, truth: str, iterations: int = 500) -> dict:
     """Fits, scores the held-out entities, stores model, predictions and importances."""
-    m = stored(model.split_exact(spark.read.parquet(f"{out}/matrix")), f"{out}/split")
+    m = stored(model.split_exact(model.numeric(spark.read.parquet(f"{out}/matrix"))), f"{out}/split")
     fitted = model.train(m, iterations=iterations)
     model.save(fitted, f"{out}/trained")
     held = stored(model.score(fitted, m.where("validation")), f"{out}/validation_predictions")
@@ -76,17 +76,38 @@ def match(spark: SparkSession, out: str, matches: str, candidates: str, by_model
     if by_model:
         fitted, _ = model.load(f"{out}/trained")
         threshold = json.loads(spark.read.text(f"{out}/best_threshold").first()["value"])["threshold"]
-        found = stored(model.score(fitted, spark.read.parquet(f"{out}/matrix").drop("label")).withColumn("match", F.col("prediction_probability") >= threshold), f"{out}/matched")
+        found = stored(model.score(fitted, model.numeric(spark.read.parquet(f"{out}/matrix").drop("label"))).withColumn("match", F.col("prediction_probability") >= threshold), f"{out}/matched")
     else:
         found = stored(rules.rule_pairs(r), f"{out}/matched")
     tsv.write_submission(first, found.where("match"), found, matches, candidates)
 
 
 def check(spark: SparkSession, matches: str, candidates: str | None, sources: dict[str, str], check_ids: bool = False) -> DataFrame:
-    """Violations of the result files, with examples."""
-    first = tsv.read_ids(spark, sources["S1"]).select(F.col("entity_id").alias("s1_id"))
-    known = None
-    if check_ids:
-        known = tsv.read_ids(spark, sources["S2"]).union(tsv.read_ids(spark, sources["S3"])).select(F.col("entity_id").alias("cand_id"))
-    c = tsv.read_tsv(spark, candidates) if candidates else None
-    return validate.examples(validate.validate(tsv.read_tsv(spark, matches), c, first, known))
+    """Violations of the result files, with examples: of the files as such, of their lists, of
+    the rows' order, and the fifteen points where both files can be read."""
+    universe = tsv.in_file_order(tsv.read_entities(spark, sources["S1"], "S1").select("entity_id"), "pos")
+    first = universe.select(F.col("entity_id").alias("s1_id")).distinct()
+    known = tsv.read_ids(spark, sources["S2"]).union(tsv.read_ids(spark, sources["S3"])).select(F.col("entity_id").alias("cand_id")) if check_ids or "S2" in sources and "S3" in sources else None
+    found, tables = None, {}
+    for name, path, column in (("matches", matches, "matched_entity_ids"), ("candidates", candidates, "candidate_entity_ids")):
+        if not path:
+            continue
+        lines = tsv.in_file_order(spark.read.text(path))
+        bad, readable = validate.file_violations(lines, ["source1_entity_id", column])
+        if readable:
+            rows = validate.parsed(lines, column)
+            tables[name] = rows
+            order = validate.out_of_order(tsv.in_file_order(rows.orderBy("row").select("source1_entity_id"), "pos"), universe)
+            bad = bad.unionByName(order.select(F.lit("out of order").alias("rule"), F.coalesce("got", "want").alias("id"), F.lit(validate.HARD).alias("severity")))
+        bad = bad.withColumn("file", F.lit(name))
+        found = bad if found is None else found.unionByName(bad)
+    if "matches" in tables:
+        c = tables.get("candidates")
+        if c is not None or not candidates:
+            found = found.unionByName(validate.validate(tables["matches"], c, first, known if check_ids else None))
+        else:
+            found = found.unionByName(validate.list_violations(tables["matches"], "matched_entity_ids", first, known if check_ids else None).withColumn("file", F.lit("matches")))
+        if c is not None and known is not None:
+            points = validate.fifteen_points(tables["matches"], c, first, known).where("NOT passed")
+            found = found.unionByName(points.select(F.concat(F.lit("point "), "rule", F.lit(": "), "what").alias("rule"), F.lit("").alias("id"), F.lit(validate.SOFT).alias("severity"), F.lit("both").alias("file")))
+    return validate.examples(found)

@@ -222,3 +222,56 @@ d AS (SELECT c.*, coalesce(actual, 0) AS ac FROM c LEFT JOIN act USING (s1_id)),
 v AS (SELECT *, CASE WHEN pr > 0 THEN co / pr WHEN ac = 0 THEN 1.0 ELSE 0.0 END AS p, CASE WHEN ac > 0 THEN co / ac ELSE 1.0 END AS r FROM d),
 f AS (SELECT *, CASE WHEN ac = 0 THEN CASE WHEN pr = 0 THEN 1.0 ELSE 0.0 END WHEN 0.25 * p + r = 0 THEN 0.0 ELSE 1.25 * p * r / (0.25 * p + r) END AS f FROM v)
 SELECT threshold, round(avg(f), 6) AS f05, round(avg(p), 6) AS precision, round(avg(r), 6) AS recall, sum(pr)::BIGINT AS n_predicted, sum(ac)::BIGINT AS n_actual, sum(co)::BIGINT AS n_correct FROM f GROUP BY 1"""
+
+
+#: planted: s and m, the matches' lists with faults in them.
+PLANTED_SQL = f"""{RULE_LISTS_SQL},
+marked AS (SELECT source1_entity_id AS s, matched_entity_ids AS ids, pos % 50 AS k FROM lists JOIN ent ON entity_id = source1_entity_id WHERE pos % 50 <> 2),
+faulty AS (SELECT s, k, CASE WHEN ids = '' THEN ids WHEN k = 4 THEN ids || ',' || ids WHEN k = 3 THEN ids || ',S1-1' WHEN k = 5 THEN ids || ',Q7' WHEN k = 0 THEN ids || ',S2-none' ELSE ids END AS m FROM marked),
+planted AS (SELECT s, m FROM faulty UNION ALL SELECT s, m FROM faulty WHERE k = 1)"""
+
+
+def masks(a: str) -> str:
+    """The places of each letter of a text, as bits (names are shorter than 120 letters)."""
+    letters = f"list_distinct(string_split({a}, ''))"
+    return f"CASE WHEN {a} = '' THEN MAP {{}} ELSE map_from_entries(list_transform({letters}, lambda ch: {{'k': ch, 'v': list_sum(list_transform(range(length({a})), lambda i: CASE WHEN substr({a}, i + 1, 1) = ch THEN (1::UHUGEINT << i::UHUGEINT) ELSE 0::UHUGEINT END))::UHUGEINT}})) END"
+
+
+def indel(a: str, b: str, at: str) -> str:
+    """2 * LCS / (both lengths), the subsequence bit-parallel over a with the masks `at`."""
+    full = f"((1::UHUGEINT << length({a})::UHUGEINT) - 1)"
+    steps = f"list_reduce(list_prepend({full}, list_transform(string_split({b}, ''), lambda ch: coalesce(({at})[ch], 0::UHUGEINT))), lambda s, m: ((s + (s & m)) | (s - (s & m))) & {full})"
+    zeros = f"list_sum(list_transform(range(length({a})), lambda i: 1 - (({{s}} >> i::UHUGEINT) & 1::UHUGEINT)::INTEGER))"
+    return f"list_transform([{steps}], lambda z: 2 * {zeros.format(s='z')} / (length({a}) + length({b})))[1]"
+
+
+_joined = lambda x: f"array_to_string(list_sort({x}), ' ')"
+#: ratios: token_sort_ratio and token_set_ratio of the name track's pairs.
+RATIOS_SQL = f"""{NAME_BLOCKS_SQL},
+sorted AS (SELECT entity_id, name_norm, {_joined(words('name_norm'))} AS srt, list_distinct({words('name_norm')}) AS ws FROM rec),
+q0 AS (
+  SELECT s1_id, cand_id, a.name_norm = '' OR b.name_norm = '' AS empty, a.srt AS sa, b.srt AS sb, {_joined('list_filter(a.ws, lambda x: list_contains(b.ws, x))')} AS c,
+         {_joined('list_filter(a.ws, lambda x: NOT list_contains(b.ws, x))')} AS da, {_joined('list_filter(b.ws, lambda x: NOT list_contains(a.ws, x))')} AS db
+  FROM names JOIN sorted a ON s1_id = a.entity_id JOIN sorted b ON cand_id = b.entity_id),
+q1 AS (SELECT *, trim(c || ' ' || da) AS fa, trim(c || ' ' || db) AS fb FROM q0),
+-- what a common part shares with its own extension is all of it
+q2 AS (SELECT *, {masks('sa')} AS ms, {masks('fa')} AS mf, 2 * length(c) / (length(c) + length(fa)) AS ca, 2 * length(c) / (length(c) + length(fb)) AS cb FROM q1),
+ratios AS (
+  SELECT s1_id, cand_id, CASE WHEN empty THEN 0.0 ELSE round({indel('sa', 'sb', 'ms')}, 4) END::DOUBLE AS token_sort_ratio,
+         CASE WHEN empty THEN 0.0 WHEN c <> '' AND (da = '' OR db = '') THEN 1.0 WHEN c <> '' THEN round(greatest({indel('fa', 'fb', 'mf')}, ca, cb), 4) ELSE round({indel('fa', 'fb', 'mf')}, 4) END::DOUBLE AS token_set_ratio
+  FROM q2)"""
+
+_name = NAME_FEATURES_SQL.removeprefix(f"WITH {NAME_BLOCKS_SQL},")
+_address = ADDRESS_FEATURES_SQL.removeprefix(f"WITH {ADDRESS_BLOCKS_SQL},")
+#: The matrix: name and address features by pair, zeros where a track hasn't seen the pair.
+MATRIX_SQL = f"""WITH {RATIOS_SQL}, {TRUTH_SQL},
+nf AS (WITH {_name.strip()}),
+af AS ({ADDRESS_FEATURES_SQL})
+SELECT coalesce(nf.s1_id, af.s1_id) AS s1_id, coalesce(nf.cand_id, af.cand_id) AS cand_id,
+  {', '.join(f"coalesce({'r' if c.startswith('token_s') else 'nf'}.{c}, 0)::DOUBLE AS {c}" for c in fixed.NAME_FEATURES)},
+  {', '.join(f"coalesce(af.{c}, 0)::DOUBLE AS addr_{c}" for c in fixed.ADDRESS_FEATURES)},
+  CASE WHEN nf.s1_id IS NULL THEN 0 ELSE 1 END AS from_name, CASE WHEN af.s1_id IS NULL THEN 0 ELSE 1 END AS from_address,
+  CASE WHEN t.s1_id IS NULL THEN 0 ELSE 1 END AS label
+FROM nf FULL JOIN af ON nf.s1_id = af.s1_id AND nf.cand_id = af.cand_id
+LEFT JOIN ratios r ON r.s1_id = nf.s1_id AND r.cand_id = nf.cand_id
+LEFT JOIN truth t ON t.s1_id = coalesce(nf.s1_id, af.s1_id) AND t.cand_id = coalesce(nf.cand_id, af.cand_id)"""

@@ -75,8 +75,8 @@ def name_features(s, d, names=block_names):
     return df.select("s1_id", "cand_id", "levenshtein_sim", "token_jaccard", "char_ngram_cos", "exact_match")
 
 
-def name_ratios(s, d):
-    df = pairs.with_name_features(block_names_sound(s, d).select("s1_id", "cand_id"), records(s, d))
+def name_ratios(s, d, names=block_names):
+    df = pairs.with_name_features(names(s, d).select("s1_id", "cand_id"), records(s, d))
     return df.select("s1_id", "cand_id", "token_sort_ratio", "token_set_ratio")
 
 
@@ -88,12 +88,8 @@ def union_tracks(s, d, names=block_names):
     return pairs.union_tracks(names(s, d), block_addresses(s, d))
 
 
-def matrix(s, d):
-    return pairs.merged(pairs.with_name_features(block_names_sound(s, d).select("s1_id", "cand_id"), records(s, d)), address_features(s, d), truth(s, d))
-
-
-def merged_matrix(s, d):
-    return matrix(s, d)
+def merged_matrix(s, d, names=block_names):
+    return pairs.merged(pairs.with_name_features(names(s, d).select("s1_id", "cand_id"), records(s, d)), address_features(s, d), truth(s, d))
 
 
 def labels(s, d, names=block_names):
@@ -171,39 +167,58 @@ def common_words(s, d):
     return metrics.common_words(entities(s, d), "business_address")
 
 
+def planted(s, d):
+    """The rule matcher's lists with a fault of each kind, by the entity's number modulo 50: rows
+    that are gone (2) or repeated (1), ids that are repeated (4), a first-source id (3), of no
+    known kind (5), or of no record (0)."""
+    lists = rule_match(s, d).join(entities(s, d).where("source = 'S1'").select(F.col("entity_id").alias("source1_entity_id"), (F.col("pos") % 50).alias("k")), "source1_entity_id").where("k <> 2")
+    m = F.col("matched_entity_ids")
+    more = F.when(m == "", m).when(F.col("k") == 4, F.concat(m, F.lit(","), m)).when(F.col("k") == 3, F.concat(m, F.lit(",S1-1"))).when(F.col("k") == 5, F.concat(m, F.lit(",Q7"))).when(F.col("k") == 0, F.concat(m, F.lit(",S2-none"))).otherwise(m)
+    lists = lists.withColumn("matched_entity_ids", more)
+    return lists.union(lists.where("k = 1"))
+
+
 def violations(s, d):
-    """The rule matcher's lists against a universe without the entities whose number ends in 7,
-    and known ids without those that end in 3."""
-    lists = rule_match(s, d)
+    """Faulty lists against a universe without the entities whose number ends in 7, and known
+    ids without those that end in 3."""
     e = entities(s, d)
     need = e.where("source = 'S1' AND pos % 10 <> 7").select(F.col("entity_id").alias("s1_id"))
     known = e.where("source <> 'S1' AND pos % 10 <> 3").select(F.col("entity_id").alias("cand_id"))
-    return validate.list_violations(lists, "matched_entity_ids", need, known).select("rule", "id")
+    return validate.list_violations(planted(s, d), "matched_entity_ids", need, known).select("rule", "id")
 
 
 def fifteen_points(s, d):
-    lists = rule_match(s, d)
-    e = entities(s, d)
-    return validate.fifteen_points(lists, lists, e.where("source = 'S1'").select(F.col("entity_id").alias("s1_id")), e.where("source <> 'S1'").select(F.col("entity_id").alias("cand_id"))).select("rule", "passed")
+    """The faulty lists as matches, the sound ones as candidates, under one wrong header."""
+    e, headers = entities(s, d), {"matches": "source1_entity_id\tmatched_entity_ids", "candidates": "source1_entity_id\tcandidates"}
+    first, rest = e.where("source = 'S1'").select(F.col("entity_id").alias("s1_id")), e.where("source <> 'S1'").select(F.col("entity_id").alias("cand_id"))
+    return validate.fifteen_points(planted(s, d), rule_match(s, d), first, rest, headers).select("rule", "passed")
+
+
+def entity_split(s, d, names=block_names):
+    return model.split_entities(union_tracks(s, d, names)).groupBy("s1_id", "validation").agg(F.count("*").alias("rows"))
+
+
+def runner_ratios(s, d, names=block_names):
+    return six(metrics.runner_ratios(names(s, d), block_addresses(s, d), records(s, d)))
 
 
-def entity_split(s, d):
-    return model.split_entities(union_tracks(s, d, block_names_sound)).groupBy("s1_id", "validation").agg(F.count("*").alias("rows"))
+def true_pairs_shown(s, d):
+    return metrics.side_by_side(truth(s, d), entities(s, d))
 
 
 def boosted_scores(s, d):
-    m = model.split_entities(matrix(s, d)).cache()
+    m = model.split_entities(merged_matrix(s, d, block_names_sound))
     return model.score(model.train(m), m)
 
 
 QUERIES = {f.__name__: f for f in (
     rule_match, normalized_names, normalized_addresses, accents, distinctive_tokens, block_names, block_names_sound, block_addresses, bucket_drop, bucket_truncate, capped_lookups,
     name_features, name_ratios, address_features, union_tracks, merged_matrix, labels, provenance_counts, anti_fallback, truth_lists, macro_f05, threshold_sweep, best_threshold,
-    name_report, address_report, combined_recall, missed_pairs, country_counts, length_stats, missing_counts, pattern_counts, common_words, violations, fifteen_points, entity_split, boosted_scores,
+    name_report, address_report, combined_recall, missed_pairs, country_counts, length_stats, missing_counts, pattern_counts, common_words, runner_ratios, true_pairs_shown, violations, fifteen_points, entity_split, boosted_scores,
 )}
 
 #: SQL has no sound keys: what it shows without them is made with all passes under these names.
-WITH_SOUND = (capped_lookups, name_features, union_tracks, labels, provenance_counts, macro_f05, threshold_sweep, best_threshold, name_report, combined_recall)
+WITH_SOUND = (capped_lookups, name_features, name_ratios, merged_matrix, entity_split, runner_ratios, union_tracks, labels, provenance_counts, macro_f05, threshold_sweep, best_threshold, name_report, combined_recall)
 QUERIES |= {f"{f.__name__}_sound": partial(f, names=block_names_sound) for f in WITH_SOUND}
 
 _flags = "SELECT coalesce(n.s1_id, a.s1_id) AS s1_id, coalesce(n.cand_id, a.cand_id) AS cand_id, CASE WHEN n.s1_id IS NULL THEN 0 ELSE 1 END AS from_name, CASE WHEN a.s1_id IS NULL THEN 0 ELSE 1 END AS from_address FROM names n FULL JOIN addresses a ON n.s1_id = a.s1_id AND n.cand_id = a.cand_id"
@@ -242,6 +257,38 @@ ORACLES = {
     "missing_counts": f"WITH {oracle.ENTITIES_SQL} SELECT count(*) AS rows, count(*) FILTER (WHERE trim(business_name) = '') AS missing_business_name, count(*) FILTER (WHERE trim(business_address) = '') AS missing_business_address, count(*) FILTER (WHERE trim(country) = '') AS missing_country FROM ent",
     "pattern_counts": "SELECT lang, count(*) AS n, " + ", ".join(f"count(*) FILTER (WHERE regexp_matches(\"text\", '{p}')) AS {n}" for n, p in PATTERNS.items()) + " FROM documents GROUP BY 1",
     "common_words": f"WITH {oracle.ENTITIES_SQL}, w AS (SELECT unnest({_address_words.replace('business_address', 'lower(business_address)')}) AS word FROM ent) SELECT word, count(*) AS n FROM w GROUP BY 1 ORDER BY n DESC, word LIMIT 40",
-    "violations": f"WITH {oracle.RULE_LISTS_SQL}, m AS (SELECT source1_entity_id AS s, unnest(string_split(matched_entity_ids, ',')) AS id FROM lists WHERE matched_entity_ids <> '') SELECT 'extra entity' AS rule, source1_entity_id AS id FROM lists WHERE source1_entity_id NOT IN (SELECT entity_id FROM ent WHERE source = 'S1' AND pos % 10 <> 7) UNION ALL SELECT DISTINCT 'unknown id', id FROM m WHERE id NOT IN (SELECT entity_id FROM ent WHERE source <> 'S1' AND pos % 10 <> 3)",
-    "fifteen_points": "SELECT unnest(range(1, 16))::INTEGER AS rule, true AS passed",
+    "runner_ratios": f"WITH {oracle.TRACKS_SQL}, c AS (SELECT count(*) FILTER (WHERE source = 'S1' AND country <> '') AS n1, count(*) FILTER (WHERE source = 'S1') AS a1, count(*) FILTER (WHERE source <> 'S1' AND country <> '') AS total_cands FROM rec), x AS (SELECT 'name' AS track, n1 AS total_s1, total_cands, (SELECT count(*) FROM names) AS total_pairs FROM c UNION ALL SELECT 'address', a1, total_cands, (SELECT count(*) FROM addresses) FROM c) SELECT *, round(total_pairs / greatest(total_s1, 1), 6) AS avg_candidates, round(1 - total_pairs / greatest(total_s1 * total_cands, 1), 6) AS reduction_ratio FROM x",
+    "true_pairs_shown": f"WITH {oracle.ENTITIES_SQL}, {TRUTH_SQL} SELECT s1_id, a.country, CASE WHEN length(a.business_name) > 35 THEN left(a.business_name, 32) || '...' ELSE a.business_name END AS s1_name, cand_id, left(cand_id, 2) AS source, CASE WHEN length(b.business_name) > 40 THEN left(b.business_name, 40) || '...' ELSE coalesce(b.business_name, 'UNKNOWN') END AS cand_name FROM truth JOIN ent a ON a.entity_id = s1_id LEFT JOIN ent b ON b.entity_id = cand_id ORDER BY a.pos, cand_id LIMIT 25",
+    "name_ratios": f"WITH {oracle.RATIOS_SQL} SELECT s1_id, cand_id, token_sort_ratio, token_set_ratio FROM ratios",
+    "merged_matrix": oracle.MATRIX_SQL,
+    "entity_split": f"WITH {oracle.TRACKS_SQL}, u AS ({_flags}) SELECT s1_id, ('0x' || md5('42:' || s1_id)[1:8])::BIGINT % 10000 < 2000 AS validation, count(*) AS rows FROM u GROUP BY ALL",
+    "violations": f"""WITH {oracle.PLANTED_SQL}, need AS (SELECT entity_id FROM ent WHERE source = 'S1' AND pos % 10 <> 7), known AS (SELECT entity_id FROM ent WHERE source <> 'S1' AND pos % 10 <> 3),
+ids AS (SELECT DISTINCT unnest(string_split(m, ',')) AS id FROM planted WHERE m <> '')
+SELECT 'duplicate row' AS rule, s AS id FROM planted GROUP BY s HAVING count(*) > 1
+UNION ALL SELECT DISTINCT 'repeated id in list', s FROM planted WHERE len(string_split(m, ',')) <> len(list_distinct(string_split(m, ',')))
+UNION ALL SELECT 'self match', id FROM ids WHERE id LIKE 'S1-%'
+UNION ALL SELECT 'wrong prefix', id FROM ids WHERE id NOT LIKE 'S1-%' AND id NOT LIKE 'S2-%' AND id NOT LIKE 'S3-%'
+UNION ALL SELECT 'missing entity', entity_id FROM need WHERE entity_id NOT IN (SELECT s FROM planted)
+UNION ALL SELECT DISTINCT 'extra entity', s FROM planted WHERE s NOT IN (SELECT entity_id FROM need)
+UNION ALL SELECT 'unknown id', id FROM ids WHERE (id LIKE 'S2-%' OR id LIKE 'S3-%') AND id NOT IN (SELECT entity_id FROM known)""",
+    "fifteen_points": f"""WITH {oracle.PLANTED_SQL}, need AS (SELECT entity_id FROM ent WHERE source = 'S1'), known AS (SELECT entity_id FROM ent WHERE source <> 'S1'),
+a AS (SELECT s, CASE WHEN m = '' THEN [] ELSE string_split(m, ',') END AS ids FROM planted),
+b AS (SELECT source1_entity_id AS s, CASE WHEN candidate_entity_ids = '' THEN [] ELSE string_split(candidate_entity_ids, ',') END AS ids FROM lists),
+ai AS (SELECT DISTINCT unnest(ids) AS id FROM a), bi AS (SELECT DISTINCT unnest(ids) AS id FROM b), ei AS (SELECT * FROM ai UNION SELECT * FROM bi),
+p AS (SELECT [
+  (SELECT count(*) FROM a) = (SELECT count(*) FROM need),
+  NOT EXISTS (SELECT 1 FROM need WHERE entity_id NOT IN (SELECT s FROM a)),
+  NOT EXISTS (SELECT 1 FROM a WHERE s NOT IN (SELECT entity_id FROM need)),
+  (SELECT count(*) = count(DISTINCT s) FROM a),
+  (SELECT count(*) FROM b) = (SELECT count(*) FROM need),
+  NOT EXISTS (SELECT 1 FROM need WHERE entity_id NOT IN (SELECT s FROM b)) AND NOT EXISTS (SELECT 1 FROM b WHERE s NOT IN (SELECT entity_id FROM need)),
+  (SELECT count(*) = count(DISTINCT s) FROM b),
+  NOT EXISTS (SELECT 1 FROM (SELECT * FROM a UNION ALL SELECT * FROM b) WHERE len(ids) <> len(list_distinct(ids))),
+  NOT EXISTS (SELECT 1 FROM ei WHERE id LIKE 'S1-%'),
+  NOT EXISTS (SELECT 1 FROM ei WHERE id NOT LIKE 'S1-%' AND id NOT LIKE 'S2-%' AND id NOT LIKE 'S3-%'),
+  NOT EXISTS (SELECT 1 FROM a LEFT JOIN b USING (s) WHERE len(list_filter(a.ids, lambda x: NOT list_contains(coalesce(b.ids, []), x))) > 0),
+  NOT EXISTS (SELECT 1 FROM ai WHERE (id LIKE 'S2-%' OR id LIKE 'S3-%') AND id NOT IN (SELECT entity_id FROM known)),
+  NOT EXISTS (SELECT 1 FROM bi WHERE (id LIKE 'S2-%' OR id LIKE 'S3-%') AND id NOT IN (SELECT entity_id FROM known)),
+  true, 'candidates' = 'candidate_entity_ids'] AS x)
+SELECT unnest(range(1, 16))::INTEGER AS rule, unnest(x) AS passed FROM p""",
 }

@@ -31,3 +31,12 @@ def test_files_to_results(spark, tmp_path, capsys):
     (tmp_path / "odd.tsv").write_text("source1_entity_id\tmatched_entity_ids\nS1-0\tS2-x\n")
     assert main(["validate", *common, "--matches", str(tmp_path / "odd.tsv")]) == 1
     assert "missing entity" in capsys.readouterr().out
+    lines = (tmp_path / "m.tsv").read_text().splitlines(keepends=True)
+    for name, text, said in [("h", ["source1_entity_id,matched_entity_ids\n", *lines[1:]], "comma-separated"), ("t", [*lines, "S1-0 no tab\n"], "malformed row"), ("o", [lines[0], lines[2], lines[1], *lines[3:]], "out of order"), ("e", [], "empty file")]:
+        (tmp_path / f"{name}.tsv").write_text("".join(text))
+        assert main(["validate", *common, "--matches", str(tmp_path / f"{name}.tsv")]) == 1
+        assert said in capsys.readouterr().out
+    (tmp_path / "p.tsv").write_text("".join([lines[0], "S1-0\tS2-none\n", *lines[2:]]))
+    main(["validate", *common, "--matches", str(tmp_path / "p.tsv")])
+    said = capsys.readouterr().out
+    assert "point 11" in said and "point 12" in said and "point 13" not in said

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from kinfold.operators import metrics, model, validate
+from kinfold.operators import metrics, model, pairs, validate
 from kinfold.operators.records import assert_scoring_universe, assert_unique_ids
 from kinfold.sources import tsv
 
@@ -114,3 +114,55 @@ def test_blocking_reports(spark):
     assert r.avg_candidates == pytest.approx(2 / 3) and r.reduction_ratio == pytest.approx(1 - 2 / 6)
     assert metrics.blocking_report(pairs, truth, rec, per_all=False).first().avg_candidates == 2
     assert metrics.missing_counts(frame(spark, [(None,), (" ",), ("x",)], "a string"), ["a"]).first().missing_a == 2
+
+
+def test_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "a.tsv").write_bytes(b"country\tentity_id\textra\tbusiness_name\tbusiness_address\nUS\tS1-1\tx\tCaf\xe9\t5 Oak\n")
+    row = tsv.read_entities(spark, str(tmp_path / "a.tsv"), "S1").first()
+    assert (row.entity_id, row.business_name, row.business_address, row.country) == ("S1-1", "Caf\ufffd", "5 Oak", "US")
+    (tmp_path / "b.tsv").write_text("entity_id\tname\nS1-1\tx\n")
+    with pytest.raises(ValueError, match="business_name"):
+        tsv.read_entities(spark, str(tmp_path / "b.tsv"), "S1")
+    with pytest.raises(ValueError, match="probability"):
+        metrics.threshold_sweep(frame(spark, [("a", 1)], "s1_id string, label int"), frame(spark, [], "s1_id string, cand_id string"))
+    with pytest.raises(ValueError, match="token_jaccard"):
+        none = frame(spark, [], "s1_id string, cand_id string, levenshtein_sim double")
+        pairs.merged(none, none)
+
+
+def test_rows_are_numbered_in_file_order(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("".join(f"line {i}\n" for i in range(5000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        df = spark.read.text(str(tmp_path / "a.txt"))
+        assert df.rdd.getNumPartitions() > 3
+        got = tsv.in_file_order(df.where("value NOT LIKE '%7'")).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [r.value for r in sorted(got, key=lambda r: r.row)] == [f"line {i}" for i in range(5000) if i % 10 != 7] and {r.row for r in got} == set(range(4500))
+
+
+def test_results_are_replaced_not_removed(spark, tmp_path):
+    e = frame(spark, [("S1-1", 0), ("S1-2", 1)], "entity_id string, pos long")
+    for cand in ("S2-1", "S2-2"):
+        m = frame(spark, [("S1-1", cand)], "s1_id string, cand_id string")
+        tsv.write_submission(e, m, m, str(tmp_path / "m.tsv"), str(tmp_path / "c.tsv"))
+        assert (tmp_path / "m.tsv").read_text().split()[2:] == ["S1-1", cand, "S1-2"]
+    assert sorted(p.name for p in tmp_path.iterdir() if not p.name.startswith(".")) == ["c.tsv", "m.tsv"]
+
+
+def test_the_last_of_repeated_records_counts(spark):
+    rec = frame(spark, [("S1-1", 0, "old name"), ("S1-1", 5, "new name"), ("S2-1", 1, "new name")], "entity_id string, pos long, name_norm string")
+    row = pairs.with_name_features(frame(spark, [("S1-1", "S2-1")], "s1_id string, cand_id string"), rec).first()
+    assert row.exact_match == 1
+
+
+def test_ratios_of_either_track_and_pairs_side_by_side(spark):
+    rec = frame(spark, [("S1-1", "S1", "US"), ("S1-2", "S1", " "), ("S2-1", "S2", "US"), ("S2-2", "S2", ""), ("S3-1", "S3", "FR")], "entity_id string, source string, country string")
+    one = frame(spark, [("S1-1", "S2-1")], "s1_id string, cand_id string")
+    got = {r.track: r for r in metrics.runner_ratios(one, one, rec).collect()}
+    assert (got["name"].total_s1, got["address"].total_s1, got["name"].total_cands) == (1, 2, 2)
+    assert got["name"].reduction_ratio == pytest.approx(1 - 1 / 2) and got["address"].reduction_ratio == pytest.approx(1 - 1 / 4) and got["address"].avg_candidates == pytest.approx(0.5)
+    e = frame(spark, [("S1-1", "S1", 0, "US", "x" * 36), ("S2-1", "S2", 0, "US", "y" * 41)], "entity_id string, source string, pos long, country string, business_name string")
+    shown = metrics.side_by_side(one.union(frame(spark, [("S1-1", "S3-9")], "s1_id string, cand_id string")), e).collect()
+    assert [(r.s1_name, r.source, r.cand_name) for r in shown] == [("x" * 32 + "...", "S2", "y" * 40 + "..."), ("x" * 32 + "...", "S3", "UNKNOWN")]
