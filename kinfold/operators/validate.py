@@ -38,21 +38,33 @@ def list_violations(lists: DataFrame, column: str, required: DataFrame, known: D
     (not checked if None).
     """
     t = lists.select(F.col("source1_entity_id").alias("s1_id"), split_ids(column).alias("ids"))
-    each = t.select(F.explode("ids").alias("id")).distinct()
-    own = F.col("id").startswith("S1-")
-    other = F.col("id").startswith("S2-") | F.col("id").startswith("S3-")
-    rows = t.select("s1_id").distinct()
-    found = [
-        ("duplicate row", t.groupBy("s1_id").count().where("count > 1").select(F.col("s1_id").alias("id"))),
-        ("repeated id in list", t.where(F.size("ids") != F.size(F.array_distinct("ids"))).select(F.col("s1_id").alias("id")).distinct()),
-        ("self match", each.where(own)),
-        ("wrong prefix", each.where(~own & ~other)),
-        ("missing entity", required.select("s1_id").distinct().join(rows, "s1_id", "left_anti").select(F.col("s1_id").alias("id"))),
-        ("extra entity", rows.join(required.select("s1_id").distinct(), "s1_id", "left_anti").select(F.col("s1_id").alias("id"))),
-    ]
-    if known is not None:
-        found.append(("unknown id", each.where(~own & other).join(known.select(F.col("cand_id").alias("id")).distinct(), "id", "left_anti")))
-    return reduce(DataFrame.unionByName, [df.select(F.lit(rule).alias("rule"), "id", F.lit(HARD).alias("severity")) for rule, df in found])
+    joined = by_entity(t, "").join(required.select("s1_id").distinct().withColumn("needed", F.lit(True)), "s1_id", "outer")
+    here = F.col("rows").isNotNull()
+    rule = lambda ok, name: F.when(ok, F.struct(F.lit(name).alias("rule"), F.col("s1_id").alias("id")))
+    broken = F.array(rule(F.col("rows") > 1, "duplicate row"), rule(F.col("repeats") > 0, "repeated id in list"), rule(~here, "missing entity"), rule(here & F.col("needed").isNull(), "extra entity"))
+    of_rows = joined.select(F.explode(broken).alias("x")).where("x IS NOT NULL").select("x.rule", "x.id")
+    kind = F.when(own_id(F.col("id")), "self match").when(~other_id(F.col("id")), "wrong prefix").otherwise("unknown id")
+    of_ids = t.select(F.explode("ids").alias("id")).distinct().select(kind.alias("rule"), "id")
+    if known is None:
+        of_ids = of_ids.where("rule <> 'unknown id'")
+    else:
+        there = known.select(F.col("cand_id").alias("id")).distinct().withColumn("there", F.lit(True))
+        of_ids = of_ids.join(there, "id", "left").where("rule <> 'unknown id' OR there IS NULL").select("rule", "id")
+    return of_rows.union(of_ids).select("rule", "id", F.lit(HARD).alias("severity"))
+
+
+def own_id(x: Column) -> Column:
+    return x.startswith("S1-")
+
+
+def other_id(x: Column) -> Column:
+    return x.startswith("S2-") | x.startswith("S3-")
+
+
+def by_entity(t: DataFrame, suffix: str) -> DataFrame:
+    """s1_id, and of its rows (s1_id, ids): how many, and how many repeat an id."""
+    repeats = F.size("ids") != F.size(F.array_distinct("ids"))
+    return t.groupBy("s1_id").agg(F.count("*").alias(f"rows{suffix}"), F.count_if(repeats).alias(f"repeats{suffix}"))
 
 
 def not_subset(matches: DataFrame, candidates: DataFrame) -> DataFrame:
@@ -84,27 +96,31 @@ def fifteen_points(matches: DataFrame, candidates: DataFrame, required: DataFram
     """rule (1 to 15), what, passed. Ids are trimmed here; that matches are candidates is hard."""
     spark = matches.sparkSession
     frame = lambda df, c: df.select(F.trim("source1_entity_id").alias("s1_id"), split_ids(c, trim=True).alias("ids"))
+    need, have = required.select("s1_id").distinct().withColumn("needed", F.lit(True)), known.select(F.col("cand_id").alias("id")).distinct()
     m, c = frame(matches, "matched_entity_ids"), frame(candidates, "candidate_entity_ids")
-    need, have = required.select("s1_id").distinct(), known.select(F.col("cand_id").alias("id")).distinct()
-
-    def counts(df: DataFrame) -> DataFrame:
-        ids = df.select(F.explode("ids").alias("id")).distinct()
-        one = df.agg(F.count("*").alias("rows"), F.count_distinct("s1_id").alias("entities"), F.count_if(F.size("ids") != F.size(F.array_distinct("ids"))).alias("repeats"))
-        two = ids.agg(F.count_if(F.col("id").startswith("S1-")).alias("own"), F.count_if(~F.col("id").startswith("S1-") & ~F.col("id").startswith("S2-") & ~F.col("id").startswith("S3-")).alias("odd"))
-        three = ids.where(F.col("id").startswith("S2-") | F.col("id").startswith("S3-")).join(have, "id", "left_anti").agg(F.count("*").alias("unknown"))
-        four = need.join(df.select("s1_id").distinct(), "s1_id", "left_anti").agg(F.count("*").alias("missing"))
-        five = df.select("s1_id").distinct().join(need, "s1_id", "left_anti").agg(F.count("*").alias("extra"))
-        return reduce(lambda a, b: a.join(b, how="cross"), [two, three, four, five], one)  # one row each
-
-    x, y = counts(m).first(), counts(c).first()
-    loose = m.join(c.select("s1_id", F.col("ids").alias("c")), "s1_id", "left").where(F.size(F.array_except("ids", F.coalesce("c", F.array().cast("array<string>")))) > 0).count()
-    n = need.count()
+    joined = by_entity(m, "_m").join(by_entity(c, "_c"), "s1_id", "outer").join(need, "s1_id", "outer")
+    some = lambda ok, name: F.count_if(F.coalesce(ok, F.lit(False))).alias(name)
+    sides = [x for k in ("m", "c") for x in (
+        F.coalesce(F.sum(f"rows_{k}"), F.lit(0)).alias(f"rows_{k}"), some(F.col(f"rows_{k}").isNotNull(), f"entities_{k}"), some(F.col("needed") & F.col(f"rows_{k}").isNull(), f"missing_{k}"),
+        some(F.col("needed").isNull() & F.col(f"rows_{k}").isNotNull(), f"extra_{k}"), some(F.col(f"repeats_{k}") > 0, f"repeats_{k}"),
+    )]
+    x = joined.agg(*sides, some(F.col("needed"), "needed")).first()
+    # every pair of either file once, with the files that hold it
+    pair = lambda df, k: df.select("s1_id", F.explode("ids").alias("id"), F.lit(k).alias("file"))
+    pairs = pair(m, 1).union(pair(c, 2)).groupBy("s1_id", "id").agg(F.bit_or("file").alias("files"))
+    ids = pairs.groupBy("id").agg(F.bit_or("files").alias("files"), F.max((F.col("files") == 1).cast("int")).alias("loose")).join(have.withColumn("there", F.lit(True)), "id", "left")
+    unknown = other_id(F.col("id")) & F.col("there").isNull()
+    y = ids.agg(
+        some(own_id(F.col("id")), "own"), some(~own_id(F.col("id")) & ~other_id(F.col("id")), "odd"), some(F.col("loose") == 1, "loose"),
+        some(unknown & (F.col("files").bitwiseAND(1) > 0), "unknown_m"), some(unknown & (F.col("files").bitwiseAND(2) > 0), "unknown_c"),
+    ).first()
+    n = x["needed"]
     h = headers or {"matches": "source1_entity_id\tmatched_entity_ids", "candidates": "source1_entity_id\tcandidate_entity_ids"}
     rules = [
-        ("matches have a row for each entity", x["rows"] == n), ("matches miss no entity", x["missing"] == 0), ("matches have no other entity", x["extra"] == 0), ("matches repeat no entity", x["rows"] == x["entities"]),
-        ("candidates have a row for each entity", y["rows"] == n), ("candidates miss and add none", y["missing"] == 0 and y["extra"] == 0), ("candidates repeat no entity", y["rows"] == y["entities"]),
-        ("no list repeats an id", x["repeats"] == 0 and y["repeats"] == 0), ("no first-source id is in a list", x["own"] == 0 and y["own"] == 0), ("all ids have a known prefix", x["odd"] == 0 and y["odd"] == 0),
-        ("matches are candidates", loose == 0), ("matched ids exist", x["unknown"] == 0), ("candidate ids exist", y["unknown"] == 0),
+        ("matches have a row for each entity", x["rows_m"] == n), ("matches miss no entity", x["missing_m"] == 0), ("matches have no other entity", x["extra_m"] == 0), ("matches repeat no entity", x["rows_m"] == x["entities_m"]),
+        ("candidates have a row for each entity", x["rows_c"] == n), ("candidates miss and add none", x["missing_c"] == 0 and x["extra_c"] == 0), ("candidates repeat no entity", x["rows_c"] == x["entities_c"]),
+        ("no list repeats an id", x["repeats_m"] == 0 and x["repeats_c"] == 0), ("no first-source id is in a list", y["own"] == 0), ("all ids have a known prefix", y["odd"] == 0),
+        ("matches are candidates", y["loose"] == 0), ("matched ids exist", y["unknown_m"] == 0), ("candidate ids exist", y["unknown_c"] == 0),
         ("tabs part the columns", all("\t" in line for line in h.values())), ("headers are as expected", not header_errors(h["matches"], ["source1_entity_id", "matched_entity_ids"]) and not header_errors(h["candidates"], ["source1_entity_id", "candidate_entity_ids"])),
     ]
     return spark.createDataFrame([(i + 1, what, bool(ok)) for i, (what, ok) in enumerate(rules)], "rule int, what string, passed boolean")

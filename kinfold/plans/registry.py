@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import uuid
 from functools import partial
 
 from pyspark.sql import functions as F
@@ -10,7 +13,9 @@ from kinfold.functions import fixed, text
 from kinfold.operators import blocking, metrics, model, pairs, rules, validate
 from kinfold.plans import oracle
 from kinfold.plans.adapter import TRUTH_SQL, entities, records, truth
+from kinfold.sources import tsv
 from kinfold.sources.tsv import wide_lists
+from kinfold.streaming.match import stream_matches
 
 PATTERNS = {"with_digits": "[0-9]", "with_symbols": "[#*$%&|]", "with_mail": "@"}
 SIX = ("f05", "precision", "recall", "recall_ceiling", "avg_candidates", "reduction_ratio", "ratio")
@@ -206,6 +211,68 @@ def true_pairs_shown(s, d):
     return metrics.side_by_side(truth(s, d), entities(s, d))
 
 
+def scratch(s, name):
+    """A new place in the folder that all executors share; only a local master may do without."""
+    folder = s.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not s.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        folder = "file://" + os.path.join(tempfile.gettempdir(), "kinfold-queries")
+    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def scanned_records(s, d):
+    """The entities as three tab-separated files, scanned again."""
+    e, paths = entities(s, d), {source: scratch(s, "records") for source in ("S1", "S2", "S3")}
+    for source, path in paths.items():
+        tsv.write_tsv(e.where(F.col("source") == source).select(*tsv.ENTITY), path)
+    return tsv.read_sources(s, paths).select("source", *tsv.ENTITY)
+
+
+def scanned_truth(s, d):
+    """Ground truth as a file, read as pairs; and the first-source ids without any."""
+    path = scratch(s, "truth")
+    tsv.write_tsv(truth_lists(s, d), path)
+    found, universe = tsv.read_ground_truth(s, path)
+    return universe.join(found, "s1_id", "left").select("s1_id", "cand_id")
+
+
+def scanned_candidates(s, d):
+    """Candidates as a wide and as a long file, read by the form that their header tells."""
+    names, wide, long = block_names(s, d), scratch(s, "wide"), scratch(s, "long")
+    first = entities(s, d).where("source = 'S1'")
+    tsv.write_tsv(wide_lists(first, names, "candidate_entity_ids").drop("pos"), wide)
+    tsv.write_tsv(names.select(F.col("s1_id").alias("source1_entity_id"), F.col("cand_id").alias("candidate_entity_id"), "source", "block_reason"), long)
+    read = lambda path, form: tsv.candidate_pairs(tsv.read_tsv(s, path)).withColumn("form", F.lit(form))
+    return read(wide, "wide").union(read(long, "long"))
+
+
+def submission_rows(s, d):
+    """The lines of both result files, in the files' order."""
+    r, m, c = records(s, d), scratch(s, "matches") + ".tsv", scratch(s, "candidates") + ".tsv"
+    found = rules.rule_pairs(r)
+    tsv.write_submission(r.where("source = 'S1'").select("entity_id", "pos"), found.where("match"), found, m, c)
+    lines = lambda path, name: tsv.in_file_order(s.read.text(path)).select(F.lit(name).alias("file"), "row", F.col("value").alias("line"))
+    return lines(m, "matches").union(lines(c, "candidates"))
+
+
+def numeric_features(s, d):
+    """The canonical features of a table that has two of them, one partly no number."""
+    lev = F.col("levenshtein_sim")
+    df = name_features(s, d).select("token_jaccard", F.when(lev > 0.5, "odd").otherwise(lev.cast("string")).alias("levenshtein_sim"), "cand_id", "s1_id")
+    return model.numeric(df).select("s1_id", "cand_id", *pairs.FEATURES)
+
+
+def streamed_matches(s, d):
+    """The rule matcher's matches, the second and third source arriving as a stream of files."""
+    e, r, source, out = entities(s, d), records(s, d), scratch(s, "arriving"), scratch(s, "matched")
+    e.where("source <> 'S1'").write.parquet(source)
+    arriving = s.readStream.schema(e.schema).parquet(source)
+    query = stream_matches(r, arriving).writeStream.format("parquet").option("checkpointLocation", scratch(s, "stream")).trigger(availableNow=True).start(out)
+    query.awaitTermination()
+    return s.read.schema("s1_id string, cand_id string").parquet(out)
+
+
 def boosted_scores(s, d):
     m = model.split_entities(merged_matrix(s, d, block_names_sound))
     return model.score(model.train(m), m)
@@ -214,7 +281,7 @@ def boosted_scores(s, d):
 QUERIES = {f.__name__: f for f in (
     rule_match, normalized_names, normalized_addresses, accents, distinctive_tokens, block_names, block_names_sound, block_addresses, bucket_drop, bucket_truncate, capped_lookups,
     name_features, name_ratios, address_features, union_tracks, merged_matrix, labels, provenance_counts, anti_fallback, truth_lists, macro_f05, threshold_sweep, best_threshold,
-    name_report, address_report, combined_recall, missed_pairs, country_counts, length_stats, missing_counts, pattern_counts, common_words, runner_ratios, true_pairs_shown, violations, fifteen_points, entity_split, boosted_scores,
+    name_report, address_report, combined_recall, missed_pairs, country_counts, length_stats, missing_counts, pattern_counts, common_words, runner_ratios, true_pairs_shown, scanned_records, scanned_truth, scanned_candidates, submission_rows, numeric_features, streamed_matches, violations, fifteen_points, entity_split, boosted_scores,
 )}
 
 #: SQL has no sound keys: what it shows without them is made with all passes under these names.
@@ -259,6 +326,12 @@ ORACLES = {
     "common_words": f"WITH {oracle.ENTITIES_SQL}, w AS (SELECT unnest({_address_words.replace('business_address', 'lower(business_address)')}) AS word FROM ent) SELECT word, count(*) AS n FROM w GROUP BY 1 ORDER BY n DESC, word LIMIT 40",
     "runner_ratios": f"WITH {oracle.TRACKS_SQL}, c AS (SELECT count(*) FILTER (WHERE source = 'S1' AND country <> '') AS n1, count(*) FILTER (WHERE source = 'S1') AS a1, count(*) FILTER (WHERE source <> 'S1' AND country <> '') AS total_cands FROM rec), x AS (SELECT 'name' AS track, n1 AS total_s1, total_cands, (SELECT count(*) FROM names) AS total_pairs FROM c UNION ALL SELECT 'address', a1, total_cands, (SELECT count(*) FROM addresses) FROM c) SELECT *, round(total_pairs / greatest(total_s1, 1), 6) AS avg_candidates, round(1 - total_pairs / greatest(total_s1 * total_cands, 1), 6) AS reduction_ratio FROM x",
     "true_pairs_shown": f"WITH {oracle.ENTITIES_SQL}, {TRUTH_SQL} SELECT s1_id, a.country, CASE WHEN length(a.business_name) > 35 THEN left(a.business_name, 32) || '...' ELSE a.business_name END AS s1_name, cand_id, left(cand_id, 2) AS source, CASE WHEN length(b.business_name) > 40 THEN left(b.business_name, 40) || '...' ELSE coalesce(b.business_name, 'UNKNOWN') END AS cand_name FROM truth JOIN ent a ON a.entity_id = s1_id LEFT JOIN ent b ON b.entity_id = cand_id ORDER BY a.pos, cand_id LIMIT 25",
+    "scanned_records": f"WITH {oracle.ENTITIES_SQL} SELECT source, entity_id, business_name, business_address, country FROM ent",
+    "scanned_truth": f"WITH {oracle.ENTITIES_SQL}, {TRUTH_SQL} SELECT entity_id AS s1_id, cand_id FROM ent LEFT JOIN truth ON s1_id = entity_id WHERE source = 'S1'",
+    "scanned_candidates": f"WITH {oracle.NAME_BLOCKS_SQL} SELECT s1_id, cand_id, form FROM names, (SELECT unnest(['wide', 'long']) AS form)",
+    "submission_rows": f"WITH {oracle.RULE_LISTS_SQL}, o AS (SELECT row_number() OVER (ORDER BY pos) AS row, lists.* FROM lists JOIN ent ON entity_id = source1_entity_id), x AS (SELECT 'matches' AS file, row, source1_entity_id || chr(9) || matched_entity_ids AS line FROM o UNION ALL SELECT 'candidates', row, source1_entity_id || chr(9) || candidate_entity_ids FROM o UNION ALL SELECT f || 's', 0, 'source1_entity_id' || chr(9) || c FROM (SELECT unnest(['matche', 'candidate']) AS f, unnest(['matched_entity_ids', 'candidate_entity_ids']) AS c)) SELECT file, row::BIGINT AS row, line FROM x",
+    "numeric_features": f"SELECT s1_id, cand_id, CASE WHEN levenshtein_sim > 0.5 THEN 0.0 ELSE levenshtein_sim END::DOUBLE AS levenshtein_sim, token_jaccard, {', '.join(f'0.0::DOUBLE AS {c}' for c in pairs.FEATURES if c not in ('levenshtein_sim', 'token_jaccard'))} FROM ({oracle.NAME_FEATURES_SQL})",
+    "streamed_matches": f"WITH {oracle.HITS_SQL} SELECT s1_id, cand_id FROM hits WHERE match",
     "name_ratios": f"WITH {oracle.RATIOS_SQL} SELECT s1_id, cand_id, token_sort_ratio, token_set_ratio FROM ratios",
     "merged_matrix": oracle.MATRIX_SQL,
     "entity_split": f"WITH {oracle.TRACKS_SQL}, u AS ({_flags}) SELECT s1_id, ('0x' || md5('42:' || s1_id)[1:8])::BIGINT % 10000 < 2000 AS validation, count(*) AS rows FROM u GROUP BY ALL",
