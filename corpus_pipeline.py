@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kinfold.llm import mixing, near_dedup, pieces, pii, quality_classifier
-from kinfold.llm.common import small, table, written
+from kinfold.llm.common import small, steps, table, written
 
 #: Words of a shingle in the near-duplicate stage.
 SHINGLE_WORDS = 5
@@ -58,7 +58,9 @@ STAGES = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
+        place = "pipeline-" + name.replace(" ", "-")
+        with steps(spark, place):
+            docs = written(stage(spark, docs, sf_dir), place)
     return docs
 
 
