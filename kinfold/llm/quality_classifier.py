@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinfold.llm.common import crc_rest, small, table, tidied
+from kinfold.llm.common import crc_rest, one_thread, small, table, tidied
 
 #: Bound on the rows of each kind that the model is fitted on.
 FIT_ROWS = 20_000
@@ -167,6 +167,7 @@ def scored(docs: DataFrame, model: Model, cut: float = CUT) -> DataFrame:
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*[docs[c] for c in cols]).schema)
 
     def compute(batches):
+        one_thread()
         for b in batches:
             s = model.score(features(b.column("text").to_pylist()))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s), pa.array((s >= cut).astype(np.int32))], [*b.schema.names, "score", "predicted"])

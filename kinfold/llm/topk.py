@@ -7,8 +7,10 @@ may still reach them: the score over the first half of the components, plus the
 Cauchy-Schwarz bound of the rest. Phase three: those scores are resolved exactly and ranked.
 Entries compare by (score, then smaller id), so thousands of equal vectors are cut off too.
 
-Queries come in blocks of QUERY_BLOCK, each a row of a grid with the buckets; a task holds
-one bucket and one block, whatever the size of the table.
+Queries come in blocks, each a row of a grid with the buckets; a task holds one bucket and one
+block, CELL_BYTES of each at most whatever the table's size and the vectors' length, and scores
+TILE queries at a time. Every candidate is sent once for each block of queries, and every query
+once for each bucket: larger cells mean less traffic.
 
 Defined results: vectors that are null or hold null or non-finite components take no part;
 shorter vectors count as padded with zeros; rows that share the query's vec_id are the query's
@@ -24,13 +26,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from kinfold.llm.common import table, written
+from kinfold.llm.common import one_thread, table, written
 
 K = 10
 SCALE = 1024
 QUERY_STEP = 100
-QUERY_BLOCK = 1024
-BUCKET_ROWS = (256, 4096)
+QUERY_BLOCK = 16384
+BUCKET_ROWS = (256, 16384)
+CELL_BYTES = 32 << 20
+TILE = 256
 #: Each bucket's first list is this much longer than its even share of k.
 SPARE = 3
 
@@ -90,14 +94,18 @@ def entries(rows: list[tuple[int, int, int]]) -> pa.Table:
 
 def first_lists(r: int):
     def run(candidates: pa.Table, queries: pa.Table) -> pa.Table:
+        one_thread()
         width = widest(candidates, queries)
         qids, ids = queries.column("vec_id").to_numpy(), candidates.column("vec_id").to_numpy()
-        s = products(matrix(queries.column("v"), width), matrix(candidates.column("v"), width)) if len(qids) and len(ids) else np.zeros((len(qids), 0), np.int64)
         rows = []
-        for i, q in enumerate(qids) if len(ids) else ():
-            other = np.flatnonzero(ids != q)
-            at = other[best(s[i][other], ids[other], r)]
-            rows += [(int(q), int(ids[j]), int(s[i][j])) for j in at]
+        if len(qids) and len(ids):
+            c = matrix(candidates.column("v"), width)
+            for i in range(0, len(qids), TILE):
+                s = products(matrix(queries.column("v").slice(i, TILE), width), c)
+                for q, of in zip(qids[i : i + TILE], s, strict=True):
+                    other = np.flatnonzero(ids != q)
+                    at = other[best(of[other], ids[other], r)]
+                    rows += [(int(q), int(ids[j]), int(of[j])) for j in at]
         return entries(rows)
 
     return run
@@ -105,25 +113,30 @@ def first_lists(r: int):
 
 def above(candidates: pa.Table, queries: pa.Table) -> pa.Table:
     """What may reach the cutoff by its bound, resolved exactly: entries at or above it."""
+    one_thread()
     width = widest(candidates, queries)
     qids, ids = queries.column("vec_id").to_numpy(), candidates.column("vec_id").to_numpy()
     if not len(qids) or not len(ids):
         return entries([])
-    q, c = matrix(queries.column("v"), width), matrix(candidates.column("v"), width)
+    c = matrix(candidates.column("v"), width)
     half = (width + 1) // 2
+    c_rest = np.sqrt((c[:, half:].astype(np.float64) ** 2).sum(1))
     cut, cut_id = (queries.column(n).fill_null(0).to_numpy() for n in ("cut", "cut_id"))
     all_in = queries.column("cut").is_null().to_numpy(zero_copy_only=False)
-    part = products(q[:, :half], c[:, :half]).astype(np.float64)
-    rest = np.sqrt((q[:, half:].astype(np.float64) ** 2).sum(1))[:, None] * np.sqrt((c[:, half:].astype(np.float64) ** 2).sum(1))
-    bound = part + rest * (1 + 1e-9) + 1 + np.abs(part) * 1e-9
     rows = []
-    for i, own in enumerate(qids):
-        at = np.flatnonzero((all_in[i] | (bound[i] >= cut[i])) & (ids != own))
-        if not len(at):
-            continue
-        s = products(q[i : i + 1], c[at])[0]
-        keep = all_in[i] | (s > cut[i]) | (s == cut[i]) & (ids[at] <= cut_id[i])
-        rows += [(int(own), int(v), int(x)) for v, x in zip(ids[at][keep], s[keep], strict=True)]
+    for i in range(0, len(qids), TILE):
+        q = matrix(queries.column("v").slice(i, TILE), width)
+        part = products(q[:, :half], c[:, :half]).astype(np.float64)
+        rest = np.sqrt((q[:, half:].astype(np.float64) ** 2).sum(1))[:, None] * c_rest
+        bound = part + rest * (1 + 1e-9) + 1 + np.abs(part) * 1e-9
+        for k in range(len(q)):
+            own, least = qids[i + k], i + k
+            at = np.flatnonzero((all_in[least] | (bound[k] >= cut[least])) & (ids != own))
+            if not len(at):
+                continue
+            s = products(q[k : k + 1], c[at])[0]
+            keep = all_in[least] | (s > cut[least]) | (s == cut[least]) & (ids[at] <= cut_id[least])
+            rows += [(int(own), int(v), int(x)) for v, x in zip(ids[at][keep], s[keep], strict=True)]
     return entries(rows)
 
 
@@ -133,9 +146,10 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     vectors and queries: vec_id, v (array of long).
     """
     vectors, queries = written(vectors, "topk-vectors"), written(queries.groupBy("vec_id").agg(F.max("v").alias("v")), "topk-queries")
-    n, n_queries = vectors.count(), queries.count()
-    per = min(max(n // 64, BUCKET_ROWS[0]), BUCKET_ROWS[1])
-    buckets, blocks = max(1, -(-n // per)), max(1, -(-n_queries // QUERY_BLOCK))
+    sizes = vectors.agg(F.count("*").alias("n"), F.coalesce(F.max(F.size("v")), F.lit(0)).alias("width")).first()
+    n, n_queries, fit = sizes["n"], queries.count(), max(1, CELL_BYTES // (8 * max(sizes["width"], 1)))
+    per = min(max(n // 64, BUCKET_ROWS[0]), BUCKET_ROWS[1], fit)
+    buckets, blocks = max(1, -(-n // per)), max(1, -(-n_queries // min(QUERY_BLOCK, fit)))
     c = vectors.withColumn("bucket", F.pmod(F.xxhash64("vec_id", "v"), F.lit(buckets))).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     q = queries.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")).withColumn("bucket", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(buckets - 1).cast("long"))))
     deal = lambda df: df.groupBy("bucket", "block")

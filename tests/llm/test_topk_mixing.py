@@ -39,11 +39,24 @@ def test_vector_edges(spark):
 
 def test_blocks_of_queries(spark, monkeypatch):
     monkeypatch.setattr(topk, "QUERY_BLOCK", 2)
+    monkeypatch.setattr(topk, "CELL_BYTES", 40 * 9)
     r = random.Random(3)
     rows = [(i * 20, [r.gauss(0, 1) for _ in range(5)], "") for i in range(60)]
     assert search(spark, rows, 3) == sorted(plain([x[:2] for x in rows], 3))
 
 
+def test_queries_in_tiles():
+    import pyarrow as pa
+
+    r = random.Random(5)
+    t = pa.table({"vec_id": pa.array(range(1000), pa.int64()), "v": pa.array([[r.randint(-9, 9) for _ in range(4)] for _ in range(1000)], pa.list_(pa.int64()))})
+    got = topk.first_lists(3)(t, t.slice(100, 2 * topk.TILE + 7)).to_pylist()
+    v = t.column("v").to_pylist()
+    for q in (100, 355, 356, 618):
+        want = sorted((-sum(a * b for a, b in zip(v[q], x, strict=True)), i) for i, x in enumerate(v) if i != q)[:3]
+        assert [(-x["score"], x["vec_id"]) for x in got if x["query_id"] == q] == want
+
+
 def sources(spark, sizes, extra=()):
     rows = [(i, f"{s}", n) for i, (s, n) in enumerate((s, n) for s, ns in sizes.items() for n in ns)]
     return spark.createDataFrame([*rows, *extra], "doc_id long, source string, n long")
