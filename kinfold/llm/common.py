@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import ctypes
+import functools
+import gc
 import os
 import tempfile
 import uuid
@@ -71,12 +73,21 @@ def made() -> int:
     return len(_made)
 
 
+def forgotten(spark: SparkSession) -> None:
+    """The driver lets go of past steps' plans and of the code that was made for them: a long
+    chain of steps would otherwise hold it all until its heap is full."""
+    gc.collect()
+    spark._jvm.System.gc()
+    trimmed()
+
+
 @contextmanager
 def steps(spark: SparkSession, *kept: str):
     """Tables written within are dropped at the end, but for those of the names `kept`, which
     the result reads."""
     n = len(_made)
     yield
+    forgotten(spark)
     names = tuple(f"{shared_dir(spark)}/{k}-" for k in kept)
     dropped(spark, [p for p in _made[n:] if not p.startswith(names)] if names else _made[n:])
 
@@ -106,6 +117,15 @@ def lower_az(text: str) -> bytes:
     return text.encode("utf-8", "surrogatepass").lower()
 
 
+def trimmed() -> None:
+    """Freed memory goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def tidied(batches):
     """The batches; after the last, what the task has freed goes back to the system.
 
@@ -114,11 +134,23 @@ def tidied(batches):
     try:
         yield from batches
     finally:
-        pa.default_memory_pool().release_unused()
-        try:
-            ctypes.CDLL(None).malloc_trim(0)
-        except (OSError, AttributeError):  # another C library
-            pass
+        trimmed()
+
+
+@functools.cache
+def one_thread() -> None:
+    """From here on this process' matrix products take one thread: a task has one core, and the
+    library's threads would spin on the others while they wait."""
+    try:
+        with open("/proc/self/maps") as f:
+            loaded = {line.split()[-1] for line in f if "openblas" in line}
+    except OSError:  # another system: products then take what the environment says
+        return
+    for path in loaded:
+        lib = ctypes.CDLL(path)
+        for name in ("scipy_openblas_set_num_threads64_", "scipy_openblas_set_num_threads", "openblas_set_num_threads64_", "openblas_set_num_threads"):
+            if hasattr(lib, name):
+                getattr(lib, name)(1)
 
 
 class WordHash(dict):

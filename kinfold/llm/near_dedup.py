@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinfold.llm.common import lower_az, small, steps, table, tidied, written
+from kinfold.llm.common import forgotten, lower_az, small, steps, table, tidied, written
 from kinfold.llm.components import components
 
 WORDS = 4
@@ -325,7 +325,13 @@ def crossing_links(posted: DataFrame, docs: DataFrame, labels: DataFrame, n: int
     needed = written(in_order(short.select(*CROSSING), ("token",)).mapInArrow(members_needed, schema), "dedup-needed")
     sets = full_sets(docs, needed, n)
     links = in_order(needed.join(sets, ["doc", "k1"]).select(*CROSSING, "set"), ("token",)).mapInArrow(confirmed_links, "a long, b long")
-    return links.union(field_links(rows.where(F.col("m") > LIST), docs, n))
+    long = lists.where(F.col("m") > LIST)
+    if long.isEmpty():
+        return links
+    # written, so that the driver need not hold the plans of both kinds at once
+    links = written(links, "dedup-crossing")
+    forgotten(docs.sparkSession)
+    return links.union(field_links(named.join(long, "token"), docs, n))
 
 
 def field_links(rows: DataFrame, docs: DataFrame, n: int) -> DataFrame:
@@ -415,6 +421,7 @@ def deduplicated(docs: DataFrame, n: int = WORDS) -> DataFrame:
         classes = written(real.groupBy("k1", "k2").agg(F.min("doc_id").alias("doc"), F.first("n").alias("n"), F.first("posted").alias("posted"), F.first("sig").alias("sig")), "dedup-classes")
         posted = written(postings(classes), "dedup-postings")
         first = written(first_links(posted, docs, n), "dedup-links")
+        forgotten(docs.sparkSession)
         links = first.union(crossing_links(posted, docs, components(first), n))
         # rows that repeat a doc_id tie their classes together
         reps = classes.select("k1", "k2", "doc")

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kinfold.llm.common import small, table, text_of, written
+from kinfold.llm.common import small, steps, table, text_of, written
 
 KINDS = ("email", "ip", "card", "phone")
 PATTERNS = {
@@ -231,8 +231,10 @@ def listed(spans: str) -> Column:
 
 def find(docs: DataFrame, threshold: float = THRESHOLD, prior: float = PRIOR) -> DataFrame:
     """doc_id, spans (base), all_spans for every row of docs."""
-    scan = scanned(docs)
-    return with_terms(scan.select("doc_id", "code", "spans"), term_spans(docs, scan, threshold, prior)).select("doc_id", "spans", "all_spans")
+    with steps(docs.sparkSession, "pii-scan", "pii-spans"):
+        scan = scanned(docs)
+        out = with_terms(scan.select("doc_id", "code", "spans"), term_spans(docs, scan, threshold, prior))
+    return out.select("doc_id", "spans", "all_spans")
 
 
 def sanitize(docs: DataFrame, threshold: float = THRESHOLD, prior: float = PRIOR) -> DataFrame:
@@ -240,11 +242,11 @@ def sanitize(docs: DataFrame, threshold: float = THRESHOLD, prior: float = PRIOR
 
     A null text stays null; texts without spans stay as they are, and all other columns.
     """
-    terms = term_spans(docs, scanned(docs), threshold, prior)
     own = {c: f"__doc_{c}" for c in docs.columns if c.lower() in ("code", "spans", "all_spans", "terms", "t_id", "t_code")}
     df = docs.withColumnsRenamed(own)
     df = df.withColumn("code", F.xxhash64(F.coalesce("text", F.lit("")))).withColumn("spans", base_spans(F.coalesce("text", F.lit(""))))
-    df = with_terms(df, terms)
+    with steps(docs.sparkSession, "pii-spans"):
+        df = with_terms(df, term_spans(docs, scanned(docs), threshold, prior))
     text = F.col("text")
 
     def step(acc, s):
