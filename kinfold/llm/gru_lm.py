@@ -36,14 +36,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinfold.llm.common import crc_rest, lower_az, table, tidied, written
+from kinfold.llm.common import crc_rest, lower_az, one_thread, table, tidied, written
 
 #: Token of the end, which no word can be: words hold no white space.
 END = "\n"
 #: Words seen so often are outputs of their own, as far as SIDE allows: the softmax has up to
 #: SIDE classes of SIDE outputs, the last class being that of the bands.
 OFTEN = 50
-SIDE = 64
+SIDE = 48
 LEAST_SIDE = 8
 HIDDEN = 16
 LANES = 256
@@ -136,39 +136,63 @@ class Gru:
         return hs, (rz, an, c, ends)
 
     def logs(self, h: np.ndarray, target: np.ndarray, gradient: dict | None = None) -> np.ndarray:
-        """Natural log of each target's probability; adds gradients of the sum of -log."""
-        rows, side = np.arange(len(h)), len(self.bc)
-        cls, within = target // side, target % side
-        x, ones = bounded(h @ self.wc + self.bc), np.ones(side, h.dtype)
-        e = np.exp(x)
+        """Natural log of each target's probability; adds gradients of the sum of -log.
+
+        Rows are sorted by target, so that a class' rows lie together, and the bias is a weight
+        of a last, constant state. The softmaxes are never divided out: what is read from them
+        is scaled by row, and the targets' own terms are summed apart.
+        """
+        side, n = len(self.bc), len(h)
+        order = np.argsort(target.astype(np.int16), kind="stable")  # 16 bits: a radix sort
+        t = target[order]
+        cls, within = t // side, t % side
+        rows, ones = np.arange(n), np.ones(side, h.dtype)
+        x = np.empty((n, h.shape[1] + 1), h.dtype)
+        x[:, :-1], x[:, -1] = h[order], 1
+        wc, wo = np.vstack([self.wc, self.bc]), np.concatenate([self.wo, self.bo[:, None]], 1)
+        # states are within -1 and 1, which bounds the logits
+        bound_c, bound_o = np.abs(wc).sum(0).max(), np.abs(wo).sum(1).max(1)
+        e = x @ wc
+        if bound_c > 60:
+            bounded(e)
+        out = e[rows, cls]
+        np.exp(e, out=e)
         s = e @ ones
-        out = x[rows, cls] - np.log(s)
+        out -= np.log(s)
         if gradient is not None:
-            e /= s[:, None]
-            e[rows, cls] -= 1
-            gradient["wc"], gradient["bc"] = h.T @ e, e.sum(0)
-            dh = e @ self.wc.T
-            gradient["wo"], gradient["bo"] = np.zeros_like(self.wo), np.zeros_like(self.bo)
-        order = np.argsort(cls.astype(np.int16), kind="stable")  # 16 bits: a radix sort
-        cut = np.searchsorted(cls[order], np.arange(side + 1))
+            s = (1 / s)[:, None]
+            g_c, g_o = (x * s).T @ e, np.zeros_like(wo)
+            dh = e @ wc[:-1].T
+            dh *= s
+        cut = np.searchsorted(t, np.arange(side + 1) * side).tolist()
         for k in range(side):
-            i = order[cut[k] : cut[k + 1]]
-            if not len(i):
+            i, j = cut[k], cut[k + 1]
+            if i == j:
                 continue
-            hk = h[i]
-            x = bounded(hk @ self.wo[k] + self.bo[k])
-            e = np.exp(x)
+            xk = x[i:j]
+            e = xk @ wo[k]
+            if bound_o[k] > 60:
+                bounded(e)
+            got = e[rows[: j - i], within[i:j]]
+            np.exp(e, out=e)
             s = e @ ones
-            j = np.arange(len(i))
-            out[i] += x[j, within[i]] - np.log(s)
+            out[i:j] += got - np.log(s)
             if gradient is not None:
-                e /= s[:, None]
-                e[j, within[i]] -= 1
-                gradient["wo"][k], gradient["bo"][k] = hk.T @ e, e.sum(0)
-                dh[i] += e @ self.wo[k].T
-        if gradient is not None:
-            gradient["h"] = dh
-        return out
+                s = (1 / s)[:, None]
+                g_o[k] = (xk * s).T @ e
+                dh[i:j] += (e @ wo[k, :-1].T) * s
+        back = np.empty_like(order)
+        back[order] = rows
+        if gradient is not None and n:
+            first = np.flatnonzero(np.r_[True, t[1:] != t[:-1]])
+            g_o[cls[first], :, within[first]] -= np.add.reduceat(x, first)
+            first = np.flatnonzero(np.r_[True, cls[1:] != cls[:-1]])
+            g_c[:, cls[first]] -= np.add.reduceat(x, first).T
+            dh -= wc[:-1].T[cls]
+            dh -= wo[:, :-1].transpose(0, 2, 1)[cls, within]
+            gradient["wc"], gradient["bc"], gradient["wo"], gradient["bo"] = g_c[:-1], g_c[-1], g_o[:, :-1], g_o[:, -1]
+            gradient["h"] = dh[back]
+        return out[back]
 
     def back(self, hs: np.ndarray, reset: np.ndarray, kept, dhs: np.ndarray, gradient: dict) -> None:
         """Backpropagation through the window's steps, and no further. dhs is used up."""
@@ -470,6 +494,7 @@ def trained_rows(like: Gru, start: np.ndarray, epochs: int, lanes: int, subs: in
     """Weights, with the optimiser's sums if asked for, in chunks, of one shard's pass."""
 
     def run(t: pa.Table) -> pa.Table:
+        one_thread()
         t = t.sort_by([("mark", "ascending"), ("doc_id", "ascending")])
         (model, sums), ids, shard = unpacked(like, start), as_ids(t.column("ids")), t.column("shard")[0].as_py()
         for group in together(ids):
@@ -535,6 +560,7 @@ def model_scores(rows: DataFrame, model: Gru) -> DataFrame:
     """row, model: log10 of the probability of each document's outputs."""
 
     def run(batches):
+        one_thread()
         for b in batches:
             ids = as_ids(b.column("ids"))
             out = [in_lanes(model, group) for group in together(ids)]
