@@ -30,6 +30,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,7 +39,9 @@ from kinfold.llm.common import table, tidied, written
 GIANT = 1 << 16
 CHUNK = 1 << 15
 SPACE = "▁"
-CACHE = 200_000
+CACHE = 120_000
+#: Text that is encoded at once.
+STEP_BYTES = 500_000
 NONE = np.iinfo(np.int64).min // 4
 
 
@@ -58,7 +61,7 @@ def model_bytes(spark: SparkSession, path: str | None) -> bytes:
 class Slots:
     """Pieces by a 64-bit hash, in two direct-address tables for vectors of lookups."""
 
-    BITS = 19
+    BITS = 17
     BASE = 0x9E3779B97F4A7C15 | 1
 
     def __init__(self, entries: dict[str, tuple[int, int]]):
@@ -75,9 +78,11 @@ class Slots:
             _, first = np.unique(slot, return_index=True)
             key, score, ids = np.zeros(1 << self.BITS, np.uint64), np.full(1 << self.BITS, LOW, np.int32), np.zeros(1 << self.BITS, np.int32)
             key[slot[first]], score[slot[first]], ids[slot[first]] = keys[first], values[first, 0], values[first, 1]
-            self.tables.append((multiplier, key, score, ids))
             left = np.ones(len(keys), bool)
             left[first] = False
+            more = np.zeros(1 << self.BITS, bool)
+            more[slot[left]] = True
+            self.tables.append((multiplier, key, score, ids, more))
             keys, values = keys[left], values[left]
 
     @classmethod
@@ -92,14 +97,22 @@ class Slots:
         return (code + 1) * 0xC2B2AE3D27D4EB4F & 0xFFFFFFFFFFFFFFFF ^ (code << 17)
 
     def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Score (LOW: no piece) and id for each hash."""
-        score, ids = np.full(h.shape, LOW, np.int32), np.zeros(h.shape, np.int32)
-        for multiplier, key, s, i in self.tables:
-            slot = (h * multiplier) >> np.uint64(64 - self.BITS)
-            hit = key[slot] == h
-            at = slot[hit]
-            score[hit], ids[hit] = s[at], i[at]
-        return score, ids
+        """Score (LOW: no piece) and id for each hash. Only hashes whose slot was taken by another
+        piece are looked up in the next table."""
+        flat = np.ascontiguousarray(h).ravel()
+        score, ids, at = np.full(len(flat), LOW, np.int32), np.zeros(len(flat), np.int32), None
+        for multiplier, key, s, i, more in self.tables:
+            slot = (flat * multiplier) >> np.uint64(64 - self.BITS)
+            hit = key[slot] == flat
+            there = slot[hit]
+            to = hit if at is None else at[hit]
+            score[to], ids[to] = s[there], i[there]
+            rest = np.flatnonzero(more[slot] & ~hit)
+            if not len(rest):
+                break
+            at = rest if at is None else at[rest]
+            flat = flat[rest]
+        return score.reshape(h.shape), ids.reshape(h.shape)
 
 
 #: No piece: far below any word's score, and two of them still fit 32 bits.
@@ -192,9 +205,10 @@ class Vocabulary:
             for i in range(max(0, j - self.longest), j):
                 x = best[i] + score[j - i][i]
                 better = x > best[j]  # an earlier begin, a longer piece, wins ties
-                best[j] = np.where(better, x, best[j])
-                back[j][better] = i
-                last[j] = np.where(better, ids[j - i][i], last[j])
+                if better.any():
+                    np.copyto(best[j], x, where=better)
+                    np.copyto(last[j], ids[j - i][i], where=better)
+                    back[j][better] = i
             np.maximum(best[j], LOW, out=best[j])
         filled = np.zeros((n, width), np.int32)
         at, row, column = lengths.copy(), np.arange(n), np.full(n, width)
@@ -272,6 +286,8 @@ class Vocabulary:
 #: which no text holds.
 LITERAL = "\ud800"
 SPACE_BYTES = SPACE.encode()
+#: Ids that are decoded at once: some 20 MB of arrays.
+DECODE_IDS = 200_000
 #: What an id that the vocabulary lacks decodes as.
 UNKNOWN = "\ufffd".encode()
 CUT = re.compile(f"(?<=[^{SPACE}])(?={SPACE})")
@@ -320,6 +336,58 @@ def decode(ids: list[int], v: Vocabulary) -> str:
     return (data[1:] if data[:1] == b" " else data).decode("utf-8", "replace")
 
 
+class Surfaces:
+    """What each id stands for, end to end, for many ids at once; one more for ids there are none."""
+
+    def __init__(self, v: Vocabulary):
+        parts = [*v.surface, UNKNOWN]
+        self.none = len(v.surface)
+        self.data = np.frombuffer(b"".join(parts), np.uint8)
+        self.length = np.array([len(x) for x in parts], np.int64)
+        self.start = np.cumsum(self.length) - self.length
+        self.spaced = np.array([x[:1] == b" " for x in parts])
+
+    def texts(self, ids: np.ndarray, offsets: np.ndarray) -> pa.Array | None:
+        """Arrow text of the documents whose ids lie between offsets; None if some bytes are no UTF-8."""
+        ids = np.where((ids >= 0) & (ids < self.none), ids, self.none)
+        length, start = self.length[ids], self.start[ids]
+        # the space that encoding puts in front goes
+        first = offsets[:-1][np.diff(offsets) > 0]
+        first = first[self.spaced[ids[first]]]
+        length[first] -= 1
+        start[first] += 1
+        ends = np.r_[0, np.cumsum(length)]
+        data = self.data[np.arange(ends[-1]) + np.repeat(start - ends[:-1], length)]
+        out = pa.Array.from_buffers(pa.string(), len(offsets) - 1, [None, pa.py_buffer(ends[offsets].astype(np.int32)), pa.py_buffer(data)])
+        try:
+            out.validate(full=True)
+        except pa.ArrowInvalid:
+            return None
+        return out
+
+
+@functools.lru_cache(2)
+def surfaces(data: bytes) -> Surfaces:
+    return Surfaces(vocabulary(data))
+
+
+def decode_all(lists: pa.ListArray, model: bytes) -> pa.Array:
+    """Texts of lists of ids, DECODE_IDS ids or one list at a time; null for null."""
+    s, parts = surfaces(model), []
+    offsets = lists.offsets.to_numpy().astype(np.int64)
+    ids, begin = lists.values.to_numpy(zero_copy_only=False), 0
+    while begin < len(lists):
+        end = max(begin + 1, int(np.searchsorted(offsets, offsets[begin] + DECODE_IDS, side="right")) - 1)
+        own = offsets[begin : end + 1]
+        got = s.texts(ids[own[0] : own[-1]], own - own[0])
+        if got is None:
+            got = pa.array([decode(ids[i:j].tolist(), vocabulary(model)) for i, j in zip(own[:-1], own[1:], strict=True)], pa.string())
+        parts.append(got)
+        begin = end
+    out = pa.concat_arrays(parts) if parts else pa.array([], pa.string())
+    return pc.if_else(lists.is_null(), pa.scalar(None, pa.string()), out) if lists.null_count else out
+
+
 def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Max-plus product; sums with an unreachable state stay unreachable."""
     c = (a[:, :, None] + b[None]).max(1)
@@ -407,29 +475,43 @@ def columns_of(df: DataFrame) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
 
 
-def plain(docs: DataFrame, model: bytes) -> DataFrame:
-    """docs and pieces_ids, each text encoded by one task."""
+def plain(docs: DataFrame, model: bytes, check: bool = False) -> DataFrame:
+    """docs and pieces_ids, each text encoded by one task; with `check`, round_trip as well:
+    whether the ids decode to the text."""
 
     def run(batches):
         v = vocabulary(model)
         for b in batches:
             # few texts at a time: a batch's ids take several times its text
-            texts = b.column("text").to_pylist()
+            column = b.column("text")
+            sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
             begin, held = 0, 0
-            for i in range(len(texts)):
-                held += len(texts[i] or "")
-                if held > 1_000_000 or i == len(texts) - 1:
+            for i in range(b.num_rows):
+                held += int(sizes[i])
+                if held > STEP_BYTES or i == b.num_rows - 1:
                     part = b.slice(begin, i + 1 - begin)
-                    yield pa.RecordBatch.from_arrays([*part.columns, id_lists(encode_all(texts[begin : i + 1], v))], [*b.schema.names, "pieces_ids"])
+                    ids = id_lists(encode_all(part.column("text").to_pylist(), v))
+                    more = [ids]
+                    if check:
+                        more.append(pc.equal(decode_all(ids, model), pc.fill_null(part.column("text"), "")))
+                    yield pa.RecordBatch.from_arrays([*part.columns, *more], [*b.schema.names, "pieces_ids", "round_trip"][: len(part.columns) + len(more)])
                     begin, held = i + 1, 0
         v.known.clear()
 
-    return docs.mapInArrow(lambda b: tidied(run(b)), f"{columns_of(docs)}, pieces_ids array<int>")
+    return docs.mapInArrow(lambda b: tidied(run(b)), f"{columns_of(docs)}, pieces_ids array<int>" + ", round_trip boolean" * check)
+
+
+def longest_piece(data: bytes) -> int:
+    """Characters of the vocabulary's longest piece; the vocabulary itself is not kept."""
+    import sentencepiece
+
+    m = sentencepiece.SentencePieceProcessor(model_proto=data)
+    return max(len(m.id_to_piece(i)) for i in range(m.get_piece_size()) if not (m.is_byte(i) or m.is_control(i) or m.is_unknown(i) or m.is_unused(i)))
 
 
 def giants(docs: DataFrame, model: bytes, chunk: int = CHUNK) -> DataFrame:
     """g_id, g_code, pieces_ids of the distinct (doc_id, text) of docs, by chunks."""
-    longest = vocabulary(model).longest
+    longest = longest_piece(model)
     texts = docs.select(F.col("doc_id").alias("g_id"), F.xxhash64("text").alias("g_code"), F.concat(F.lit(" "), "text").alias("t")).dropDuplicates(["g_id", "g_code"])
     n = F.ceil(F.length("t") / chunk).cast("int")
     chunks = texts.select("g_id", "g_code", n.alias("n"), "t", F.explode(F.sequence(F.lit(0), n - 1)).alias("k"))
@@ -478,36 +560,39 @@ def giants(docs: DataFrame, model: bytes, chunk: int = CHUNK) -> DataFrame:
     return found.groupBy(*by).applyInArrow(joined, f"g_id {kind}, g_code long, pieces_ids array<int>")
 
 
-def encoded(docs: DataFrame, model: str | None = None, giant: int = GIANT, chunk: int = CHUNK) -> DataFrame:
-    """All columns of docs, and token_ids and n_tokens (in place of columns so named)."""
-    vocabulary_ = model_bytes(docs.sparkSession, model)
-    docs = docs.select(*[docs[c] for c in docs.columns if c.lower() not in ("token_ids", "n_tokens", "pieces_ids")])
+def encoded(docs: DataFrame, model: str | None = None, giant: int = GIANT, chunk: int = CHUNK, check: bool = False) -> DataFrame:
+    """All columns of docs, and token_ids and n_tokens (in place of columns so named); with
+    `check` also round_trip, whether decoding gives the text (or '' for null) back."""
+    data = model_bytes(docs.sparkSession, model)
+    docs = docs.select(*[docs[c] for c in docs.columns if c.lower() not in ("token_ids", "n_tokens", "pieces_ids", "round_trip")])
     long = F.coalesce(F.length("text") > giant, F.lit(False))
-    usual = plain(docs.where(~long), vocabulary_)
+    usual = plain(docs.where(~long), data, check)
     big = docs.where(long)
-    done = written(giants(big, vocabulary_, chunk), "pieces-giants")
+    done = written(giants(big, data, chunk), "pieces-giants")
     of = big.join(done, big["doc_id"].eqNullSafe(done["g_id"]) & (F.xxhash64(big["text"]) == done["g_code"])).select(*[big[c] for c in big.columns], "pieces_ids")
+    if check:
+        of = decode_column(of, "pieces_ids", "back", data).withColumn("round_trip", F.col("back") == F.col("text")).drop("back")
     return usual.unionByName(of).withColumn("n_tokens", F.size("pieces_ids").cast("long")).withColumnRenamed("pieces_ids", "token_ids")
 
 
-def decoded(df: DataFrame, model: str | None = None) -> DataFrame:
-    """All columns of df, and decoded: the text of token_ids (null: null)."""
-    vocabulary_ = model_bytes(df.sparkSession, model)
-    df = df.select(*[df[c] for c in df.columns if c.lower() != "decoded"])
+def decode_column(df: DataFrame, ids: str, name: str, model: bytes) -> DataFrame:
+    """df with `name`, the texts of the lists of ids in column `ids`."""
 
     def run(batches):
-        v = vocabulary(vocabulary_)
         for b in batches:
-            # few rows at a time: ids as Python numbers take several times their bytes
-            for i in range(0, b.num_rows, 500):
-                p = b.slice(i, 500)
-                out = [None if ids is None else decode(ids, v) for ids in p.column("token_ids").to_pylist()]
-                yield pa.RecordBatch.from_arrays([*p.columns, pa.array(out, pa.string())], [*b.schema.names, "decoded"])
+            lists = b.column(ids).cast(pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([*b.columns, decode_all(lists, model)], [*b.schema.names, name])
+
+    return df.mapInArrow(lambda b: tidied(run(b)), f"{columns_of(df)}, {name} string")
 
-    return df.mapInArrow(lambda b: tidied(run(b)), f"{columns_of(df)}, decoded string")
+
+def decoded(df: DataFrame, model: str | None = None) -> DataFrame:
+    """All columns of df, and decoded: the text of token_ids (null: null)."""
+    df = df.select(*[df[c] for c in df.columns if c.lower() != "decoded"])
+    return decode_column(df, "token_ids", "decoded", model_bytes(df.sparkSession, model))
 
 
 def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, token_ids, and whether decoding them gives the text back."""
-    ids = decoded(encoded(table(spark, sf_dir, "documents").select("doc_id", "text")))
-    return ids.select("doc_id", "n_tokens", "token_ids", (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return encoded(docs, check=True).select("doc_id", "n_tokens", "token_ids", "round_trip")

@@ -108,6 +108,19 @@ def test_encoded_edges(spark, v):
     assert pieces.encoded(docs.where("false")).count() == 0
 
 
+def test_decoding_many_at_once_is_decoding_one_by_one(v, monkeypatch):
+    import pyarrow as pa
+
+    data = Path(pieces.default_model()).read_bytes()
+    r = random.Random(6)
+    lists = [ids_of(pieces.encode(t, v)) for t in odd(60, 3)] + [[], None, [10**6, 5, -3], [r.randrange(32000) for _ in range(50)], [v.first_byte[0xE6], v.first_byte[0x97]]]
+    want = [None if x is None else pieces.decode(x, v) for x in lists]
+    for step in (1, 30, 10**6):
+        monkeypatch.setattr(pieces, "DECODE_IDS", step)
+        assert pieces.decode_all(pa.array(lists, pa.list_(pa.int32())), data).to_pylist() == want
+    assert pieces.decode_all(pa.array([], pa.list_(pa.int32())), data).to_pylist() == []
+
+
 def test_query_decodes_what_it_encodes(spark, v, tmp_path):
     rows = [(i, t, "d") for i, t in enumerate([*odd(60, 9, 90), None, "", "the nation " * 20_000])] + [(3, "again", "e")]
     spark.createDataFrame(rows, "doc_id long, text string, decoded string").write.parquet(f"{tmp_path}/documents.parquet")
