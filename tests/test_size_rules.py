@@ -7,3 +7,8 @@ from tests.test_size import SF, plan, table
 def test_words_of_addresses_are_found_below_the_join(spark):
     r = table(spark, [("S1-1", "S1", 1, "US", "amber", "cedar road"), ("S2-1", "S2", 1, "US", "amber", "cedar lane")])
     assert "array_distinct" not in plan(rules.name_hits(*rules.sides(r)), "optimizedPlan").split("Join")[0]
+
+
+def test_hits_are_dealt_once(spark):
+    r = table(spark, [("S1-1", "S1", 1, "US", "amber", "cedar road"), ("S2-1", "S2", 1, "US", "amber", "cedar lane")])
+    assert plan(rules.rule_pairs(r)).count("Exchange hashpartitioning(s1_id") == 1
