@@ -45,3 +45,12 @@ def test_checks_read_the_lists_from_a_table(spark):
     from kinfold.plans import registry
 
     assert "ArrowEvalPython" not in plan(registry.QUERIES["violations"](spark, SF))
+
+
+def test_sound_keys_need_no_join(spark):
+    from kinfold.functions.metaphone import metaphone
+
+    lists = [["philips", "1234", "knitwear"], ["1234"], [], ["amber", "amber"]]
+    df = blocking.phonetic(spark.createDataFrame([(f"S1-{i}", "S1", w) for i, w in enumerate(lists)], "entity_id string, source string, words array<string>"))
+    assert [r.codes for r in df.orderBy("entity_id").collect()] == [[metaphone(w) for w in ws] for ws in lists]
+    assert "Join" not in plan(df) and "Exchange" not in plan(df)
