@@ -46,3 +46,22 @@ def test_a_query_of_names_normalizes_no_addresses(spark, monkeypatch):
     monkeypatch.setattr(adapter, "stored", lambda df, name: kept.append(df.columns) or inner(df, name))
     registry.QUERIES["block_names"](spark, "/root/testdata/sf0.001")
     assert kept == [registry.NAMED]  # and its pairs are not stored beside the result
+
+
+def lists(spark):
+    names = spark.createDataFrame([("a", ["x", "y"]), ("b", ["x"])], "s1_id string, ids array<string>")
+    addresses = spark.createDataFrame([("a", ["y", "z"]), ("c", ["x", "w"])], "s1_id string, ids array<string>")
+    truth = spark.createDataFrame([("a", "y"), ("a", "q"), ("b", "x"), ("b", "x"), ("c", "z"), ("d", "x")], "s1_id string, cand_id string")
+    return names, addresses, truth
+
+
+def flat(df):
+    return df.selectExpr("s1_id", "explode(ids) AS cand_id")
+
+
+def test_tracks_meet_by_entity(spark):
+    n, a, t = lists(spark)
+    got = pairs.tracks_of_lists(n, a, t)
+    assert rows(got) == rows(pairs.labelled(pairs.union_tracks(flat(n), flat(a)), t)) and got.count() == 6
+    assert rows(pairs.tracks_of_lists(n, a)) == rows(pairs.union_tracks(flat(n), flat(a)))
+    assert "cand_id" not in "".join(x for x in plan(got).split("\n") if "Exchange" in x)
