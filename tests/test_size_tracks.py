@@ -65,3 +65,14 @@ def test_tracks_meet_by_entity(spark):
     assert rows(got) == rows(pairs.labelled(pairs.union_tracks(flat(n), flat(a)), t)) and got.count() == 6
     assert rows(pairs.tracks_of_lists(n, a)) == rows(pairs.union_tracks(flat(n), flat(a)))
     assert "cand_id" not in "".join(x for x in plan(got).split("\n") if "Exchange" in x)
+
+
+def test_boosted_scores_reads_a_stored_matrix(spark, monkeypatch):
+    from kinfold.plans import registry
+
+    monkeypatch.setattr(registry, "merged_matrix", lambda s, d, names: s.createDataFrame([("a", "x", 1)], "s1_id string, cand_id string, label int"))
+    got = []
+    monkeypatch.setattr(registry.model, "train", lambda m: got.append(m))
+    monkeypatch.setattr(registry.model, "score", lambda fitted, m: m)
+    assert registry.boosted_scores(spark, "").columns[-1] == "validation"
+    assert "Scan parquet" in plan(got[0]) and "Project" not in plan(got[0])
