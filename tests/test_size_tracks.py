@@ -76,3 +76,11 @@ def test_boosted_scores_reads_a_stored_matrix(spark, monkeypatch):
     monkeypatch.setattr(registry.model, "score", lambda fitted, m: m)
     assert registry.boosted_scores(spark, "").columns[-1] == "validation"
     assert "Scan parquet" in plan(got[0]) and "Project" not in plan(got[0])
+
+
+def test_true_pairs_are_looked_up_in_lists(spark):
+    n, a, t = lists(spark)
+    found = metrics.true_in_lists(n, a, t)
+    assert rows(metrics.captured(found)) == rows(metrics.combined_recall(flat(n), flat(a), t))
+    assert rows(found.where("NOT n AND NOT a").select("s1_id", "cand_id")) == rows(metrics.missed_pairs(flat(n), flat(a), t))
+    assert found.where("n").count() == 2 and found.where("a").count() == 1
