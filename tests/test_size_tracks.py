@@ -84,3 +84,23 @@ def test_true_pairs_are_looked_up_in_lists(spark):
     assert rows(metrics.captured(found)) == rows(metrics.combined_recall(flat(n), flat(a), t))
     assert rows(found.where("NOT n AND NOT a").select("s1_id", "cand_id")) == rows(metrics.missed_pairs(flat(n), flat(a), t))
     assert found.where("n").count() == 2 and found.where("a").count() == 1
+
+
+#: Queries that read each track once.
+ONCE = [
+    "macro_f05",
+]
+
+
+@pytest.mark.parametrize("name", ONCE)
+def test_candidates_that_are_read_once_are_not_stored(spark, monkeypatch, name):
+    from kinfold.plans import adapter, registry
+
+    columns = "entity_id string, source string, pos long, country string, name_norm string, address_norm string, city_norm string, pincode string, landmark string, address_core string"
+    df = spark.createDataFrame([("S1-1", "S1", 1, "US", "amber", "", "", "", "", ""), ("S2-1", "S2", 2, "US", "amber", "", "", "", "", "")], columns)
+    monkeypatch.setattr(registry, "records", lambda s, d: df)
+    monkeypatch.setattr(registry, "truth", lambda s, d: spark.createDataFrame([("S1-1", "S2-1")], "s1_id string, cand_id string"))
+    made = []
+    monkeypatch.setattr(adapter, "stored", lambda x, n: made.append(n) or x)
+    registry.QUERIES[name](spark, "")
+    assert made == []
