@@ -88,7 +88,7 @@ def test_true_pairs_are_looked_up_in_lists(spark):
 
 #: Queries that read each track once.
 ONCE = [
-    "macro_f05", "provenance_counts", "runner_ratios", "union_tracks", "best_threshold_sound", "block_names", "combined_recall_sound", "entity_split", "entity_split_sound", "labels_sound", "macro_f05_sound", "missed_pairs",
+    "macro_f05", "provenance_counts", "runner_ratios", "union_tracks", "best_threshold_sound", "block_names", "combined_recall_sound", "entity_split", "entity_split_sound", "labels_sound", "macro_f05_sound", "missed_pairs", "name_features_sound",
 ]
 
 
