@@ -104,3 +104,33 @@ def test_candidates_that_are_read_once_are_not_stored(spark, monkeypatch, name):
     monkeypatch.setattr(adapter, "stored", lambda x, n: made.append(n) or x)
     registry.QUERIES[name](spark, "")
     assert made == []
+
+
+ADDRESSES = "entity_id string, source string, pos long, country string, address_norm string, address_core string, city_norm string, pincode string"
+
+
+def places(spark, more=()):
+    """Of the weak key '12 ced': 40 candidates, some of them found by other passes too; of another, 9."""
+    rows = [(f"S1-{k}", "S1", k, "US", f"12 cedar {k}", f"cedar word{k % 7}", "tyler" if k == 3 else "", "70100" if k % 2 else "") for k in range(8)]
+    rows += [("S1-8", "S1", 8, "US", "77 mill", "", "", ""), ("S1-9", "S1", 9, "", "12 cedar 1", "", "", "")]
+    rows += [(f"S2-{k}", "S2", k, "US", f"12 cedar {k * 3}", f"word{k % 9}", "tyler" if k > 35 else "", "70100" if k % 5 == 0 else "") for k in range(40)]
+    rows += [(f"S3-{k}", "S3", k, "US", f"77 mill {k}", f"cedar word{k}" if k < 4 else "", "", "") for k in range(9)]
+    return spark.createDataFrame([*rows, *more], ADDRESSES)
+
+
+@pytest.mark.parametrize("cap, bucket", [(1, 40), (3, 40), (3, 39), (6, 8), (25, 500)])
+def test_weak_pairs_are_looked_up_to_the_cap(spark, cap, bucket):
+    r = places(spark)
+    sides = r.where("source = 'S1'"), r.where("source <> 'S1'")
+    want = blocking.top_pairs(blocking.pairs_of(blocking.address_postings(sides[0]), blocking.dropped(blocking.address_postings(sides[1]), bucket)), cap)
+    got = blocking.block_addresses(r, cap, bucket)
+    assert rows(got) == rows(want) and got.count() > 0
+    assert {(x.s1_id, i) for x in blocking.address_lists(r, cap, bucket).collect() for i in x.ids} == {(x.s1_id, x.cand_id) for x in want.collect()}
+    assert any(x.lstrip(" :+-").startswith("Filter") and "rank#" in x and f"<= {cap})" in x for x in plan(got, "optimizedPlan").split("\n"))
+
+
+def test_records_that_repeat_an_id_are_looked_up_whole(spark):
+    r = places(spark, [("S1-0", "S1", 20, "US", "77 mill road", "", "", ""), ("S2-39", "S2", 90, "US", "12 cedar 99", "", "", "")])
+    want = blocking.top_pairs(blocking.pairs_of(blocking.address_postings(r.where("source = 'S1'")), blocking.dropped(blocking.address_postings(r.where("source <> 'S1'")), 100)), 3)
+    assert rows(blocking.block_addresses(r, 3, 100)) == rows(want)
+    assert want.where("s1_id = 'S1-0'").count() == 3
