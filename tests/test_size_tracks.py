@@ -134,3 +134,24 @@ def test_records_that_repeat_an_id_are_looked_up_whole(spark):
     want = blocking.top_pairs(blocking.pairs_of(blocking.address_postings(r.where("source = 'S1'")), blocking.dropped(blocking.address_postings(r.where("source <> 'S1'")), 100)), 3)
     assert rows(blocking.block_addresses(r, 3, 100)) == rows(want)
     assert want.where("s1_id = 'S1-0'").count() == 3
+
+
+#: Queries on both tracks, without features.
+TRACKS = ["provenance_counts", "runner_ratios", "union_tracks", "combined_recall", "combined_recall_sound", "entity_split", "entity_split_sound", "labels_sound", "missed_pairs"]
+
+
+@pytest.mark.parametrize("name", TRACKS)
+def test_queries_of_tracks_make_no_columns_of_features(name):
+    from kinfold.plans import registry
+
+    assert registry.NEEDS[name] == [*registry.NAMED, "address_norm", "address_core", "city_norm", "pincode"]
+
+
+def test_white_space_goes_as_the_pattern_says(spark):
+    from pyspark.sql import functions as F
+
+    from kinfold.functions import text
+
+    odd = ["", " ", "　a b \n", "\x85x\r\n", "a \n", "\x1ca\x1f", "​a ", "é ", None, "\n\n"]
+    df = spark.createDataFrame([(x,) for x in odd], "x string")
+    assert df.where(~F.regexp_replace("x", r"(?U)^\s+|\s+$", "").eqNullSafe(text.strip_text(F.col("x")))).count() == 0
