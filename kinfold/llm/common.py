@@ -137,6 +137,18 @@ def tidied(batches):
         trimmed()
 
 
+@functools.cache
+def freed_stays() -> None:
+    """From here on memory that this process frees stays with it until `trimmed`: arrays of some
+    MB, made and freed window by window, else come from the system page by page each time."""
+    try:
+        mallopt = ctypes.CDLL(None).mallopt
+    except (OSError, AttributeError):  # another allocator
+        return
+    mallopt(-1, 128 << 20)  # M_TRIM_THRESHOLD
+    mallopt(-3, 32 << 20)  # M_MMAP_THRESHOLD
+
+
 @functools.cache
 def one_thread() -> None:
     """From here on this process' matrix products take one thread: a task has one core, and the

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinfold.llm.common import crc_rest, lower_az, one_thread, table, tidied, written
+from kinfold.llm.common import crc_rest, freed_stays, lower_az, one_thread, table, tidied, trimmed, written
 
 #: Token of the end, which no word can be: words hold no white space.
 END = "\n"
@@ -185,11 +185,13 @@ class Gru:
         back[order] = rows
         if gradient is not None and n:
             first = np.flatnonzero(np.r_[True, t[1:] != t[:-1]])
-            g_o[cls[first], :, within[first]] -= np.add.reduceat(x, first)
-            first = np.flatnonzero(np.r_[True, cls[1:] != cls[:-1]])
-            g_c[:, cls[first]] -= np.add.reduceat(x, first).T
-            dh -= wc[:-1].T[cls]
-            dh -= wo[:, :-1].transpose(0, 2, 1)[cls, within]
+            of_target, c = np.add.reduceat(x, first), cls[first]
+            g_o[c, :, within[first]] -= of_target
+            begin = np.flatnonzero(np.r_[True, c[1:] != c[:-1]])
+            g_c[:, c[begin]] -= np.add.reduceat(of_target, begin).T
+            of_output = np.ascontiguousarray(wo[:, :-1].transpose(0, 2, 1))
+            of_output += wc[:-1].T[:, None]
+            dh -= of_output.reshape(side * side, -1)[t]
             gradient["wc"], gradient["bc"], gradient["wo"], gradient["bo"] = g_c[:-1], g_c[-1], g_o[:, :-1], g_o[:, -1]
             gradient["h"] = dh[back]
         return out[back]
@@ -495,6 +497,7 @@ def trained_rows(like: Gru, start: np.ndarray, epochs: int, lanes: int, subs: in
 
     def run(t: pa.Table) -> pa.Table:
         one_thread()
+        freed_stays()
         t = t.sort_by([("mark", "ascending"), ("doc_id", "ascending")])
         (model, sums), ids, shard = unpacked(like, start), as_ids(t.column("ids")), t.column("shard")[0].as_py()
         for group in together(ids):
@@ -503,7 +506,7 @@ def trained_rows(like: Gru, start: np.ndarray, epochs: int, lanes: int, subs: in
         flat = packed(model, sums) if with_sums else model.flat()
         parts = [flat[i : i + CHUNK] for i in range(0, len(flat), CHUNK)]
         k = len(parts)
-        pa.default_memory_pool().release_unused()
+        trimmed()
         return pa.Table.from_arrays([pa.array(range(k), pa.int32()), pa.array([shard % subs] * k, pa.int64()), pa.array([shard] * k, pa.int64()), pa.array([sum(map(len, ids))] * k, pa.int64()), pa.array(parts, pa.list_(pa.float32()))], ["chunk", "sub", "shard", "n", "v"])
 
     return run
@@ -561,6 +564,7 @@ def model_scores(rows: DataFrame, model: Gru) -> DataFrame:
 
     def run(batches):
         one_thread()
+        freed_stays()
         for b in batches:
             ids = as_ids(b.column("ids"))
             out = [in_lanes(model, group) for group in together(ids)]

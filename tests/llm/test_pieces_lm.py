@@ -298,3 +298,26 @@ def test_training_learns_order():
     for _ in range(15):
         lm.in_lanes(m, ids, sums, lanes=8)
     assert lm.in_lanes(m, ids).sum() > before / 5
+
+
+FAULTS = """
+import resource
+import numpy as np, pyarrow as pa
+from kinfold.llm import gru_lm as g
+
+r = np.random.default_rng(1)
+ids = [np.r_[r.integers(1, 2256, 399), 0].astype(np.int16).tobytes() for _ in range(500)]
+t = pa.table({"doc_id": pa.array(range(500)), "mark": pa.array(range(500)), "ids": pa.array(ids, pa.binary()), "shard": pa.array([0] * 500, pa.int64())})
+model = g.Gru.fresh(48)
+before = resource.getrusage(resource.RUSAGE_SELF).ru_minflt
+g.trained_rows(model, g.packed(model, g.adagrad(model)), 4, g.LANES, 1, False)(t)
+print(resource.getrusage(resource.RUSAGE_SELF).ru_minflt - before)
+"""
+
+
+def test_training_takes_no_pages_anew_for_each_window():
+    import subprocess
+    import sys
+
+    out = subprocess.run([sys.executable, "-c", FAULTS], capture_output=True, text=True, check=True)
+    assert int(out.stdout) < 40_000
